@@ -91,7 +91,7 @@ def running(
     )
 
 
-def _with_next_block(points: DataFrame, at: str, width: int) -> DataFrame:
+def with_next_block(points: DataFrame, at: str, width: int) -> DataFrame:
     """Copy each point into its own block and, as history, into the next one."""
     own = clock.bucket(F.col(at), width)
     return points.select(
@@ -99,18 +99,56 @@ def _with_next_block(points: DataFrame, at: str, width: int) -> DataFrame:
     )
 
 
+def _changes(spans: DataFrame, keys: Sequence[str], at: str, deltas: dict[str, Column]) -> DataFrame:
+    """Entry at ``_from`` and exit at ``_until`` as signed changes, summed per time.
+
+    Running sums of the changes give the state of a sliding window without
+    visiting the window again for every row.
+    """
+    def edge(when: str, sign: int, asked: Column) -> Column:
+        return F.struct(
+            F.col(when).alias(at),
+            *[(c * sign).alias(n) for n, c in deltas.items()],
+            asked.alias("_asked"),
+        )
+
+    own = F.col("_own") == F.col("_block")
+    edges = spans.select(
+        *keys,
+        "_block",
+        F.inline(F.array(edge("_from", 1, own), edge("_until", -1, F.lit(False)))),
+    )
+    steps = edges.groupBy(*keys, "_block", at).agg(
+        *[F.sum(n).alias(n) for n in deltas], F.max("_asked").alias("_asked")
+    )
+    w = (
+        Window.partitionBy(*keys, "_block")
+        .orderBy(at)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        steps.select(
+            *keys, at, "_asked", *[F.sum(n).over(w).cast("long").alias(n) for n in deltas]
+        )
+        .where("_asked")
+        .drop("_asked")
+    )
+
+
 def rolling_sums(
     df: DataFrame, entity: str, at: str, width: int, sums: dict[str, Column]
 ) -> DataFrame:
     """Sums over ``[at - width, at]`` per entity, one row per (entity, at)."""
     points = df.groupBy(entity, at).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    w = Window.partitionBy(entity, "_block").orderBy(at).rangeBetween(-width, 0)
-    return (
-        _with_next_block(points, at, width)
-        .select(entity, at, "_own", "_block", *[F.sum(n).over(w).alias(n) for n in sums])
-        .where("_own = _block")
-        .drop("_own", "_block")
+    spans = with_next_block(points, at, width).select(
+        entity,
+        *sums,
+        "_own",
+        "_block",
+        F.col(at).alias("_from"),
+        (F.col(at) + width + 1).alias("_until"),
     )
+    return _changes(spans, [entity], at, {n: F.col(n) for n in sums})
 
 
 def rolling_distinct(
@@ -123,44 +161,14 @@ def rolling_distinct(
     """
     points = df.groupBy(entity, value, at).agg(F.lit(1).alias("_one"))
     seen = Window.partitionBy(entity, "_block", value).orderBy(at)
-    spans = _with_next_block(points, at, width).select(
+    spans = with_next_block(points, at, width).select(
         entity,
         "_own",
         "_block",
         F.col(at).alias("_from"),
         F.least(F.lead(at).over(seen), F.col(at) + width + 1).alias("_until"),
     )
-    changes = spans.select(
-        entity,
-        "_block",
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("_from").alias(at),
-                    F.lit(1).alias("_delta"),
-                    (F.col("_own") == F.col("_block")).alias("_asked"),
-                ),
-                F.struct(
-                    F.col("_until").alias(at),
-                    F.lit(-1).alias("_delta"),
-                    F.lit(False).alias("_asked"),
-                ),
-            )
-        ),
-    )
-    steps = changes.groupBy(entity, "_block", at).agg(
-        F.sum("_delta").alias("_delta"), F.max("_asked").alias("_asked")
-    )
-    w = (
-        Window.partitionBy(entity, "_block")
-        .orderBy(at)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        steps.select(entity, at, "_asked", F.sum("_delta").over(w).cast("long").alias(name))
-        .where("_asked")
-        .drop("_asked")
-    )
+    return _changes(spans, [entity], at, {name: F.lit(1)})
 
 
 def quantiles(df: DataFrame, keys: Sequence[str], value: str, percents: Sequence[int]) -> DataFrame:

@@ -270,4 +270,12 @@ VIEWS = {
               AND src_pay_amount = dst_pay_amount AND src_refund_count = dst_refund_count
               AND src_refund_amount = dst_refund_amount THEN 1 ELSE 2 END AS BIGINT) AS recon_status
         FROM c_joined""",
+    "a_usage_base": f"""
+        SELECT {cols(A.USAGE)}, concat('D', json_extract_string(props, '$.k')) AS device_id,
+          epoch_us(ts) // 1000 AS event_time FROM events""",
+    "a_usage": f"SELECT *, event_time + {A.delay('event_id')} AS ingest_time FROM a_usage_base",
+    "a_replayed": """
+        SELECT *, 0 AS delivery FROM a_usage
+        UNION ALL SELECT *, 1 AS delivery FROM a_usage WHERE event_id % 50 = 3""",
+    "a_quotas": f"SELECT {cols(A.QUOTA)} FROM supplier",
 }

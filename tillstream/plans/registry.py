@@ -47,7 +47,9 @@ def with_views(sql: str) -> str:
     visit(sql)
     if not needed:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in needed) + "\n" + sql
+    own = sql.strip()
+    tail = ",\n" + own[5:] if own.upper().startswith("WITH ") else "\n" + own
+    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in needed) + tail
 
 
 def query(check: str | None = None) -> Callable[[Query], Query]:

@@ -266,7 +266,7 @@ USAGE = {
     "user_id": "user_id",
     "kind": "event_type",
     "tenant_id": "concat('T', lpad(cast(user_id % 10 + 1 as string), 4, '0'))",
-    "ip": "concat('10.0.0.', cast(user_id % 20 as string))",
+    "ip": "concat('10.0.0.', cast(user_id % 7 as string))",
     "amount_minor": "cast(floor(value * 100 + 0.5) as bigint)",
 }
 
@@ -278,7 +278,20 @@ def usage(events: DataFrame) -> DataFrame:
         *[F.expr(sql).alias(name) for name, sql in USAGE.items()],
         device.alias("device_id"),
         clock.ntz_to_ms(F.col("ts")).alias("event_time"),
-    )
+    ).withColumn("ingest_time", F.col("event_time") + F.expr(delay("event_id")))
+
+
+# Quota versions, ten per tenant and hundred suppliers.
+QUOTA = {
+    "tenant_id": "concat('T', lpad(cast(s_suppkey % 10 + 1 as string), 4, '0'))",
+    "version": "cast(s_suppkey + 1 as int)",
+    "quota_per_hour": "1 + s_suppkey % 3",
+    "effective_time": f"cast({DAY0_MS} + (s_suppkey * 86400000) / 4 as bigint)",
+}
+
+
+def quotas(supplier: DataFrame) -> DataFrame:
+    return _columns(supplier, QUOTA)
 
 
 def usage_with_replays(used: DataFrame) -> DataFrame:
@@ -308,3 +321,7 @@ def a_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def a_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage(table(spark, sf_dir, "events"))
+
+
+def a_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotas(table(spark, sf_dir, "supplier"))
