@@ -159,7 +159,12 @@ def first_crossing(usage: DataFrame, quota: DataFrame) -> DataFrame:
 
 def throttle_events(usage: DataFrame, quota: DataFrame) -> DataFrame:
     """One throttle command per tenant and hour above quota, with a stable id."""
-    over = with_quota(hourly_usage(usage), quota).where(
+    return over_quota(hourly_usage(usage), quota)
+
+
+def over_quota(counted: DataFrame, quota: DataFrame) -> DataFrame:
+    """Throttle commands for hourly counts (tenant, window_start, used)."""
+    over = with_quota(counted, quota).where(
         F.col("used") > F.col("quota_per_hour")
     )
     return over.select(

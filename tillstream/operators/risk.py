@@ -165,23 +165,31 @@ def _windowed(events: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def rule_frequency(events: DataFrame, rule: Rule) -> DataFrame:
-    """Many payments and failures of one user in a window."""
-    tries = _windowed(events, rule).where(F.col("kind").isin("purchase", "error"))
-    agg = tries.groupBy("user_id", "window_start").agg(
+def frequency_counts(tries: DataFrame, window: Column | str) -> DataFrame:
+    """Attempts and failures per user and window, for batch and stream alike."""
+    return tries.groupBy("user_id", window).agg(
         F.max("tenant_id").alias("tenant_id"),
         F.count("*").alias("tries"),
         F.count_if(F.col("kind") == "error").alias("failures"),
         F.min("event_time").alias("first_time"),
         F.max("event_time").alias("last_time"),
     )
+
+
+def frequency_hits(counts: DataFrame, rule: Rule) -> DataFrame:
     return _hits(
-        agg.where(F.col("tries") >= rule.threshold), rule, "frequency", "user",
+        counts.where(F.col("tries") >= rule.threshold), rule, "frequency", "user",
         F.col("user_id"), F.col("tries"),
         [F.col(c) for c in ("tries", "failures", "first_time", "last_time")],
     )
 
 
+def rule_frequency(events: DataFrame, rule: Rule) -> DataFrame:
+    """Many payments and failures of one user in a window."""
+    tries = _windowed(events, rule).where(F.col("kind").isin("purchase", "error"))
+    return frequency_hits(frequency_counts(tries, "window_start"), rule)
+
+
 def rule_amount(events: DataFrame, rule: Rule, z_limit: float = 3.0) -> DataFrame:
     """Payments over the threshold, or far above the mean of their tenant.
 

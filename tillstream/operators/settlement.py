@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,13 +62,14 @@ def increments(event_type: Column, amount: Column) -> dict[str, Column]:
     }
 
 
-def to_increments(events: DataFrame) -> DataFrame:
+def to_increments(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One increment model for all four event types; blank dimensions get their default."""
     made = increments(F.col("event_type"), F.col("amount_minor"))
     has_fee = "take_rate_amount" in events.columns
     fee = F.col("take_rate_amount") if has_fee else F.lit(0)
     settled = F.col("settlement_amount") if has_fee else F.lit(0)
     return events.select(
+        *keep,
         clock.floor_ms(F.col("event_time"), clock.MINUTE_MS).alias("minute_ms"),
         "tenant_id",
         "app_id",

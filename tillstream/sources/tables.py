@@ -132,6 +132,18 @@ def compact(
                 _delete(spark, f"{path}/{day_col}={day}/{folder}")
 
 
+def replace_days(
+    spark: SparkSession, df: DataFrame, path: str, day_col: str, days: Sequence[str], batch_id: int
+) -> None:
+    """Make ``df`` the whole content of ``days``: write it as one batch, then drop the others."""
+    write_batch(df, path, day_col, batch_id)
+    for day in days:
+        folder = f"{path}/{day_col}={day}"
+        for name in _folders(spark, folder):
+            if name != f"{BATCH}={batch_id}":
+                _delete(spark, f"{folder}/{name}")
+
+
 def apply_retention(
     spark: SparkSession, path: str, day_col: str, days_back: int, today: date
 ) -> list[str]:
@@ -187,3 +199,8 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
 def _delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
