@@ -34,12 +34,18 @@ def v_text(v: Column, field: str) -> Column:
     """Scalar member as text; absent or null is null; containers are blank."""
     text = _member(v, field, "string")
     maybe_container = text.startswith("{") | text.startswith("[")
-    container = F.schema_of_variant(_member(v, field, "variant")).rlike("^(OBJECT|ARRAY)")
+    kind = _kind(v, field)
+    container = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     return F.when(maybe_container, F.when(container, F.lit("")).otherwise(text)).otherwise(text)
 
 
+def _kind(v: Column, field: str) -> Column:
+    return F.schema_of_variant(_member(v, field, "variant"))
+
+
 def _is_number(v: Column, field: str) -> Column:
-    return F.schema_of_variant(_member(v, field, "variant")).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    kind = _kind(v, field)
+    return (kind == "BIGINT") | kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
 
 
 def v_long(v: Column, field: str, lenient: bool = False) -> Column:
@@ -48,7 +54,7 @@ def v_long(v: Column, field: str, lenient: bool = False) -> Column:
     if not lenient:
         return number
     text = _member(v, field, "string")
-    is_text = F.schema_of_variant(_member(v, field, "variant")) == "STRING"
+    is_text = _kind(v, field) == "STRING"
     return F.coalesce(
         number, F.when(is_text & text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
     )

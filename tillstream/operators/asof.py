@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions import clock
+from tillstream.operators.ordered import following
 from tillstream.operators.skew import BROADCAST_BYTES, SALTS, content_salt, measured_bytes
+from tillstream.session import stage
 
 
 def intervals(
@@ -22,11 +24,10 @@ def intervals(
     lead = [version] if version else []
     rest = [c for c in others if c not in lead]
     one = dim.groupBy(*keys, at).agg(F.max(F.struct(*lead, *rest)).alias("_row"))
-    w = Window.partitionBy(*keys).orderBy(at)
-    return one.select(
+    return following(one, keys, at, "valid_to").select(
         *keys,
         F.col(at).alias("valid_from"),
-        F.lead(at).over(w).alias("valid_to"),
+        "valid_to",
         *[F.col(f"_row.{c}").alias(c) for c in others],
     )
 
@@ -53,7 +54,7 @@ def asof_lookup(
     ``before_first`` is ``null`` or ``first``.
     """
     keys = list(keys)
-    iv = intervals(dim, keys, dim_time, version)
+    iv = stage(intervals(dim, keys, dim_time, version), "intervals")
     payload = F.struct(
         F.col("valid_from").alias(dim_time),
         *[c for c in dim.columns if c not in keys and c != dim_time],

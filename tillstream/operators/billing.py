@@ -68,7 +68,7 @@ def month_to_date(daily: DataFrame) -> DataFrame:
 def bill_trace(lines: DataFrame, billed: DataFrame) -> DataFrame:
     """Usage records behind disputed bill lines (tenant, day, item)."""
     on = ["tenant_id", "dt", "item"]
-    return lookup_join(billed, lines.select(*on).distinct(), on, "left_semi")
+    return lookup_join(billed, lines.select(*on).distinct(), on, "left_semi", derived=True)
 
 
 def verify_bill(bill: DataFrame, usage: DataFrame, share_hex: str = "40") -> DataFrame:

@@ -15,28 +15,64 @@ from tillstream.operators.ordered import latest_per_key
 RAW_LIMIT = 2000
 
 
+_BAD = "_bad"
+
+_TYPED = T.StructType(
+    [T.StructField(f, T.StringType()) for f in S.TEXT_FIELDS]
+    + [T.StructField(f, T.LongType()) for f in S.LONG_FIELDS]
+    + [T.StructField(f, T.DoubleType()) for f in S.DOUBLE_FIELDS]
+    + [T.StructField("rule_payload", T.StringType()), T.StructField(_BAD, T.StringType())]
+)
+
+
+def _careful_fields(doc: Column, raw: Column, lenient: bool) -> Column:
+    """All fields by inspecting the type of each member."""
+    payload = F.try_variant_get(doc, "$.rule_payload", "variant")
+    return F.struct(
+        (doc.isNull() & (text.squeeze(raw) != "")).alias("parse_error"),
+        *[text.v_text(doc, f).alias(f) for f in S.TEXT_FIELDS],
+        *[text.v_long(doc, f, lenient).alias(f) for f in S.LONG_FIELDS],
+        *[text.v_double(doc, f).alias(f) for f in S.DOUBLE_FIELDS],
+        F.when(payload.isNotNull(), F.to_json(payload)).alias("rule_payload"),
+    )
+
+
+def _plain_fields(typed: Column) -> Column:
+    """The same fields from a text whose members all have the expected type."""
+    names = [f.name for f in _TYPED if f.name != _BAD]
+    return F.struct(F.lit(False).alias("parse_error"), *[typed[n].alias(n) for n in names])
+
+
 def parse_events(df: DataFrame, value: str = "value", lenient: bool = False) -> DataFrame:
     """JSON text to typed event columns; other columns of ``df`` are kept.
 
     ``parse_error`` marks broken syntax. Empty text and JSON that is no object
     parse to a row without fields. ``lenient`` also reads integers in quotes.
+
+    Flat texts with the expected types are read in one pass. The others (broken,
+    nested, a number in quotes, a fraction for a whole number) are read again
+    member by member.
     """
-    raw = F.col(value)
+    raw = F.col("raw_payload")
     keep = [c for c in df.columns if c != value and c not in S.WIRE_FIELDS]
-    doc = F.col("_v")
-    payload = F.try_variant_get(doc, "$.rule_payload", "variant")
-    fields = F.struct(
-        (doc.isNull() & (text.squeeze(F.col("raw_payload")) != "")).alias("parse_error"),
-        *[text.v_text(doc, f).alias(f) for f in S.TEXT_FIELDS],
-        *[text.v_long(doc, f, lenient).alias(f) for f in S.LONG_FIELDS],
-        *[text.v_double(doc, f).alias(f) for f in S.DOUBLE_FIELDS],
-        F.when(payload.isNotNull(), F.to_json(payload)).alias("rule_payload"),
+    typed = df.select(*keep, F.col(value).alias("raw_payload")).withColumn(
+        "_t", F.from_json(raw, _TYPED, {"columnNameOfCorruptRecord": _BAD})
+    )
+    nested = (F.locate("{", raw, 2) > 0) | (F.locate("[", raw, 2) > 0)
+    marked = typed.withColumn("_careful", F.col(f"_t.{_BAD}").isNotNull() | nested)
+    opened = marked.withColumn("_v", F.when(F.col("_careful"), F.try_parse_json(raw)))
+    read = opened.select(
+        *keep,
+        "raw_payload",
+        F.when(F.col("_careful"), _careful_fields(F.col("_v"), raw, lenient))
+        .otherwise(_plain_fields(F.col("_t")))
+        .alias("_e"),
     )
     # Generators are not merged into later filters, so each text is read once
     # however often a check refers to one of its fields.
-    parsed = df.select(*keep, raw.alias("raw_payload"), F.try_parse_json(raw).alias("_v"))
-    once = parsed.select(*keep, "raw_payload", F.explode(F.array(doc)).alias("_v"))
-    return once.select(*keep, "raw_payload", F.inline(F.array(fields)))
+    return read.select(*keep, "raw_payload", F.explode(F.array("_e")).alias("_e")).select(
+        *keep, "raw_payload", "_e.*"
+    )
 
 
 def _first_reason(checks: list[tuple[Column, Column]]) -> Column:

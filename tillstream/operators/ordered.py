@@ -91,6 +91,30 @@ def running(
     )
 
 
+def following(
+    df: DataFrame, keys: Sequence[str], at: str, name: str, block: int = clock.DAY_MS
+) -> DataFrame:
+    """Add ``name``: the next ``at`` of the same key, null for the last one.
+
+    ``at`` is unique per key. The first time of the next block stands in each
+    block as a marker row, so no key is sorted in one piece.
+    """
+    keys = list(keys)
+    rows = df.withColumn("_block", clock.bucket(F.col(at), block))
+    firsts = rows.groupBy(*keys, "_block").agg(F.min(at).alias("_first"))
+    by_block = Window.partitionBy(*keys).orderBy("_block")
+    markers = firsts.select(
+        *keys, "_block", F.lead("_first").over(by_block).alias(at), F.lit(True).alias("_marker")
+    ).where(F.col(at).isNotNull())
+    within = Window.partitionBy(*keys, "_block").orderBy(at)
+    return (
+        rows.unionByName(markers, allowMissingColumns=True)
+        .withColumn(name, F.lead(at).over(within))
+        .where("_marker is null")
+        .drop("_block", "_marker")
+    )
+
+
 def with_next_block(points: DataFrame, at: str, width: int) -> DataFrame:
     """Copy each point into its own block and, as history, into the next one."""
     own = clock.bucket(F.col(at), width)
@@ -180,7 +204,7 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, percents: Sequence
     known = df.where(F.col(value).isNotNull())
     ranks = running(known, keys, value, {"n": (F.lit(1), "sum")})
     totals = known.groupBy(*keys).agg(F.count("*").alias("_total"))
-    joined = lookup_join(ranks, totals, list(keys))
+    joined = lookup_join(ranks, totals, list(keys), derived=True)
     return joined.groupBy(*keys).agg(
         *[
             F.min(

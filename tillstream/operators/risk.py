@@ -78,15 +78,15 @@ def enrich_with_logins(
 
 def flag_list(df: DataFrame, entries: DataFrame, on: str, flag: str = "listed") -> DataFrame:
     """Mark rows whose ``on`` is in an allow or deny list."""
-    marked = lookup_join(df, entries.select(on).distinct().withColumn(flag, F.lit(True)), [on])
+    marks = entries.select(on).distinct().withColumn(flag, F.lit(True))
+    marked = lookup_join(df, marks, [on], derived=True)
     return marked.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def only_listed(df: DataFrame, entries: DataFrame, on: str, listed: bool = True) -> DataFrame:
     """Keep the rows in (or not in) a list."""
-    return lookup_join(
-        df, entries.select(on).distinct(), [on], "left_semi" if listed else "left_anti"
-    )
+    how = "left_semi" if listed else "left_anti"
+    return lookup_join(df, entries.select(on).distinct(), [on], how, derived=True)
 
 
 def with_config(df: DataFrame, config: DataFrame, key: str, at: str, name: str) -> DataFrame:
@@ -205,7 +205,7 @@ def rule_amount(events: DataFrame, rule: Rule, z_limit: float = 3.0) -> DataFram
     )
     mean = F.col("_s") / F.col("_n")
     deviation = F.sqrt((F.col("_ss") - F.col("_s") * F.col("_s") / F.col("_n")) / (F.col("_n") - 1))
-    placed = lookup_join(pay, stats, ["tenant_id"]).withColumns(
+    placed = lookup_join(pay, stats, ["tenant_id"], derived=True).withColumns(
         {"_mean": mean, "_dev": F.when(F.col("_n") > 1, deviation)}
     )
     high = F.col("amount_minor") >= rule.threshold

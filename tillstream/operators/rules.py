@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream import schemas as S
@@ -10,6 +10,7 @@ from tillstream.functions import clock, money
 from tillstream.operators.asof import asof_lookup, intervals
 from tillstream.operators.ordered import running
 from tillstream.operators.skew import lookup_join, salted_join
+from tillstream.session import stage
 
 TERMS = [
     "rule_version", "rate_type", "rate_pct", "fixed_fee", "floor_amount", "cap_amount",
@@ -102,15 +103,16 @@ def _optional(name: str) -> Column:
 
 
 def _with_known_rule(pay: DataFrame, rules: DataFrame, known_at: str, at: str) -> DataFrame:
-    tenant = Window.partitionBy("tenant_id")
-    ranked = rules.select(
-        "tenant_id",
-        "effective_time",
-        "ingest_time",
-        *TERMS,
-        F.row_number().over(tenant.orderBy("effective_time", "rule_version")).alias("eff_rank"),
-        F.row_number().over(tenant.orderBy("ingest_time", "rule_version")).alias("known_rank"),
+    def rank(time: str, name: str) -> DataFrame:
+        counts = running(rules, ["tenant_id"], time, {"n": (F.lit(1), "sum")}, clock.DAY_MS)
+        return counts.select("tenant_id", time, F.col("n_upto").alias(name))
+
+    ranked = (
+        rules.select("tenant_id", "effective_time", "ingest_time", *TERMS)
+        .join(rank("effective_time", "eff_rank"), ["tenant_id", "effective_time"])
+        .join(rank("ingest_time", "known_rank"), ["tenant_id", "ingest_time"])
     )
+    ranked = stage(ranked, "rules")
     by_effect = ranked.select("tenant_id", "effective_time", *TERMS, "eff_rank", "known_rank")
     by_arrival = ranked.select("tenant_id", "ingest_time", "rule_version", "known_rank")
     found = asof_lookup(
@@ -136,12 +138,12 @@ def _with_known_rule(pay: DataFrame, rules: DataFrame, known_at: str, at: str) -
         .distinct()
     )
     known = open_cases.join(ranked, "tenant_id").where(
-        "eff_rank < _eff and known_rank <= _seen"
+        "eff_rank <= _eff and known_rank <= _seen"
     )
     settled = known.groupBy("tenant_id", "_eff", "_seen").agg(
         F.max(F.struct("eff_rank", F.struct(*TERMS).alias("terms"))).alias("_top")
     ).select("tenant_id", "_eff", "_seen", F.col("_top.terms").alias("_older"))
-    found = lookup_join(found, settled, ["tenant_id", "_eff", "_seen"])
+    found = lookup_join(found, settled, ["tenant_id", "_eff", "_seen"], derived=True)
     rule = F.when(F.col("_ok"), _optional("_rule")).otherwise(_optional("_older"))
     return found.select(*pay.columns, F.coalesce(rule, _default_terms()).alias("rule"))
 

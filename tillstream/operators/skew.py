@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillstream.session import stage
+
 # A side is broadcast only after its serialised size was measured below this.
 BROADCAST_BYTES = 64 << 20
-# A key with more rows than this is spread over SALTS tasks in a shuffle join.
+# More rows than this of one key (bucket) are spread over SALTS tasks in a shuffle join.
 HOT_ROWS = 1_000_000
 SALTS = 64
-# Only the largest keys can be hot; a key beyond these holds under 1/1000 of the rows.
-MAX_HOT_KEYS = 1_000
+# Only the largest can be hot: whatever comes after these holds under 1/1000 of the rows.
+MAX_HOT = 1_000
+KEY_BUCKETS = 65_536
 
 
 def measured_bytes(df: DataFrame, weight: Column | None = None) -> int:
@@ -34,17 +37,37 @@ def content_salt(df: DataFrame, salts: int = SALTS) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them."""
+    """The keys with more than ``hot_rows`` rows, at most ``MAX_HOT`` of them."""
     return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > hot_rows)
         .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
+        .limit(MAX_HOT)
         .select(*keys, F.lit(True).alias("_hot"))
     )
 
 
+def _key_bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def hot_buckets(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Hash buckets of the key that hold far more rows than the average one.
+
+    Counting buckets instead of keys merges almost everything before the
+    shuffle, however many keys there are.
+    """
+    counts = df.groupBy(_key_bucket(keys).alias("_bucket")).agg(F.count("*").alias("_rows"))
+    average = counts.agg((F.sum("_rows") / KEY_BUCKETS).alias("a")).scalar()
+    busy = counts.where(F.col("_rows") > F.greatest(F.lit(hot_rows), 4 * average))
+    return (
+        busy.orderBy(F.desc("_rows"), "_bucket")
+        .limit(MAX_HOT)
+        .select("_bucket", F.lit(True).alias("_hot"))
+    )
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -53,33 +76,44 @@ def salted_join(
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Equi join of two large sides; hot left keys are spread, their right rows copied.
+    """Equi join of two large sides that spreads the hot keys of the left one.
 
-    Left rows with a null key never match and are spread as well.
+    Left rows of a hot key bucket go to ``salts`` tasks and the right rows of
+    that bucket are copied to each; all other rows move once, as in a plain
+    join. Left rows with a null key never match and are spread as well.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
-    hot = F.broadcast(hot_keys(left.dropna(subset=list(on)), on, hot_rows))
+    on = list(on)
+    bucket = _key_bucket(on).alias("_bucket")
+    keyed = left.dropna(subset=on)
+    hot = F.broadcast(hot_buckets(keyed, on, hot_rows))
     no_key = F.lit(False)
     for k in on:
         no_key = no_key | F.col(k).isNull()
     spread = F.coalesce(F.col("_hot"), no_key)
-    left_salted = left.join(hot, list(on), "left").select(
+    left_salted = left.select("*", bucket).join(hot, "_bucket", "left").select(
         *left.columns,
         F.when(spread, content_salt(left, salts)).otherwise(F.lit(0)).alias("_salt"),
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
-    right_salted = right.join(hot, list(on), "left").select(
+    right_salted = right.select("*", bucket).join(hot, "_bucket", "left").select(
         *right.columns, F.explode(copies).alias("_salt")
     )
     return left_salted.join(right_salted, [*on, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
-    left: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left"
+    left: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", derived: bool = False
 ) -> DataFrame:
-    """Join to a table that is usually small: broadcast when measured small, else salted."""
+    """Join to a table that is usually small: broadcast when measured small, else salted.
+
+    ``derived`` marks a table computed from facts: it is written first, so that
+    measuring it does not compute it a second time.
+    """
+    if derived:
+        dim = stage(dim, "lookup")
     if fits_broadcast(dim):
         return left.join(F.broadcast(dim), list(on), how)
     return salted_join(left, dim, on, how)

@@ -8,8 +8,8 @@ from tillstream.functions import clock
 from tillstream.operators import billing
 from tillstream.plans.checkviews import clock as at, day
 from tillstream.plans.registry import query
+from tillstream.session import stage
 from tillstream.sources import adapters as A
-from tillstream.sources.tables import stage
 
 _ITEM = """CASE kind WHEN 'purchase' THEN 'success' WHEN 'click' THEN 'api' WHEN 'error' THEN 'risk'
   WHEN 'view' THEN 'report' ELSE 'push' END"""

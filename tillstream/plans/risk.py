@@ -9,8 +9,8 @@ from tillstream.operators import risk
 from tillstream.operators.risk import Rule
 from tillstream.plans.checkviews import clock as at, day
 from tillstream.plans.registry import query
+from tillstream.session import stage
 from tillstream.sources import adapters as A
-from tillstream.sources.tables import stage
 
 SIX_HOURS = 6 * clock.HOUR_MS
 

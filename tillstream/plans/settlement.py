@@ -10,8 +10,8 @@ from tillstream.functions import clock, money
 from tillstream.operators import ingest, ledger, ordered, profile, recon, rules, settlement
 from tillstream.plans.checkviews import SETTLE_SUMS, clock as at, cols, day, fee, ts
 from tillstream.plans.registry import query
+from tillstream.session import stage
 from tillstream.sources import adapters as A
-from tillstream.sources.tables import stage
 
 NOW_MS = 1_704_400_000_000
 

@@ -4,6 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(),
+    "double": T.DoubleType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(), "decimal(10,6)": T.DecimalType(10, 6),
+}
+
+
+def columns(text: str) -> T.StructType:
+    """Schema from ``name type [not null], ...``; needs no running session."""
+    fields = []
+    for part in text.split(", "):
+        name, kind, *rest = part.split()
+        fields.append(T.StructField(name, _TYPES[kind], nullable=not rest))
+    return T.StructType(fields)
+
+
 PAY, REFUND, CHARGEBACK, ADJUST, RULE_CHANGE = (
     "pay_success",
     "refund_success",
@@ -31,7 +47,7 @@ PAY_METHODS = ["wx", "alipay", "card", "h5", "quickpay"]
 COMMON_AMOUNTS = [600, 3000, 6800, 12800, 32800, 64800, 9800, 19800, 4800, 1200, 30000, 50000]
 HUGE_AMOUNT = 99_999_999
 
-RULE_PAYLOAD = T.StructType.fromDDL(
+RULE_PAYLOAD = columns(
     "rate_type string, rate_pct double, fixed_fee bigint, cap_amount bigint, "
     "floor_amount bigint, pay_method string, channel_id string"
 )
@@ -58,11 +74,11 @@ WIRE_FIELDS = [
     "rule_payload", "event_time", "ingest_time", "trace_id", "data_quality_flag",
 ]
 
-TOPIC_RECORD = T.StructType.fromDDL(
+TOPIC_RECORD = columns(
     "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 )
 
-DETAIL = T.StructType.fromDDL(
+DETAIL = columns(
     "event_date date not null, idempotency_key string not null, tenant_id string not null, "
     "app_id string not null, order_id string not null, payment_id string, "
     "user_id string not null, event_type string not null, amount_minor bigint not null, "
@@ -72,7 +88,7 @@ DETAIL = T.StructType.fromDDL(
     "ingest_time timestamp_ntz, process_time timestamp_ntz, data_quality_flag string"
 )
 
-DETAIL_FULL = T.StructType.fromDDL(
+DETAIL_FULL = columns(
     "event_date date not null, idempotency_key string not null, tenant_id string not null, "
     "app_id string not null, order_id string not null, payment_id string, refund_id string, "
     "chargeback_id string, adjust_id string, user_id string not null, "
@@ -85,12 +101,12 @@ DETAIL_FULL = T.StructType.fromDDL(
     "process_time timestamp_ntz, data_quality_flag string"
 )
 
-DIRTY = T.StructType.fromDDL(
+DIRTY = columns(
     "event_date date not null, receive_time timestamp_ntz not null, "
     "dirty_reason string not null, event_type string, tenant_id string, raw_payload string"
 )
 
-RULE_DIM = T.StructType.fromDDL(
+RULE_DIM = columns(
     "tenant_id string not null, rule_version int not null, rule_id string not null, "
     "effective_time timestamp_ntz not null, pay_method string, channel_id string, "
     "rate_type string not null, rate_pct decimal(10,6), fixed_fee bigint, cap_amount bigint, "
@@ -98,14 +114,14 @@ RULE_DIM = T.StructType.fromDDL(
     "create_time timestamp_ntz"
 )
 
-MINUTE_GMV = T.StructType.fromDDL(
+MINUTE_GMV = columns(
     "stat_date date not null, stat_minute timestamp_ntz not null, tenant_id string not null, "
     "app_id string not null, channel_id string not null, pay_method string not null, "
     "pay_count bigint not null, pay_amount bigint not null, net_amount bigint not null, "
     "update_time timestamp_ntz not null"
 )
 
-RECOVERY_DETAIL = T.StructType.fromDDL(
+RECOVERY_DETAIL = columns(
     "event_id string not null, event_type string not null, event_time timestamp_ntz not null, "
     "ingest_time timestamp_ntz, tenant_id string not null, app_id string not null, "
     "channel_id string, pay_method string, amount_minor bigint not null, "

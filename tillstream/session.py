@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 OPTIONS = {
     "spark.sql.adaptive.enabled": "true",
@@ -43,3 +43,15 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_base()
     return f"{base.rstrip('/')}/tillstream/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table that several branches read, in the shared folder.
+
+    It survives lost executors and is computed once. The folder is left to the
+    retention of the checkpoint folder.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -188,7 +188,9 @@ def money_events(pay: DataFrame) -> DataFrame:
     extra = F.when(kind == "changed_copy", 2_500).when(kind == "replay", 600_000).otherwise(0)
     made["event_time"] = F.col("_event_time")
     made["ingest_time"] = F.col("_event_time") + F.expr(delay("_m")) + extra
-    return rows.select(*[made.get(c, F.col(c)).alias(c) for c in EVENT_COLUMNS])
+    event = F.struct(*[made.get(c, F.col(c)).alias(c) for c in EVENT_COLUMNS])
+    # The generator keeps later filters from repeating the formulas above.
+    return rows.select(event.alias("e")).select(F.explode(F.array("e")).alias("e")).select("e.*")
 
 
 def rules(nation: DataFrame) -> DataFrame:

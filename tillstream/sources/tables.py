@@ -17,19 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.operators.ordered import latest_per_key
-from tillstream.session import work_dir
+from tillstream.session import stage
 
 BATCH = "batch_id"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate table that several branches read, in the shared folder."""
-    spark = df.sparkSession
-    path = work_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def write_batch(
     df: DataFrame, path: str, day_col: str, batch_id: int, buckets: Sequence[str] | None = None,
     files_per_day: int = 16,

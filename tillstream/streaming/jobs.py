@@ -270,7 +270,7 @@ HIT_TABLE = {
 
 
 def hit_table() -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in HIT_TABLE.items()))
+    return S.columns(", ".join(f"{n} {t}" for n, t in HIT_TABLE.items()))
 
 
 def _write_hits(path: str, shape: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
@@ -385,5 +385,5 @@ def throttle_stream(
 
 
 def read_throttle(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in THROTTLE_TABLE.items()))
+    schema = S.columns(", ".join(f"{n} {t}" for n, t in THROTTLE_TABLE.items()))
     return tables.read_latest(spark, path, schema, ["event_id"], "stat_date").drop("stat_date")
