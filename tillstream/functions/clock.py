@@ -70,6 +70,11 @@ def ntz_to_ms(ts: Column) -> Column:
     )
 
 
+def wall_to_ms(ts: Column) -> Column:
+    """Local TIMESTAMP_NTZ, as stored in the tables, back to epoch milliseconds."""
+    return ntz_to_ms(F.convert_timezone(F.lit(ZONE), F.lit("UTC"), ts))
+
+
 def since(ms: Column, now_ms: int, hours: int) -> Column:
     """Predicate: in the last ``hours`` before an explicit ``now_ms``."""
     return (ms >= F.lit(now_ms - hours * HOUR_MS)) & (ms <= F.lit(now_ms))

@@ -70,9 +70,7 @@ def parse_events(df: DataFrame, value: str = "value", lenient: bool = False) ->
     )
     # Generators are not merged into later filters, so each text is read once
     # however often a check refers to one of its fields.
-    return read.select(*keep, "raw_payload", F.explode(F.array("_e")).alias("_e")).select(
-        *keep, "raw_payload", "_e.*"
-    )
+    return read.select(*keep, "raw_payload", F.inline(F.array("_e")))
 
 
 def _first_reason(checks: list[tuple[Column, Column]]) -> Column:

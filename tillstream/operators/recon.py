@@ -46,6 +46,13 @@ def target_counters(detail: DataFrame) -> DataFrame:
     return _counters(detail, "dst")
 
 
+def stored_counters(detail: DataFrame) -> DataFrame:
+    """Target counters of a stored detail table, whose times are local wall clock."""
+    return target_counters(
+        detail.withColumn("event_time", clock.wall_to_ms(F.col("event_time")))
+    )
+
+
 def reconcile(src: DataFrame, dst: DataFrame) -> DataFrame:
     """Both sides per key with differences (source - target), reason and status.
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream import schemas as S
-from tillstream.operators import ingest
+from tillstream.operators import ingest, recon
 from tillstream.plans.billing import THROTTLE_SQL
-from tillstream.plans.checkviews import clock as at, day, minute
+from tillstream.plans.checkviews import clock as at, counters, day, minute, ts
 from tillstream.plans.registry import query
 from tillstream.plans.risk import _FREQ, FREQUENCY
 from tillstream.session import work_dir
@@ -124,6 +124,33 @@ def streamed_minute_parts(spark, sf_dir):
     return jobs.read_minute_parts(spark, f"{folder}/minutes")
 
 
+_HOUR = f"""{day('event_time')} AS recon_date,
+  CAST(date_part('hour', {ts('event_time')}) AS BIGINT) AS recon_hour, tenant_id"""
+
+
+@query(f"""
+SELECT recon_date, recon_hour, tenant_id, src_pay_count, dst_pay_count, src_pay_amount,
+  dst_pay_amount, CAST(CASE WHEN src_event_count = dst_event_count AND src_pay_amount = dst_pay_amount
+    THEN 1 ELSE 2 END AS BIGINT) AS recon_status
+FROM (SELECT {_HOUR}, {counters('src')} FROM a_events WHERE event_type = 'pay_success' GROUP BY ALL)
+JOIN (SELECT {_HOUR}, {counters('dst')} FROM a_detail WHERE event_type = 'pay_success' GROUP BY ALL)
+  USING (recon_date, recon_hour, tenant_id)""")
+def streamed_reconciliation(spark, sf_dir):
+    """Hourly check of what the ingest stream stored against what it was sent."""
+    folder, run = _run(spark, "ingest")
+    records = event_records(spark, sf_dir, True)
+    jobs.ingest_stream(records, f"{folder}/detail", f"{folder}/dirty", run).awaitTermination()
+    sent = A.a_events(spark, sf_dir).where(F.col("event_type") == S.PAY)
+    both = recon.reconcile(
+        recon.source_counters(sent),
+        recon.stored_counters(jobs.read_detail(spark, f"{folder}/detail")),
+    )
+    return both.select(
+        *S.RECON_KEYS, "src_pay_count", "dst_pay_count", "src_pay_amount", "dst_pay_amount",
+        "recon_status",
+    )
+
+
 _NO_FEE = "take_rate_total", "settlement_total"
 
 

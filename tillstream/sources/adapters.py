@@ -190,7 +190,7 @@ def money_events(pay: DataFrame) -> DataFrame:
     made["ingest_time"] = F.col("_event_time") + F.expr(delay("_m")) + extra
     event = F.struct(*[made.get(c, F.col(c)).alias(c) for c in EVENT_COLUMNS])
     # The generator keeps later filters from repeating the formulas above.
-    return rows.select(event.alias("e")).select(F.explode(F.array("e")).alias("e")).select("e.*")
+    return rows.select(event.alias("e")).select(F.inline(F.array("e")))
 
 
 def rules(nation: DataFrame) -> DataFrame:
