@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import skew
-from tillstream.operators.asof import asof_lookup, intervals
+from tillstream.operators.asof import asof_lookup, intervals, last_below
 from tillstream.operators.ordered import (
     following,
     latest_per_key,
@@ -175,3 +175,24 @@ def test_intervals_keep_the_highest_version(spark):
     )
     got = sorted(map(tuple, intervals(dim, ["k"], "at", "ver").collect()))
     assert got == [("a", 10, 20, 3), ("a", 20, None, 2)]
+
+
+@pytest.mark.parametrize("fanout", [2, 4, 64])
+def test_last_below(spark, fanout):
+    r = random.Random(9)
+    points = [("hot", i, r.randrange(100)) for i in range(1, 60)] + [("k", i, 5) for i in range(1, 4)]
+    cases = [("hot", r.randrange(0, 62), r.randrange(0, 40)) for _ in range(80)]
+    cases += [("k", 2, 5), ("k", 2, 4), ("none", 3, 50)]
+    got = last_below(
+        spark.createDataFrame(sorted(set(cases)), "k string, pos long, bound long"),
+        spark.createDataFrame(points, "k string, rank long, low long"),
+        "k",
+        fanout,
+    )
+    got = {(x.k, x.pos, x.bound): x["rank"] for x in got.collect()}
+    want = {}
+    for k, pos, bound in cases:
+        fits = [i for k2, i, low in points if k2 == k and i <= pos and low <= bound]
+        if fits:
+            want[k, pos, bound] = max(fits)
+    assert got == want

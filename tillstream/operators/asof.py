@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from tillstream.functions import clock
 from tillstream.operators.ordered import following
-from tillstream.operators.skew import BROADCAST_BYTES, SALTS, content_salt, measured_bytes
+from tillstream.operators.skew import (
+    BROADCAST_BYTES,
+    SALTS,
+    content_salt,
+    lookup_join,
+    measured_bytes,
+    salted_join,
+)
 from tillstream.session import stage
 
 
@@ -101,3 +108,52 @@ def asof_lookup(
     if before_first == "first":
         answer = F.coalesce(answer, F.when(t < F.col("_first.from"), F.col("_first.row")))
     return found.select(*facts.columns, answer.alias(name))
+
+
+def last_below(
+    cases: DataFrame, points: DataFrame, key: str, fanout: int = 64
+) -> DataFrame:
+    """For each case (key, pos, bound): the greatest ``rank <= pos`` with ``low <= bound``.
+
+    ``points`` has (key, rank, low). Ranks are grouped by ``fanout`` into blocks,
+    blocks into larger blocks, each with its smallest ``low``. A case looks at
+    the ranks of its own block, then at whole blocks before it, level by level,
+    and then down into the block it found. So it meets at most ``fanout`` rows
+    per step and never all points of its key. Result: (key, pos, bound, rank).
+    """
+    case = [key, "pos", "bound"]
+    group = F.call_function("div", F.col("rank"), F.lit(fanout))
+    tree = [points.groupBy(key, "rank").agg(F.min("low").alias("low"))]
+    top = points.agg(F.max("rank")).first()[0] or 0
+    while fanout ** len(tree) <= top:
+        tree.append(tree[-1].groupBy(key, group.alias("rank")).agg(F.min("low").alias("low")))
+
+    def best(level: int, parents: DataFrame, limit: bool) -> DataFrame:
+        members = tree[level].select(key, group.alias("parent"), "rank", "low")
+        near = lookup_join(parents, members, [key, "parent"], "inner", derived=level > 0)
+        fits = F.col("low") <= F.col("bound")
+        if limit:
+            fits = fits & (F.col("rank") < F.col("limit"))
+        return near.where(fits).groupBy(*case).agg(F.max("rank").alias("rank"))
+
+    open_cases = cases.select(*case, (F.col("pos") + 1).alias("limit")).withColumn(
+        "parent", F.call_function("div", F.col("pos"), F.lit(fanout))
+    )
+    hits = []
+    for level in range(len(tree)):
+        hits.append(best(level, open_cases, limit=True))
+        if level + 1 < len(tree):
+            hits[level] = stage(hits[level], "hits")
+            open_cases = stage(
+                salted_join(open_cases, hits[level].select(*case), case, "left_anti").select(
+                    *case,
+                    F.col("parent").alias("limit"),
+                    F.call_function("div", F.col("parent"), F.lit(fanout)).alias("parent"),
+                ),
+                "open",
+            )
+    found = hits.pop()
+    while hits:
+        inside = best(len(hits) - 1, found.withColumnRenamed("rank", "parent"), limit=False)
+        found = inside.unionByName(hits.pop())
+    return found

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstream import schemas as S
 from tillstream.functions import clock, money
-from tillstream.operators.asof import asof_lookup, intervals
+from tillstream.operators.asof import asof_lookup, intervals, last_below
 from tillstream.operators.ordered import running
 from tillstream.operators.skew import lookup_join, salted_join
 from tillstream.session import stage
@@ -137,12 +137,29 @@ def _with_known_rule(pay: DataFrame, rules: DataFrame, known_at: str, at: str) -
         .select("tenant_id", "_eff", "_seen")
         .distinct()
     )
-    known = open_cases.join(ranked, "tenant_id").where(
-        "eff_rank <= _eff and known_rank <= _seen"
+    cases = stage(
+        open_cases.select(
+            "tenant_id", F.col("_eff").alias("pos"), F.col("_seen").alias("bound")
+        ),
+        "cases",
+    )
+    points = ranked.select(
+        "tenant_id", F.col("eff_rank").alias("rank"), F.col("known_rank").alias("low")
+    )
+    older = last_below(cases, points, "tenant_id").select(
+        "tenant_id",
+        F.col("pos").alias("_eff"),
+        F.col("bound").alias("_seen"),
+        F.col("rank").alias("eff_rank"),
+    )
+    terms = ranked.select("tenant_id", "eff_rank", "known_rank", F.struct(*TERMS).alias("_terms"))
+    # Several versions of one effective time share a rank; the highest known one counts.
+    settled = (
+        lookup_join(older, terms, ["tenant_id", "eff_rank"], "inner")
+        .where("known_rank <= _seen")
+        .groupBy("tenant_id", "_eff", "_seen")
+        .agg(F.max("_terms").alias("_older"))
     )
-    settled = known.groupBy("tenant_id", "_eff", "_seen").agg(
-        F.max(F.struct("eff_rank", F.struct(*TERMS).alias("terms"))).alias("_top")
-    ).select("tenant_id", "_eff", "_seen", F.col("_top.terms").alias("_older"))
     found = lookup_join(found, settled, ["tenant_id", "_eff", "_seen"], derived=True)
     rule = F.when(F.col("_ok"), _optional("_rule")).otherwise(_optional("_older"))
     return found.select(*pay.columns, F.coalesce(rule, _default_terms()).alias("rule"))
