@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 
 from tillstream.functions import clock, money
 from tillstream.operators.asof import asof_lookup
-from tillstream.operators.ordered import latest_per_key, rolling_distinct, rolling_sums, with_next_block
+from tillstream.operators.ordered import (
+    latest_per_key,
+    rolling_distinct,
+    rolling_sums,
+    with_next_block,
+)
 from tillstream.operators.skew import lookup_join, salted_join
+from tillstream.session import stage
 
 
 @dataclass(frozen=True)
@@ -49,6 +55,8 @@ def enrich_with_logins(
             F.max("_pay").alias("_pay"),
         )
     )
+    # Read twice below with different columns, so it is worth writing once.
+    marks = stage(marks, "marks")
     counts = rolling_sums(marks, user, at, width_ms, {"login_count": F.col("_login")})
     upto = (
         Window.partitionBy(user, "_block")

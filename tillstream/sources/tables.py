@@ -102,6 +102,7 @@ def compact(
     day_col: str,
     days: Sequence[date | str],
     order_by: Sequence[str] = (),
+    files_per_day: int = 16,
 ) -> None:
     """Fold all batches of closed days into their newest one.
 
@@ -118,7 +119,8 @@ def compact(
     latest = latest_per_key(stored, list(keys), [*order_by, BATCH]).drop(BATCH)
     staged = stage(latest, "compact")
     for day, batch in newest.items():
-        write_batch(staged.where(F.col(day_col) == F.lit(day)), path, day_col, batch, keys)
+        rows = staged.where(F.col(day_col) == F.lit(day))
+        write_batch(rows, path, day_col, batch, keys, files_per_day)
         for folder in _folders(spark, f"{path}/{day_col}={day}"):
             if folder.split("=")[-1] != str(batch):
                 _delete(spark, f"{path}/{day_col}={day}/{folder}")
