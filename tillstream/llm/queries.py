@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import decontaminate, exact, simhash
+from tillstream.llm import decontaminate, exact, packing, quality, simhash
 from tillstream.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,14 +47,14 @@ _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcde
     f"""
     WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
     b AS (SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
-    bw AS (SELECT item_id, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS at, w
+    bw AS (SELECT item_id, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i, w
            FROM b WHERE len(w) > 0),
-    win AS (SELECT DISTINCT item_id, n, array_to_string(w[at : at + n - 1], ' ') AS t FROM bw),
+    win AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS t FROM bw),
     lens AS (SELECT DISTINCT n FROM win),
-    dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS at, w FROM d, lens WHERE len(w) >= n),
-    found AS (SELECT dw.doc_id, dw.at, dw.n, win.item_id
-              FROM dw JOIN win ON win.n = dw.n AND win.t = array_to_string(dw.w[dw.at : dw.at + dw.n - 1], ' ')),
-    pos AS (SELECT DISTINCT doc_id, unnest(range(at, at + n)) AS p FROM found),
+    dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, lens WHERE len(w) >= n),
+    found AS (SELECT dw.doc_id, dw.i, dw.n, win.item_id
+              FROM dw JOIN win ON win.n = dw.n AND win.t = array_to_string(list_slice(dw.w, dw.i, dw.i + dw.n - 1), ' ')),
+    pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM found),
     hit AS (SELECT doc_id, count(*) AS n_hit FROM pos GROUP BY doc_id),
     pairs AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found),
     items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
@@ -67,3 +67,13 @@ _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcde
 )
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
