@@ -21,6 +21,8 @@ from tillstream.llm.exchange import exchange
 
 #: Bits of a fingerprint. A chance match only makes a row a suspect that the byte comparison clears.
 FINGERPRINT_BITS = 48
+#: Rows for each owner of a fingerprint range, at most.
+OWNER_ROWS = 4_000_000
 
 
 def golomb_encode(values: np.ndarray, span: int) -> bytes:
@@ -106,7 +108,9 @@ def flagged(docs: DataFrame, text_col: str, keep_all_texts: bool) -> DataFrame:
     Unless ``keep_all_texts``, texts of other rows are left out.
     """
     spark = docs.sparkSession
-    at, owners = docs.columns.index(text_col), common.shuffle_partitions(spark)
+    at = docs.columns.index(text_col)
+    # The count keeps the fingerprints that one owner holds within a bound.
+    owners = max(common.shuffle_partitions(spark), -(-docs.count() // OWNER_ROWS))
     rows = docs.rdd
     if not rows.getNumPartitions():
         rows = docs.repartition(1).rdd
@@ -144,20 +148,16 @@ def _classes(marked: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     Copies meet as one partial row of each task, so a text that is a third of the input is no hot key.
     """
-    text = F.coalesce(F.col(f"doc.`{text_col}`"), F.lit(""))
+    text, doc_id = F.coalesce(F.col(f"doc.`{text_col}`"), F.lit("")), F.col(f"doc.`{id_col}`")
     return (
         marked.filter("suspect")
         .groupBy(text.alias("text"))
         .agg(
-            F.max(F.struct(F.col(f"doc.`{id_col}`").alias("id"), (-F.col("row")).alias("back"))).alias("last"),
+            F.max(doc_id).alias("keep_id"),
+            F.coalesce(F.max_by("row", doc_id), F.max("row")).alias("keep_row"),
             F.count(F.lit(1)).alias("n"),
         )
-        .select(
-            F.sha2(F.col("text").cast("binary"), 256).alias("class_sha"),
-            F.col("last.id").alias("keep_id"),
-            (-F.col("last.back")).alias("keep_row"),
-            "n",
-        )
+        .select(F.sha2(F.col("text").cast("binary"), 256).alias("class_sha"), "keep_id", "keep_row", "n")
     )
 
 
