@@ -60,7 +60,7 @@ def _pieces(path: str, capacity: int, end: int, with_ids: bool):
         part, best, encode = TaskContext.get().partitionId(), classes(capacity), tokens.encoder(path).encode
         ranks = [0] * (capacity + 1)
         for batch in common.slices(batches, "text", SLICE_BYTES):
-            ids, lengths = tokens.with_end(*encode(common.texts_of(batch)), end)
+            ids, lengths = tokens.with_end(*encode(batch.column(batch.schema.names.index("text"))), end)
             raw = memoryview(ids.astype("<u4").tobytes())
             rows, base = [], 0
             for doc_id, n in zip(batch.column(0).to_pylist(), lengths.tolist(), strict=True):

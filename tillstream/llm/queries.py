@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import decontaminate, exact, packing, quality, simhash
+from tillstream.llm import decontaminate, exact, huffman, packing, quality, simhash
 from tillstream.llm.common import table
+from tillstream.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -74,6 +75,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@_query()
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "llm-token-files")
+    huffman.write(table(spark, sf_dir, "documents"), folder)
+    return huffman.read(spark, folder, with_ids=False)
+
+
 @_query()
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
