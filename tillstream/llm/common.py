@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,3 +69,14 @@ def numbered(docs: DataFrame, label: str) -> DataFrame:
         .withColumn("row", F.monotonically_increasing_id()),
         label,
     )
+
+
+def chunks_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The pieces between spaces, tabs and line ends of all texts in a row, and how many each text has.
+
+    Two separators in a row have an empty piece between them, and an empty text is one empty piece.
+    """
+    for other in "\n\t\r":
+        texts = pc.replace_substring(texts, other, " ")
+    lists = pc.split_pattern(texts, " ")
+    return lists.flatten().dictionary_encode(), pc.list_value_length(lists).to_numpy()

@@ -14,7 +14,8 @@ import os
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
+
+from tillstream.llm import common
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -34,17 +35,6 @@ def path(vocabulary: str = VOCABULARY) -> str:
     return public_tokenizers.path(vocabulary)
 
 
-def _chunks_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """Chunks of all texts and the number of each text's chunks.
-
-    Split at white space that is certainly white space to the tokenizer; the rest stays in a chunk.
-    """
-    for other in "\n\t\r":
-        texts = pc.replace_substring(texts, other, " ")
-    lists = pc.split_pattern(texts, " ")
-    return lists.flatten().dictionary_encode(), pc.list_value_length(lists).to_numpy()
-
-
 def _parts(chunk: str) -> tuple[str, str] | None:
     """A chunk and a tail with the same ids, where that is certain."""
     core = chunk.rstrip(_TAIL)
@@ -135,7 +125,7 @@ class Encoder:
             self._forget()
         if not isinstance(texts, pa.Array):
             texts = pa.array(texts, pa.string())
-        chunks, counts = _chunks_of(texts.fill_null(""))
+        chunks, counts = common.chunks_of(texts.fill_null(""))
         known = np.array([self.chunks[c] for c in chunks.dictionary.to_pylist()], np.int64)
         if self.chunks.waiting:
             self._learn()
