@@ -117,12 +117,15 @@ def _hits_of_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
         )
 
     index = common.stage(with_context(spread(_kept(items), "item_id"), "i", "item_id", "hash"), "item-grams")
-    prints = spread(_kept(docs.filter(F.size("words") >= WINDOW)), "key")
+    prints = spread(_kept(docs), "key")
     if index.count() <= BROADCAST_ROWS:
         found = prints.join(F.broadcast(index), "hash")
         found = with_context(found, "d", "key", "item_id", "i_at", "i_begin", "i_words")
     else:
         found = with_context(prints, "d", "key", "hash").join(index, "hash")
+    # Written before it is compared: else the comparison moves into the join, which then runs outside
+    # generated code and copies all words of a document for each of its k-grams.
+    found = common.stage(found, "gram-hits")
     # left and right of the k-gram, nearest word first
     left = F.zip_with(
         F.reverse(F.slice("d_words", 1, F.col("d_at") - F.col("d_begin"))),
@@ -159,7 +162,7 @@ def _hits_of_short_items(docs: DataFrame, items: DataFrame, length: int) -> Data
         "short-items",
     )
     grams = (
-        _with_grams(docs.filter(F.size("words") >= length), length, "grams")
+        _with_grams(docs, length, "grams")
         .select("key", "words", F.posexplode_outer("grams").alias("at", "hash"))
         .filter("hash is not null")
     )
@@ -169,7 +172,7 @@ def _hits_of_short_items(docs: DataFrame, items: DataFrame, length: int) -> Data
         found = grams.select("key", "at", "hash", F.slice("words", F.col("at") + 1, length).alias("d_words")).join(
             whole, "hash"
         )
-    return found.filter("d_words = i_words").select(
+    return common.stage(found, "short-hits").filter("d_words = i_words").select(
         "key", "item_id", F.col("at").alias("begin"), (F.col("at") + length).alias("end")
     )
 
