@@ -72,11 +72,11 @@ def numbered(docs: DataFrame, label: str) -> DataFrame:
 
 
 def chunks_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """The pieces between spaces, tabs and line ends of all texts in a row, and how many each text has.
+    """The pieces between the six ASCII white spaces of all texts in a row, and how many each text has.
 
     Two separators in a row have an empty piece between them, and an empty text is one empty piece.
     """
-    for other in "\n\t\r":
+    for other in "\t\n\x0b\x0c\r":
         texts = pc.replace_substring(texts, other, " ")
     lists = pc.split_pattern(texts, " ")
     return lists.flatten().dictionary_encode(), pc.list_value_length(lists).to_numpy()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.llm import decontaminate, exact, huffman, packing, quality, simhash, toxicity
+from tillstream.llm import decontaminate, exact, huffman, lmscore, packing, quality, simhash, toxicity
 from tillstream.llm.common import table
 from tillstream.session import work_dir
 
@@ -34,6 +34,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query()
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(table(spark, sf_dir, "documents"))
+
+
 @_query(
     """
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
