@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillstream.llm import decontaminate, exact, huffman, lmscore, packing, quality, simhash, toxicity
+from tillstream.llm import decontaminate, exact, huffman, lmscore, packing, quality, rollups, simhash, toxicity
 from tillstream.llm.common import table
 from tillstream.session import work_dir
 
@@ -92,6 +93,23 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read(spark, folder, with_ids=False)
 
 
+@_query()
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of all documents, reached by inserts, deletes, revisions and a repeated batch."""
+    docs = table(spark, sf_dir, "documents")
+    store, tenth = work_dir(spark, "llm-token-counts"), F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10, F.lit(0))
+    insert = docs.withColumn("op", F.lit(rollups.INSERT))
+    earlier = F.when(tenth == 1, F.concat_ws(" ", "text", "source", "lang")).otherwise(F.col("text"))
+    rollups.apply(spark, store, 1, insert.filter(tenth != 0).withColumn("text", earlier))
+    second = insert.filter(tenth <= 2).withColumn(
+        "op", F.when(tenth == 1, F.lit(rollups.REVISE)).when(tenth == 2, F.lit(rollups.DELETE)).otherwise(F.col("op"))
+    )
+    rollups.apply(spark, store, 2, second)
+    rollups.apply(spark, store, 2, second)
+    rollups.apply(spark, store, 3, insert.filter(tenth == 2))
+    return rollups.totals(spark, store)
+
+
 @_query()
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
