@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import decontaminate, exact, huffman, lmscore, packing, quality, rollups, simhash, toxicity
+from tillstream.llm import decontaminate, exact, huffman, lmscore, packing, pii, quality, rollups, simhash, toxicity
 from tillstream.llm.common import table
 from tillstream.session import work_dir
 
@@ -81,6 +81,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@_query()
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents"))
+
+
 @_query()
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
