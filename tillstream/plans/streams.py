@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream import schemas as S
+from tillstream.functions import clock
 from tillstream.operators import ingest, recon
 from tillstream.plans.billing import THROTTLE_SQL
 from tillstream.plans.checkviews import clock as at, counters, day, minute, ts
@@ -13,33 +14,37 @@ from tillstream.plans.registry import query
 from tillstream.plans.risk import _FREQ, FREQUENCY
 from tillstream.session import work_dir
 from tillstream.sources import adapters as A
-from tillstream.sources.tables import is_folder
+from tillstream.sources import topics
 from tillstream.streaming import jobs
 
 ONCE = {"availableNow": True}
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a stream, be it one Parquet file or a folder of them."""
-    path = f"{sf_dir}/{name}.parquet"
-    reader = spark.readStream.schema(A.table(spark, sf_dir, name).schema)
-    if is_folder(spark, path):
-        return reader.parquet(path)
-    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+#: Files a topic is laid out in; each is one micro-batch.
+TOPIC_FILES = 6
+ONE_BY_ONE = {"maxFilesPerTrigger": "1"}
+
+
+def as_topic(df: DataFrame, order_col: str, label: str, files: int = TOPIC_FILES) -> DataFrame:
+    """Rows as a stream that meets them in order of ``order_col``, over several micro-batches."""
+    spark = df.sparkSession
+    path = f"{work_dir(spark, label)}/topic"
+    topics.write_in_order(df, path, order_col, files)
+    return spark.readStream.schema(df.schema).options(**ONE_BY_ONE).parquet(path)
 
 
 def event_records(spark: SparkSession, sf_dir: str, only_pay: bool = False) -> DataFrame:
-    """Money events as a stream of JSON topic records, with arrival as their timestamp."""
-    pay = A.payments(stream_table(spark, sf_dir, "orders"), A.table(spark, sf_dir, "customer"))
-    events = A.money_events(pay)
+    """Money events as a stream of JSON topic records, in the order of their arrival."""
+    events = A.a_events(spark, sf_dir)
     if only_pay:
         events = events.where(F.col("event_type") == S.PAY)
     wire = ingest.to_wire(events.withColumn("timestamp", F.timestamp_millis("ingest_time")))
-    return wire.select("value", "timestamp")
+    return as_topic(wire.select("value", "timestamp"), "timestamp", "topic")
 
 
 def usage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.usage(stream_table(spark, sf_dir, "events"))
+    """Usage as it is metered, in event order."""
+    return as_topic(A.a_usage(spark, sf_dir), "event_time", "usage")
 
 
 def _run(spark: SparkSession, label: str) -> tuple[str, jobs.Run]:
@@ -47,6 +52,19 @@ def _run(spark: SparkSession, label: str) -> tuple[str, jobs.Run]:
     return folder, jobs.Run(f"{folder}/checkpoint", ONCE)
 
 
+#: Batch number of a repair, above those of the streams.
+REPAIR = 1 << 40
+
+
+def valid_money(parsed: DataFrame) -> DataFrame:
+    return ingest.validate_events(parsed).where("dirty_reason is null")
+
+
+def _store(folder: str, records: DataFrame, lateness_ms: int, valid) -> None:
+    run = jobs.Run(f"{folder}/store-checkpoint", ONCE)
+    jobs.event_store_stream(records, f"{folder}/store", run, lateness_ms, valid).awaitTermination()
+
+
 @query(f"""
 SELECT {day('event_time')} AS event_date, idempotency_key, tenant_id, app_id, amount_minor,
   coalesce(pay_method, '') AS pay_method, trace_id, {at('event_time')} AS event_time,
@@ -102,11 +120,13 @@ WHERE event_type = 'pay_success' AND amount_minor > 0
     WHERE event_type = 'pay_success' AND amount_minor > 0)
 GROUP BY ALL""")
 def streamed_minute_gmv(spark, sf_dir):
-    """Minutes closed by the watermark; the newest stay open, as in the running job."""
+    """Minutes closed by the watermark, late rows repaired; the newest stay open, as in the running job."""
     folder, run = _run(spark, "gmv")
-    jobs.minute_gmv_stream(
-        event_records(spark, sf_dir, True), f"{folder}/minutes", run
-    ).awaitTermination()
+    records = event_records(spark, sf_dir, True)
+    jobs.minute_gmv_stream(records, f"{folder}/minutes", run).awaitTermination()
+    _store(folder, records, 5_000, ingest.valid_for_gmv)
+    closed = (jobs.newest_event(spark, f"{folder}/store") or 0) - 5_000
+    jobs.repair_late(spark, f"{folder}/store", f"{folder}/minutes", REPAIR, jobs.rebuilt_gmv(closed))
     return jobs.read_minutes(spark, f"{folder}/minutes", jobs.gmv_table())
 
 
@@ -156,11 +176,12 @@ _NO_FEE = "take_rate_total", "settlement_total"
 
 @query("SELECT * EXCLUDE (take_rate_total, settlement_total) FROM c_minute")
 def streamed_settlement(spark, sf_dir):
-    """Deduplicated minute settlement over all event types, late events included."""
+    """Deduplicated minute settlement over all event types: the stream, and the repair of late days."""
     folder, run = _run(spark, "settlement")
-    jobs.minute_settlement_stream(
-        event_records(spark, sf_dir), f"{folder}/minutes", run
-    ).awaitTermination()
+    records = event_records(spark, sf_dir)
+    jobs.minute_settlement_stream(records, f"{folder}/minutes", run).awaitTermination()
+    _store(folder, records, 6 * clock.HOUR_MS, valid_money)
+    jobs.repair_late(spark, f"{folder}/store", f"{folder}/minutes", REPAIR, jobs.rebuilt_settlement)
     minutes = jobs.read_minutes(spark, f"{folder}/minutes", jobs.settlement_table())
     return minutes.drop(*_NO_FEE)
 

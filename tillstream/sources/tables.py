@@ -70,7 +70,10 @@ def load_table(
         [f for f in schema if f.name != day_col]
         + [T.StructField(day_col, schema[day_col].dataType), T.StructField(BATCH, T.LongType())]
     )
-    df = spark.read.schema(stored).parquet(path)
+    if not is_folder(spark, path):
+        df = spark.createDataFrame([], stored)
+    else:
+        df = spark.read.schema(stored).parquet(path)
     if days is not None:
         df = df.where(F.col(day_col).isin([F.to_date(F.lit(str(d))) for d in days]))
     return df.select(*[f.name for f in schema], BATCH)

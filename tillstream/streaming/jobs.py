@@ -18,7 +18,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstream import schemas as S
 from tillstream.functions import clock
 from tillstream.operators import billing, ingest, risk, settlement
+from tillstream.operators.ordered import latest_per_key
 from tillstream.operators.risk import Rule
+from tillstream.session import stage
 from tillstream.sources import tables
 
 DETAIL_KEYS = ["event_date", "idempotency_key"]
@@ -228,6 +230,98 @@ def repair_days(
     tables.replace_days(spark, rebuilt, minute_path, "stat_date", days, batch_id)
 
 
+# --- late rows and their repair --------------------------------------------------------
+
+EVENT_STORE = T.StructType(
+    [
+        T.StructField("event_date", T.DateType()),
+        *[T.StructField(n, T.StringType()) for n in (
+            "event_type", "idempotency_key", "tenant_id", "app_id", "payment_id", "channel_id",
+            "pay_method", "trace_id",
+        )],
+        *[T.StructField(n, T.LongType()) for n in (
+            "amount_minor", "event_time", "ingest_time", "take_rate_amount", "settlement_amount",
+        )],
+    ]
+)
+_MARK = T.StructType([T.StructField("newest", T.LongType()), T.StructField("mark_date", T.DateType())])
+_LATE = T.StructType([T.StructField("event_date", T.DateType()), T.StructField("late_rows", T.LongType())])
+
+
+def event_store_stream(
+    records: DataFrame, folder: str, run: Run, lateness_ms: int,
+    valid: Callable[[DataFrame], DataFrame],
+) -> StreamingQuery:
+    """Keep every valid event by day, and count for each day those a windowed job drops as late.
+
+    Runs beside such a job, over the same records. A row is late when it is older than the newest
+    event of all earlier micro-batches less ``lateness_ms``, which is the watermark of a job that
+    reads in the same steps; a job that lags behind it drops less. Nothing is dropped here, so :func:`repair_late` can set the
+    minute table right.
+    """
+    rows = valid(ingest.parse_events(records.select("value"), lenient=True))
+    rows = rows.withColumn("event_date", clock.stat_date(F.col("event_time")))
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in EVENT_STORE])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        tables.write_batch(batch, f"{folder}/events", "event_date", batch_id)
+        own = (
+            tables.load_table(spark, f"{folder}/events", EVENT_STORE, "event_date")
+            .where(F.col(tables.BATCH) == batch_id)
+        )
+        newest = own.agg(F.max("event_time").alias("newest"), F.max("event_date").alias("mark_date"))
+        tables.write_batch(newest.where("newest is not null"), f"{folder}/marks", "mark_date", batch_id)
+        before = newest_event(spark, folder, batch_id)
+        late = own.where(F.col("event_time") < F.lit(before) - lateness_ms) if before is not None else own.limit(0)
+        counts = late.groupBy("event_date").agg(F.count("*").alias("late_rows"))
+        tables.write_batch(counts, f"{folder}/late", "event_date", batch_id)
+
+    return start(rows, write, run)
+
+
+def newest_event(spark: SparkSession, folder: str, before_batch: int | None = None) -> int | None:
+    """Time of the newest event stored so far, or before a micro-batch."""
+    marks = tables.load_table(spark, f"{folder}/marks", _MARK, "mark_date")
+    if before_batch is not None:
+        marks = marks.where(F.col(tables.BATCH) < before_batch)
+    return marks.agg(F.max("newest")).first()[0]
+
+
+def stored_events(spark: SparkSession, folder: str, days=None) -> DataFrame:
+    return tables.load_table(spark, f"{folder}/events", EVENT_STORE, "event_date", days).drop(tables.BATCH)
+
+
+def repair_late(
+    spark: SparkSession, folder: str, minute_path: str, batch_id: int,
+    rebuild: Callable[[DataFrame], DataFrame],
+) -> list[str]:
+    """Rebuild the minutes of all days that had late rows from the stored events of those days.
+
+    ``rebuild`` turns events into minute rows. Returns the days.
+    """
+    late = tables.load_table(spark, f"{folder}/late", _LATE, "event_date")
+    days = sorted(str(r[0]) for r in late.select("event_date").distinct().collect())
+    if days:
+        rebuilt = rebuild(stored_events(spark, folder, days))
+        tables.replace_days(spark, rebuilt, minute_path, "stat_date", days, batch_id)
+    return days
+
+
+def rebuilt_settlement(events: DataFrame) -> DataFrame:
+    """Settlement minutes of stored events: of repeated deliveries the last counts."""
+    return settlement.minute_settlement(latest_per_key(events, ["idempotency_key"], ["ingest_time", "trace_id"]))
+
+
+def rebuilt_gmv(closed_before: int) -> Callable[[DataFrame], DataFrame]:
+    """Minute GMV of stored events, of the minutes that end by ``closed_before``."""
+    def rebuild(events: DataFrame) -> DataFrame:
+        minute_end = clock.floor_ms(F.col("event_time"), clock.MINUTE_MS) + clock.MINUTE_MS
+        return settlement.minute_gmv(events.where(minute_end <= closed_before))
+
+    return rebuild
+
+
 # --- deduplication -----------------------------------------------------------------------
 
 
@@ -359,9 +453,10 @@ def throttle_stream(
     lateness: str = "1 hour",
     publish: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Throttle commands, once per tenant and hour, as soon as usage passes the quota.
+    """Throttle commands as soon as usage passes the quota, published once per tenant and hour.
 
-    The quota table is read again for each micro-batch, so changes take effect.
+    The stored command follows the count as it grows; ``publish`` gets only commands that no earlier
+    micro-batch has stored. The quota table is read again for each micro-batch, so changes take effect.
     """
     agg = (
         _with_event_ts(usage, lateness)
@@ -373,17 +468,30 @@ def throttle_stream(
         counted = batch.select(
             "tenant_id", F.unix_millis("window.start").alias("window_start"), "used"
         )
-        commands = billing.over_quota(counted, load_quota(batch.sparkSession))
-        tables.write_batch(
-            commands.withColumn("stat_date", clock.stat_date(F.col("window_start"))),
-            path, "stat_date", batch_id,
+        spark = batch.sparkSession
+        commands = stage(
+            billing.over_quota(counted, load_quota(spark)).withColumn(
+                "stat_date", clock.stat_date(F.col("window_start"))
+            ),
+            "throttle",
         )
         if publish:
-            publish(commands, batch_id)
+            # What an earlier micro-batch stored was published by it; a replay publishes the same again.
+            stored = tables.load_table(spark, path, throttle_table(), "stat_date")
+            earlier = stored.where(F.col(tables.BATCH) < batch_id)
+            publish(
+                commands.join(earlier.select("stat_date", "event_id"), ["stat_date", "event_id"], "left_anti")
+                .drop("stat_date"),
+                batch_id,
+            )
+        tables.write_batch(commands, path, "stat_date", batch_id)
 
     return start(agg, write, run, "update")
 
 
+def throttle_table() -> T.StructType:
+    return S.columns(", ".join(f"{n} {t}" for n, t in THROTTLE_TABLE.items()))
+
+
 def read_throttle(spark: SparkSession, path: str) -> DataFrame:
-    schema = S.columns(", ".join(f"{n} {t}" for n, t in THROTTLE_TABLE.items()))
-    return tables.read_latest(spark, path, schema, ["event_id"], "stat_date").drop("stat_date")
+    return tables.read_latest(spark, path, throttle_table(), ["event_id"], "stat_date").drop("stat_date")
