@@ -12,8 +12,6 @@ from tillstream import schemas as S
 from tillstream.functions import clock, text
 from tillstream.operators.ordered import latest_per_key
 
-RAW_LIMIT = 2000
-
 
 _BAD = "_bad"
 
@@ -146,17 +144,18 @@ def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def dirty_rows(dirty: DataFrame, now_ms: int | Column) -> DataFrame:
-    """Archive rows of the dirty part; the raw text is cut for the archive only."""
+def dirty_rows(dirty: DataFrame, now_ms: int | Column, *others: str) -> DataFrame:
+    """Archive rows of the dirty part, with the whole raw text and the type the record has, if any."""
     now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms).cast("long")
     untyped = F.col("dirty_reason").isin("json_parse_error", "missing_tenant_id")
     return dirty.select(
         clock.stat_date(now).alias("event_date"),
         clock.wall_clock(now).alias("receive_time"),
         "dirty_reason",
-        F.when(untyped, F.lit("")).otherwise(F.lit(S.PAY)).alias("event_type"),
+        F.when(untyped, F.lit("")).otherwise(F.coalesce("event_type", F.lit(S.PAY))).alias("event_type"),
         F.when(untyped, F.lit("")).otherwise(F.col("tenant_id")).alias("tenant_id"),
-        F.substring("raw_payload", 1, RAW_LIMIT).alias("raw_payload"),
+        "raw_payload",
+        *others,
     )
 
 

@@ -14,8 +14,6 @@ BROADCAST_BYTES = 64 << 20
 # More rows than this of one key (bucket) are spread over SALTS tasks in a shuffle join.
 HOT_ROWS = 1_000_000
 SALTS = 64
-# Only the largest can be hot: whatever comes after these holds under 1/1000 of the rows.
-MAX_HOT = 1_000
 KEY_BUCKETS = 65_536
 
 
@@ -37,13 +35,11 @@ def content_salt(df: DataFrame, salts: int = SALTS) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows, at most ``MAX_HOT`` of them."""
+    """The keys with more than ``hot_rows`` rows; there are fewer of them than rows / ``hot_rows``."""
     return (
         df.groupBy(*keys)
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT)
         .select(*keys, F.lit(True).alias("_hot"))
     )
 
@@ -56,16 +52,12 @@ def hot_buckets(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     """Hash buckets of the key that hold far more rows than the average one.
 
     Counting buckets instead of keys merges almost everything before the
-    shuffle, however many keys there are.
+    shuffle, however many keys there are. There are at most ``KEY_BUCKETS / 4``.
     """
     counts = df.groupBy(_key_bucket(keys).alias("_bucket")).agg(F.count("*").alias("_rows"))
     average = counts.agg((F.sum("_rows") / KEY_BUCKETS).alias("a")).scalar()
     busy = counts.where(F.col("_rows") > F.greatest(F.lit(hot_rows), 4 * average))
-    return (
-        busy.orderBy(F.desc("_rows"), "_bucket")
-        .limit(MAX_HOT)
-        .select("_bucket", F.lit(True).alias("_hot"))
-    )
+    return busy.select("_bucket", F.lit(True).alias("_hot"))
 
 
 def salted_join(
@@ -86,7 +78,8 @@ def salted_join(
     on = list(on)
     bucket = _key_bucket(on).alias("_bucket")
     keyed = left.dropna(subset=on)
-    hot = F.broadcast(hot_buckets(keyed, on, hot_rows))
+    # Counted once for both sides; at most KEY_BUCKETS / 4 rows.
+    hot = F.broadcast(stage(hot_buckets(keyed, on, hot_rows), "hot-buckets"))
     no_key = F.lit(False)
     for k in on:
         no_key = no_key | F.col(k).isNull()
@@ -133,8 +126,8 @@ def isolate_hot(
     df: DataFrame, key: str, limit: int, sums: dict[str, Column], salts: int, salt_by: Column
 ) -> DataFrame:
     """Sums by ``key``: keys above ``limit`` rows on the salted path, the others direct."""
-    hot = hot_keys(df, [key], limit)
-    marked = df.join(F.broadcast(hot), key, "left")
+    hot = stage(hot_keys(df, [key], limit), "hot-keys")
+    marked = df.join(F.broadcast(hot) if fits_broadcast(hot) else hot, key, "left")
     busy = two_stage(marked.where("_hot"), [key], sums, salts, salt_by)
     calm = marked.where("_hot is null").groupBy(key).agg(
         *[F.sum(c).alias(n) for n, c in sums.items()]

@@ -103,10 +103,8 @@ FROM a_checked WHERE dirty_reason IS NOT NULL""")
 def dirty_events(spark, sf_dir):
     raw = ingest.to_wire(_pay_feed(spark, sf_dir)).select("value")
     _, dirty = ingest.split(ingest.validate_pay(ingest.parse_events(raw)))
-    rows = ingest.dirty_rows(dirty, NOW_MS)
-    return rows.withColumn(
-        "idempotency_key", F.get_json_object("raw_payload", "$.idempotency_key")
-    ).drop("raw_payload")
+    rows = ingest.dirty_rows(dirty, NOW_MS, "idempotency_key")
+    return rows.drop("raw_payload")
 
 
 @query("SELECT dirty_reason, count(*) AS cnt FROM a_checked WHERE dirty_reason IS NOT NULL GROUP BY ALL")
