@@ -22,19 +22,30 @@ from tillstream.session import stage
 BATCH = "batch_id"
 
 
+#: Rows of one day that one task writes.
+FILE_ROWS = 1_000_000
+
+
+def _spread(df: DataFrame, day_col: str, columns: Sequence[str]) -> DataFrame:
+    """Rows dealt by day and, within the day, over one task for each ``FILE_ROWS`` of its rows."""
+    days = df.groupBy(day_col).agg(F.count("*").alias("rows"))
+    most, total = days.agg(F.max("rows"), F.sum("rows")).first()
+    parts = -(-(most or 1) // FILE_ROWS)
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(total or 1) // FILE_ROWS))
+    return df.repartition(tasks, F.col(day_col), F.pmod(F.xxhash64(*columns), F.lit(parts)))
+
+
 def write_batch(
     df: DataFrame, path: str, day_col: str, batch_id: int, buckets: Sequence[str] | None = None,
-    files_per_day: int = 16,
 ) -> None:
     """Append one batch; writing the same ``batch_id`` again replaces it.
 
-    ``buckets`` names columns to spread each day over ``files_per_day`` tasks,
-    so that one big day does not end in one file.
+    ``buckets`` names columns by which the rows of a day are spread over as many tasks as its
+    size asks for, so that a big day does not end in one file nor a small one in many.
     """
     rows = df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
     if buckets:
-        spread = F.pmod(F.xxhash64(*buckets), F.lit(files_per_day))
-        rows = rows.repartition(day_col, spread)
+        rows = _spread(rows, day_col, buckets)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -105,7 +116,6 @@ def compact(
     day_col: str,
     days: Sequence[date | str],
     order_by: Sequence[str] = (),
-    files_per_day: int = 16,
 ) -> None:
     """Fold all batches of closed days into their newest one.
 
@@ -123,7 +133,7 @@ def compact(
     staged = stage(latest, "compact")
     for day, batch in newest.items():
         rows = staged.where(F.col(day_col) == F.lit(day))
-        write_batch(rows, path, day_col, batch, keys, files_per_day)
+        write_batch(rows, path, day_col, batch, keys)
         for folder in _folders(spark, f"{path}/{day_col}={day}"):
             if folder.split("=")[-1] != str(batch):
                 _delete(spark, f"{path}/{day_col}={day}/{folder}")
@@ -163,11 +173,10 @@ def split_hot_cold(
     return df.where(F.col(day_col) > first), df.where(F.col(day_col) <= first)
 
 
-def write_cold(df: DataFrame, path: str, day_col: str, files_per_day: int = 4) -> None:
+def write_cold(df: DataFrame, path: str, day_col: str) -> None:
     """Older days in few, larger files."""
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_day))
     (
-        df.repartition(day_col, spread)
+        _spread(df, day_col, df.columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(day_col)

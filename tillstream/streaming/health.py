@@ -26,6 +26,27 @@ def _row(p: dict) -> tuple:
     )
 
 
+def log_progress(query: StreamingQuery, path: str, every_s: float = 10.0) -> None:
+    """Follow a query to its end and write the progress of every micro-batch below ``path``.
+
+    Spark holds the last hundred entries; as long as fewer micro-batches end in ``every_s`` seconds, none
+    gets lost, however long the query runs. A repeated entry replaces itself.
+    """
+    spark, last, over = SparkSession.active(), -1, False
+    while not over:
+        over = query.awaitTermination(every_s)
+        new = [dict(p) for p in query.recentProgress if p["batchId"] > last]
+        for p in new:
+            row = spark.createDataFrame([_row(p)], PROGRESS)
+            row.coalesce(1).write.mode("overwrite").json(f"{path}/run={p['runId']}/batch={p['batchId']}")
+            last = max(last, p["batchId"])
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """All logged entries."""
+    return spark.read.schema(PROGRESS).json(f"{path}/run=*/batch=*")
+
+
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The recent progress of a query (at most a hundred entries) as a table."""
+    """The latest progress of a query as Spark holds it, for a look at a running one."""
     return spark.createDataFrame([_row(dict(p)) for p in query.recentProgress], PROGRESS)
