@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,26 @@ def remainder(doc_id: Column, parts: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts, F.lit(-1))
 
 
+#: Rows that go to Python at a time: texts are long, and their buffers lie beside the heap.
+ARROW_ROWS = 1_000
+_ARROW = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started in here send texts to Python in batches of ``ARROW_ROWS``."""
+    before = spark.conf.get(_ARROW)
+    spark.conf.set(_ARROW, str(min(ARROW_ROWS, int(before)) if int(before) > 0 else ARROW_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write once into the shared folder and read back; later reads survive lost executors."""
-    return session.stage(df, f"llm-{label}")
+    with small_batches(df.sparkSession):
+        return session.stage(df, f"llm-{label}")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

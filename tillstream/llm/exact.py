@@ -2,13 +2,14 @@
 
 Each input partition sends the sorted distinct fingerprints of its texts to the owners of the
 fingerprint ranges, as Golomb-Rice codes of their differences. An owner answers each list with a
-bitmap: which of these also occur in another partition. Rows that have a copy elsewhere, or in
-their own partition, are suspects; only their texts are shuffled and compared byte for byte.
+bitmap: which of these more than one row has. Such rows are suspects; only their texts are shuffled
+and compared byte for byte.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,9 @@ FINGERPRINT_BITS = 48
 #: Rows for each owner of a fingerprint range, at most.
 OWNER_ROWS = 4_000_000
 
+#: Rows looked up at a time.
+USED_ROWS = 1_000
+
 
 def golomb_encode(values: np.ndarray, span: int) -> bytes:
     """Sorted distinct integers in [0, span) as Golomb-Rice codes of their gaps.
@@ -71,35 +75,48 @@ def _span(owners: int) -> int:
     return -(-(1 << FINGERPRINT_BITS) // owners)
 
 
-def _lists(prints: np.ndarray, owners: int) -> Iterator[tuple[int, np.ndarray]]:
+def _lists(distinct: np.ndarray, owners: int) -> Iterator[tuple[int, np.ndarray]]:
     """Sorted distinct fingerprints by owner, as offsets into the owner's range."""
-    distinct, span = np.unique(prints), _span(owners)
+    span = _span(owners)
     owner = distinct // span
     cuts = np.flatnonzero(np.diff(owner, prepend=-1))
     for begin, end in zip(cuts, [*cuts[1:], len(distinct)], strict=True):
         yield int(owner[begin]), distinct[begin:end] - owner[begin] * span
 
 
+def _question(prints: np.ndarray, owners: int) -> Iterator[tuple[int, bytes]]:
+    """For each owner its fingerprints, and a bitmap of those that several rows here have."""
+    distinct, count = np.unique(prints, return_counts=True)
+    for owner, values in _lists(distinct, owners):
+        repeated = count[np.searchsorted(distinct, values + owner * _span(owners))] > 1
+        bits = np.packbits(repeated).tobytes()
+        yield owner, len(bits).to_bytes(8, "little") + bits + golomb_encode(values, _span(owners))
+
+
+def _asked(question: bytes) -> tuple[np.ndarray, np.ndarray]:
+    cut = 8 + int.from_bytes(question[:8], "little")
+    values = golomb_decode(question[cut:])
+    return values, np.unpackbits(np.frombuffer(question[8:cut], np.uint8), count=len(values)).astype(bool)
+
+
 def _answer(owner: int, questions: list[bytes]) -> list[bytes]:
-    lists = [golomb_decode(q) for q in questions]
-    _, place, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-    repeated, out, at = count[place] > 1, [], 0
-    for values in lists:
-        out.append(len(values).to_bytes(8, "little") + np.packbits(repeated[at : at + len(values)]).tobytes())
-        at += len(values)
-    return out
-
-
-def _suspects(prints: np.ndarray, replies: dict[int, bytes], owners: int) -> np.ndarray:
-    """For each row: does its fingerprint occur in another row, here or elsewhere?"""
-    _, place, count = np.unique(prints, return_inverse=True, return_counts=True)
-    elsewhere = [np.zeros(0, bool)]
-    for owner, values in _lists(prints, owners):
-        reply = replies[owner]
-        if int.from_bytes(reply[:8], "little") != len(values):
-            raise ValueError("the input gave other rows when read again; write it to a table first")
-        elsewhere.append(np.unpackbits(np.frombuffer(reply[8:], np.uint8), count=len(values)).astype(bool))
-    return (np.concatenate(elsewhere) | (count > 1))[place]
+    """A bitmap for each list: what occurs in another list too, or several times in its own."""
+    lists = [_asked(q) for q in questions]
+    values = np.concatenate([v for v, _ in lists])
+    _, place, count = np.unique(values, return_inverse=True, return_counts=True)
+    repeated = (count[place] > 1) | np.concatenate([r for _, r in lists])
+    ends = np.cumsum([len(v) for v, _ in lists])
+    return [np.packbits(part).tobytes() for part in np.split(repeated, ends[:-1])]
+
+
+def _suspects(answers: list[tuple[int, bytes, bytes]], owners: int) -> np.ndarray:
+    """The fingerprints of this partition that more than one row has, sorted."""
+    found = [np.zeros(0, np.int64)]
+    for owner, question, bitmap in answers:
+        values, _ = _asked(question)
+        bits = np.unpackbits(np.frombuffer(bitmap, np.uint8), count=len(values)).astype(bool)
+        found.append(values[bits] + owner * _span(owners))
+    return np.sort(np.concatenate(found))
 
 
 def flagged(docs: DataFrame, text_col: str, keep_all_texts: bool) -> DataFrame:
@@ -116,20 +133,20 @@ def flagged(docs: DataFrame, text_col: str, keep_all_texts: bool) -> DataFrame:
         rows = docs.repartition(1).rdd
 
     def ask(it):
-        digests = [_digest(r[at]) for r in it]
-        for owner, values in _lists(_prints(digests), owners) if digests else ():
-            yield owner, golomb_encode(values, _span(owners))
-
-    def use(part, held, replies):
-        if not held:
-            return
-        digests = [_digest(r[at]) for r in held]
-        suspect = _suspects(_prints(digests), replies, owners)
-        for i, (r, d, s) in enumerate(zip(held, digests, suspect.tolist(), strict=True)):
-            doc = tuple(r)
-            if not s and not keep_all_texts:
-                doc = (*doc[:at], None, *doc[at + 1 :])
-            yield doc, (part << 33) + i, d.hex(), s
+        prints = _prints([_digest(r[at]) for r in it])
+        return _question(prints, owners) if len(prints) else ()
+
+    def use(part, it, answers):
+        suspects, row = _suspects(answers, owners), part << 33
+        while some := list(itertools.islice(it, USED_ROWS)):
+            digests = [_digest(r[at]) for r in some]
+            prints = _prints(digests)
+            where = np.minimum(np.searchsorted(suspects, prints), max(0, len(suspects) - 1))
+            suspect = suspects[where] == prints if len(suspects) else np.zeros(len(some), bool)
+            for r, d, s in zip(some, digests, suspect.tolist(), strict=True):
+                doc = tuple(r) if s or keep_all_texts else (*r[:at], None, *r[at + 1 :])
+                yield doc, row, d.hex(), s
+                row += 1
 
     schema = T.StructType(
         [

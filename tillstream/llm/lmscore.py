@@ -12,8 +12,8 @@ in place.
 
 from __future__ import annotations
 
+import itertools
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +35,8 @@ DISCOUNT = 0.75
 OWN_WEIGHT = 0.35
 OWN_TOKENS = 60
 
-#: Tokens scored at a time, or those of one text.
-PART_TOKENS = 500_000
+#: Texts counted or scored at a time.
+PART_ROWS = 1_000
 
 _SCHEMA = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -51,22 +51,6 @@ class _Words:
         names, self.of, self.counts = mixing.tokens_of(pa.array(texts, pa.string()))
         self.names = names.to_pylist()
 
-    def parts(self) -> Iterator[tuple[slice, slice]]:
-        """Runs of texts, of about ``PART_TOKENS`` tokens each, and their tokens."""
-        ends = np.cumsum(self.counts)
-        begin = 0
-        while begin < len(ends):
-            first = int(ends[begin - 1]) if begin else 0
-            end = max(begin + 1, int(np.searchsorted(ends, first + PART_TOKENS, side="right")))
-            yield slice(begin, end), slice(first, int(ends[end - 1]))
-            begin = end
-
-    def by_owner(self, owners: int) -> list[np.ndarray]:
-        """The numbers of the distinct tokens of each owner."""
-        owner = np.array([zlib.crc32(n.encode("utf-8", "surrogatepass")) % owners for n in self.names])
-        order = np.argsort(owner, kind="stable")
-        return np.split(order, np.searchsorted(owner[order], np.arange(1, owners)))
-
 
 def _seen_before(text: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each token: the weight of the document's own tokens so far, and its share of them."""
@@ -102,7 +86,7 @@ def _answer(owner: int, questions: list[bytes]) -> list[bytes]:
         counts.append(own)
     total = np.bincount(np.concatenate(asked), weights=np.concatenate(counts), minlength=len(index)).astype(np.int64)
     head = np.array([total.sum(), (total > 0).sum()], "<i8").tobytes()
-    return [len(a).to_bytes(8, "little") + head + pa.compress(total[a].astype("<i8"), "zstd", asbytes=True) for a in asked]
+    return [head + pa.compress(total[a].astype("<i8"), "zstd", asbytes=True) for a in asked]
 
 
 _SCORERS: dict[int, mixing.Scorer] = {}
@@ -138,44 +122,51 @@ def score(
         rows = docs.withColumn("held_out", held_out).repartition(1).rdd
 
     def ask(it):
-        held = list(it)
-        words = _Words([r[1] for r in held])
-        trains = np.array([not r[2] for r in held], bool)
-        learned = words.of[np.repeat(trains, words.counts)]
-        counts = np.bincount(learned, minlength=len(words.names))
-        for owner, some in enumerate(words.by_owner(owners)):
-            # each owner is asked, for its totals
-            yield owner, _pack([words.names[i] for i in some.tolist()], counts[some])
-
-    def use(part, held, replies):
-        if not held:
-            return
-        words = _Words([r[1] for r in held])
-        count, n, v = np.zeros(len(words.names), np.int64), 0, 0
-        for owner, some in enumerate(words.by_owner(owners)):
-            reply = replies[owner]
-            if int.from_bytes(reply[:8], "little") != len(some):
-                raise ValueError("the input gave other rows when read again; write it to a table first")
-            totals = np.frombuffer(reply[8:24], "<i8")
+        counts: dict[str, int] = {}
+        any_rows = False
+        while some := list(itertools.islice(it, PART_ROWS)):
+            any_rows, words = True, _Words([r[1] for r in some])
+            trains = np.repeat(np.array([not r[2] for r in some], bool), words.counts)
+            here = np.bincount(words.of[trains], minlength=len(words.names))
+            for name, n in zip(words.names, here.tolist(), strict=True):
+                counts[name] = counts.get(name, 0) + n
+        if any_rows:
+            names = list(counts)
+            owner = np.array([zlib.crc32(n.encode("utf-8", "surrogatepass")) % owners for n in names])
+            order = np.argsort(owner, kind="stable")
+            cuts = np.searchsorted(owner[order], np.arange(owners + 1))
+            for o in range(owners):  # each is asked, for its totals
+                own = [names[i] for i in order[cuts[o] : cuts[o + 1]].tolist()]
+                yield o, _pack(own, np.array([counts[n] for n in own], np.int64))
+
+    def use(part, it, answers):
+        index: dict[str, int] = {}
+        known, n, v = [], 0, 0
+        for _, question, answer in answers:
+            names, _ = _unpack(question)
+            index.update(zip(names, range(len(index), len(index) + len(names)), strict=True))
+            totals = np.frombuffer(answer[:16], "<i8")
             n, v = n + int(totals[0]), v + int(totals[1])
-            count[some] = np.frombuffer(pa.decompress(reply[24:], 8 * len(some), "zstd"), "<i8")
-        log = np.log10((count + SMOOTHING) / (n + SMOOTHING * (v + 1)))
-        spelled = _scorer(model).tokens(words.names)
+            known.append(np.frombuffer(pa.decompress(answer[16:], 8 * len(names), "zstd"), "<i8"))
+        known = np.concatenate(known)
         free = DISCOUNT * v / n if n else 1.0
-        whole = np.maximum(count - DISCOUNT, 0) / max(1, n)
-        overall = np.log10(whole + free * 10.0 ** np.maximum(spelled, -290))
-        overall = np.where((whole > 0) | (spelled > -290), overall, np.log10(free) + spelled)
-        for some, tokens in words.parts():
-            of = words.of[tokens]
-            text = np.repeat(np.arange(some.stop - some.start), words.counts[some])
-            size = some.stop - some.start
-            before, share = _seen_before(text, of)
-            scores = np.log10(1 - before) + overall[of]
-            recent = share > 0
-            scores[recent] = np.log10((1 - before[recent]) * 10.0 ** overall[of[recent]] + (before * share)[recent])
-            sums = [np.bincount(text, weights=w, minlength=size).tolist() for w in (count[of] > 0, log[of], scores, spelled[of])]
-            for r, tokens_here, known, base, score, cm in zip(held[some], words.counts[some].tolist(), *sums, strict=True):
+        scorer = _scorer(model)
+        while some := list(itertools.islice(it, PART_ROWS)):
+            words = _Words([r[1] for r in some])
+            count = known[[index[w] for w in words.names]]
+            log = np.log10((count + SMOOTHING) / (n + SMOOTHING * (v + 1)))
+            spelled = scorer.tokens(words.names)
+            whole = np.maximum(count - DISCOUNT, 0) / max(1, n)
+            overall = np.log10(whole + free * 10.0 ** np.maximum(spelled, -290))
+            overall = np.where((whole > 0) | (spelled > -290), overall, np.log10(free) + spelled)[words.of]
+            text = np.repeat(np.arange(len(some)), words.counts)
+            before, share = _seen_before(text, words.of)
+            scores, recent = np.log10(1 - before) + overall, share > 0
+            scores[recent] = np.log10((1 - before[recent]) * 10.0 ** overall[recent] + (before * share)[recent])
+            weights = (count[words.of] > 0, log[words.of], scores, spelled[words.of])
+            sums = [np.bincount(text, weights=w, minlength=len(some)).tolist() for w in weights]
+            for r, size, hits, base, score, cm in zip(some, words.counts.tolist(), *sums, strict=True):
                 length = max(1, len(r[1].encode("utf-8", "surrogatepass")))
-                yield r[0], r[2], tokens_here, int(known), n, base, score, -cm * float(np.log2(10)) / length
+                yield r[0], r[2], size, int(hits), n, base, score, -cm * float(np.log2(10)) / length
 
     return spark.createDataFrame(exchange(rows, owners, ask, _answer, use), _SCHEMA, verifySchema=False)

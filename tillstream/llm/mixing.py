@@ -36,7 +36,7 @@ _FIRST = np.cumsum([0, *(1 << b for b in SLOT_BITS)])[:-1]
 REGION = 1 << 14
 
 #: Text read at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 END = 10  # the byte of a line end, which no word contains
 LEAST = 0.02  # added to both counts of a slot
@@ -46,7 +46,10 @@ BUCKETS = 24  # of the refining table, over the range of log-odds
 RANGE = 12.0
 
 #: Tokens whose costs a worker remembers.
-MEMO_TOKENS = 500_000
+MEMO_TOKENS = 200_000
+
+#: Tokens spelled at a time.
+NEW_TOKENS = 50_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
@@ -154,13 +157,14 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def count(texts: DataFrame) -> np.ndarray:
     """Zeros and ones of each slot over all ``texts.text``. What is collected has a fixed size."""
     n = common.shuffle_partitions(texts.sparkSession)
-    rows = (
+    sums = (
         texts.select("text")
         .mapInArrow(_counted, "region int, counts binary")
         .repartition(n, "region")
         .mapInArrow(_summed, "region int, counts binary")
-        .collect()
     )
+    with common.small_batches(texts.sparkSession):
+        rows = sums.collect()
     slots = np.zeros(SLOTS, np.uint32)
     for r in rows:
         size, at = _region_rows(r.region), r.region * REGION
@@ -276,13 +280,14 @@ def train(texts: DataFrame) -> Model:
     slots = count(texts)
     held = spark.sparkContext.broadcast(slots)
     # every task's sums have one fixed size; they are added up by a few tasks before they are collected
-    rows = (
+    added = (
         texts.select("text")
         .mapInArrow(_learned(lambda: held.value), "learned binary")
         .coalesce(common.shuffle_partitions(spark))
         .mapInArrow(_added, "learned binary")
-        .collect()
     )
+    with common.small_batches(spark):
+        rows = added.collect()
     sums = sum((np.frombuffer(r.learned, "<f8") for r in rows), np.zeros(GATES * (ORDERS + 2) + 512 * BUCKETS))
     cut = GATES * (ORDERS + 1)
     events, start = sums[cut : cut + GATES, None], start_weights()
@@ -316,5 +321,6 @@ class Scorer:
         at = np.array([known.setdefault(n, len(known)) for n in names], np.int64)
         if len(known) > len(self.cost):
             new = list(itertools.islice(known, len(self.cost), None))
-            self.cost = np.concatenate([self.cost, self._costs(new)])
+            found = [self._costs(new[i : i + NEW_TOKENS]) for i in range(0, len(new), NEW_TOKENS)]
+            self.cost = np.concatenate([self.cost, *found])
         return self.cost[at]
