@@ -1,0 +1,173 @@
+"""Classifiers by held-out accuracy, language-model scores and surrogates by brute force."""
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tillstream.llm import lmscore, mixing, pii, quality, toxicity
+
+
+def remainder(doc_id, n):
+    return zlib.crc32(str(doc_id).encode()) % n
+
+
+def made_labels(spark, n=1500):
+    """Texts with a plain rule: junk is marks and repeats, toxic texts hold a word of one root."""
+    rng = np.random.default_rng(3)
+    plain = "the of and to in that was his with for had you not are but from".split()
+    docs, labels = [], []
+    for i in range(n):
+        words = [plain[k] for k in rng.integers(0, len(plain), rng.integers(20, 200))]
+        good, toxic = int(i % 3 > 0), int(i % 4 == 0)
+        if toxic:
+            words[int(rng.integers(0, len(words)))] = "sludge" + ["r", "rs", "head", "y", "like"][i % 5]
+        text = " ".join(words) + "." if good else " ".join(f"{w}###" for w in words[:5] * 30 + words)
+        docs.append((i, text, "en", "s", len(text)))
+        labels.append((i, good, toxic))
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    return frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+@pytest.mark.parametrize("fn, label, folds, fold", [(quality.classify, 1, 5, 0), (toxicity.classify, 2, 4, 2)])
+def test_classifiers_hold_out(spark, fn, label, folds, fold):
+    docs, labels = made_labels(spark)
+    truth = {r[0]: r[label] for r in labels.collect()}
+    got = fn(docs, labels).collect()
+    assert sorted(r.doc_id for r in got) == sorted(truth)
+    assert all(r.held_out == (remainder(r.doc_id, folds) == fold) for r in got)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    held = [r for r in got if r.held_out]
+    assert np.mean([r.predicted == truth[r.doc_id] for r in held]) >= 0.95
+    # labels of the held-out fold are never read
+    flipped = labels.selectExpr(
+        "doc_id", *[f"case when crc32(cast(doc_id as string)) % {folds} = {fold} then 1 - {c} else {c} end as {c}" for c in ("quality", "toxic")]
+    )
+    again = {r.doc_id: r.score for r in fn(docs, flipped).collect()}
+    assert all(abs(again[r.doc_id] - r.score) < 1e-9 for r in got)
+
+
+@pytest.mark.parametrize("fn", [quality.classify, toxicity.classify])
+def test_classifiers_take_odd_rows(spark, fn, odd, empty):
+    docs, labels = made_labels(spark)
+    nulls = spark.createDataFrame([(1, None, None), (None, 1, 0), (10**9, 1, 1)], labels.schema)
+    got = fn(odd.drop("score"), labels.unionByName(nulls)).collect()
+    assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
+    assert {r.held_out for r in got if r.doc_id is None} == {False}
+    assert {r.score for r in fn(odd, labels.limit(0)).collect()} == {0.5}
+    assert fn(empty, labels).count() == 0
+
+
+def test_quality_stage(spark, odd, empty):
+    docs, labels = made_labels(spark)
+    kept = {r.doc_id for r in quality.keep(docs, labels).collect()}
+    assert len(kept & set(range(0, 1500, 3))) <= 10 and len(kept) >= 980
+    assert quality.keep(odd, labels).columns == odd.columns
+    assert quality.keep(empty, labels).count() == 0
+
+
+def test_worst_stretch():
+    worth = np.array([0.0] * 10 + [9.0] + [0.0] * 3 + [1.0, 2.0])
+    best, at = toxicity.worst(worth, np.array([14, 16, 16]))
+    assert best.tolist() == [9.0 / toxicity.SPAN, 1.5, 0.0]
+    assert 5 <= at[0] <= 8
+
+
+def test_gradient_lowers_the_loss():
+    texts = ["good fine nice"] * 20 + ["awful vile bad"] * 20
+    model = toxicity.fit(texts, np.array([0] * 20 + [1] * 20), epochs=4)
+    scores = toxicity.Scorer(model).scores(pa.array(["good nice", "vile bad", "vilest badly", ""]))
+    assert scores[1] > 0.6 > scores[0] and scores[2] > scores[0]
+
+
+def test_base_and_model_scores(spark, documents, odd):
+    docs = documents.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    from tillstream.llm import common
+
+    docs = common.stage(docs.repartition(5), "test")
+    rows = docs.collect()
+    tokens = [re.findall(rb"[^\x20\x09-\x0D]+", (r.text or "").encode().lower()) + [b""] for r in rows]
+    held = [r.doc_id is not None and remainder(r.doc_id, 10) == 0 for r in rows]
+    count = Counter(t for ts, h in zip(tokens, held, strict=True) if not h for t in ts)
+    n, v = sum(count.values()), len(count)
+    want = sorted(
+        (str(r.doc_id), h, len(ts), sum(count[t] > 0 for t in ts), n, round(sum(np.log10((count[t] + 0.1) / (n + 0.1 * (v + 1))) for t in ts), 5))
+        for r, ts, h in zip(rows, tokens, held, strict=True)
+    )
+    got = lmscore.score(docs).collect()
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got) == want
+    assert all(r.score < 0 and r.bits_per_byte > 0 for r in got)
+
+
+def test_probabilities_add_up(spark):
+    texts = spark.createDataFrame([("the cat sat on the mat " * 9,), (None,), ("",)], "text string")
+    model = mixing.train(texts)
+    # after any context, the 256 bytes share one
+    keys = np.uint64(int.from_bytes(b"he ca"[::-1], "little") << 8) | np.arange(256, dtype=np.uint64)
+    assert abs((10 ** model.costs(keys)).sum() - 1) < 1e-6
+    seen, unseen = mixing.Scorer(model).tokens(["the", "xqz"])
+    assert seen > unseen
+    assert np.isfinite(mixing.Scorer(mixing.train(texts.limit(0))).tokens(["a", ""])).all()
+
+
+def test_scores_of_empty_tables(empty, odd):
+    assert lmscore.score(empty).count() == 0
+    assert lmscore.score(odd).count() == odd.count()
+
+
+PRIVATE = [
+    "Mail a.B-c@Example.org or A.b-c@example.ORG today, or x1@example.org.",
+    "Call +1 (017) 555-7713, 06 12 34 56 78 or +1-017-555-7713!",
+    "Card 4111 1111 1111 1111 and 4111-1111-1111-1112, from 10.20.30.140.",
+    'token = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B" and password: hunter2hunter2',
+    "Pay DE89 3704 0044 0532 0130 00 to Mr. John SMITH, Frau Müller and Госпожа Анна Петрова.",
+    "Mrs Jane Doe met Mr. John Smith. Nothing at 3.14 or 1234567 here.",
+]
+
+
+def test_surrogates(spark, documents, odd):
+    docs = documents.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(500_000 + i, t) for i, t in enumerate(PRIVATE)], "doc_id long, text string")
+    )
+    docs = docs.unionByName(odd.selectExpr("doc_id + 600000 as doc_id", "text"))
+    got = {r.doc_id: r for r in pii.replace(docs, b"key").collect() if r.doc_id is not None}
+    seen = {}
+    for r in docs.collect():
+        if r.doc_id is None:
+            continue
+        old, new = pii.find(r.text or ""), pii.find(got[r.doc_id].text)
+        assert [e[2] for e in old] == [e[2] for e in new] and got[r.doc_id].n_entities == len(old)
+        if not old:
+            assert got[r.doc_id].text == (r.text or "")
+        for a, b in zip(old, new, strict=True):
+            assert seen.setdefault((a[2], a[3]), b[3]) == b[3]  # one surrogate for one entity
+            assert a[4] == b[4]  # gender
+    assert len({(k, s) for (k, _), s in seen.items()}) == len(seen)  # none shared
+    assert not {(k, s) for (k, _), s in seen.items()} & set(seen)  # none real
+    text = got[500_002].text
+    assert re.fullmatch(r"Card \d{4} \d{4} \d{4} \d{4} and \d{4}-\d{4}-\d{4}-\d{4}, from \d\d\.\d\d\.\d\d\.\d{3}\.", text)
+    first, second = re.findall(r"\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}", text)
+    assert pii._luhn(re.sub(r"\D", "", first)) == 0 != pii._luhn(re.sub(r"\D", "", second))
+    name = re.search(r"Mr\. (\w+) (\w+),", got[500_004].text)
+    assert name[2].isupper() and name[1] in pii._GIVEN[("m", "latin")]
+    assert re.search(r"Госпожа [А-Я][а-я]+ [А-Я][а-я]+\.", got[500_004].text)
+
+
+def test_collisions_are_resolved(spark, monkeypatch):
+    """Ten people of one address book with one-letter names: few surrogates, all different."""
+    rows = [(i, f"{c}@x.org and 1.1.1.{i}") for i, c in enumerate("abcdefghijklmnopqrst")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.attempts(docs, b"k").toPandas()
+    assert not found.duplicated(["kind", "new"]).any()
+    assert not set(zip(found.kind, found.new)) & set(zip(found.kind, found.entity))
+    assert found.attempt.max() > 0
+    here = {r.doc_id: r.text for r in pii.replace(docs, b"k").collect()}
+    monkeypatch.setattr(pii, "BROADCAST_ROWS", -1)
+    assert {r.doc_id: r.text for r in pii.replace(docs, b"k").collect()} == here
+
+
+def test_surrogates_of_empty_table(empty):
+    assert pii.replace(empty).count() == 0
