@@ -115,7 +115,7 @@ def test_dirty_rows(spark):
     assert (rows["not json"].event_type, rows["not json"].tenant_id) == ("", "")
     assert rows['{"tenant_id":"'].event_type == "pay_success"
     assert rows['{"tenant_id":"'].tenant_id == "T1"
-    assert len(rows["x" * 14].raw_payload) == 2000
+    assert len(rows["x" * 14].raw_payload) == 2500
 
 
 def test_long_text_is_read_whole(spark):
