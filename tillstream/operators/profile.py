@@ -122,12 +122,6 @@ def topic_counts(records: DataFrame) -> DataFrame:
     )
 
 
-def partition_counts(records: DataFrame, partitions: int = 6) -> DataFrame:
-    """Events per topic and partition if keys are hashed over ``partitions``."""
-    part = F.pmod(F.xxhash64("key"), F.lit(partitions)).alias("partition")
-    return records.groupBy("topic", part).agg(F.count("*").alias("events"))
-
-
 def delay_profile(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows per arrival-delay tier, with the smallest and largest delay."""
     event, ingest = F.col("event_time"), F.col("ingest_time")

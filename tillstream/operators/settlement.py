@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstream import schemas as S
 from tillstream.functions import clock, text
+from tillstream.operators.ingest import conform
 from tillstream.operators.skew import two_stage
 
 _GMV_KEYS = ["tenant_id", "app_id", "channel_id", "pay_method"]
@@ -41,6 +42,12 @@ def minute_gmv(valid: DataFrame, salt: int = 0, salt_by: str = "payment_id") ->
     return _labelled(agg, _GMV_KEYS, ["pay_count", "pay_amount", "net_amount"])
 
 
+def to_minute_table(minute: DataFrame, now_ms: int | Column) -> DataFrame:
+    """Minute GMV rows as they are stored, with the time of their last change."""
+    now = now_ms if isinstance(now_ms, Column) else F.lit(now_ms).cast("long")
+    return conform(minute.withColumn("update_time", clock.wall_clock(now)), S.MINUTE_GMV)
+
+
 def increments(event_type: Column, amount: Column) -> dict[str, Column]:
     """What one event adds to each settlement metric."""
     def when(kind: str, value: Column) -> Column:

@@ -72,6 +72,20 @@ def recent_lines(spark, sf_dir):
     return settlement.recent_lines(gmv(spark, sf_dir), "2024-01-02", 50)
 
 
+@query(f"SELECT *, {at(str(NOW_MS))} AS update_time FROM c_minute_gmv")
+def minute_table(spark, sf_dir):
+    return settlement.to_minute_table(gmv(spark, sf_dir), NOW_MS)
+
+
+@query(f"""
+SELECT *, {at(str(NOW_MS))} AS update_time FROM c_minute_gmv WHERE stat_date = '2024-01-02'
+ORDER BY stat_minute, tenant_id, app_id, channel_id, pay_method LIMIT 100""")
+def recent_updates(spark, sf_dir):
+    """The last hundred lines by update time; of equal times the earliest minutes."""
+    table = settlement.to_minute_table(gmv(spark, sf_dir), NOW_MS)
+    return settlement.recent_lines(table, "2024-01-02", 100, by="update_time")
+
+
 # --- ingest ----------------------------------------------------------------------
 
 

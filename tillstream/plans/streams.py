@@ -217,3 +217,21 @@ def streamed_throttle(spark, sf_dir):
         run,
     ).awaitTermination()
     return jobs.read_throttle(spark, f"{folder}/commands")
+
+
+@query(f"SELECT event_id, tenant_id, window_start FROM ({THROTTLE_SQL})")
+def published_throttle(spark, sf_dir):
+    """Every record the throttle job published, one for each tenant and hour over quota."""
+    folder, run = _run(spark, "throttle")
+    jobs.throttle_stream(
+        usage_stream(spark, sf_dir),
+        lambda session: A.a_quotas(session, sf_dir),
+        f"{folder}/commands",
+        run,
+        publish=lambda df, batch_id: topics.publish(
+            df, S.THROTTLE_TOPIC, ["tenant_id"], "files", f"{folder}/topics", batch_id
+        ),
+    ).awaitTermination()
+    value = F.from_json("value", "event_id string, tenant_id string, window_start bigint")
+    sent = spark.read.schema(S.TOPIC_RECORD).json(f"{folder}/topics/{S.THROTTLE_TOPIC}/*")
+    return sent.select(value.alias("v")).select("v.*")

@@ -135,5 +135,4 @@ SETTLEMENT_METRICS = [
     "settlement_total",
 ]
 MINUTE_KEYS = ["stat_date", "stat_minute", "tenant_id", "app_id", "channel_id", "pay_method"]
-HOUR_KEYS = ["stat_date", "stat_hour", "tenant_id", "app_id"]
 RECON_KEYS = ["recon_date", "recon_hour", "tenant_id"]
