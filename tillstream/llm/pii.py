@@ -54,8 +54,11 @@ _NAME = r"[^\W\d_][^\W\d_]*(?:['’-][^\W\d_]+)*"
 _PATTERNS = {
     "email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+",
     "secret": r"(?i:\b(?:api[_-]?key|token|secret|password|passwd|pwd)\b\s*[:=]\s*[\"']?)(?P<secret_value>[\w./+=-]{8,})",
+    "key": r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9]{20,}|xox[baprs]-[A-Za-z0-9-]{10,})\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]*\d)",
+    "ip6": r"(?<![\w:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\w:])",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)",
     "phone": r"(?<![\d\w])(?:\+\d{1,3}[ .-]?)?\(?\d{2,4}\)?(?:(?:[ .-]\d{2}){4}|(?:[ .-]\d{3,4}){1,2})(?!\d)",
     "name": rf"(?<!\w)(?P<name_title>{'|'.join(sorted(map(re.escape, _GENDER), key=len, reverse=True))})\.? "
@@ -97,7 +100,7 @@ def canonical(kind: str, value: str, gender: str = "") -> str:
     places are kept apart, for a surrogate keeps them)."""
     if kind in ("card", "phone", "iban"):
         return re.sub(r"[^\w+]", "", value).upper()
-    if kind == "secret":
+    if kind in ("secret", "key"):
         return value
     low = value.lower()
     return f"{gender}:{low}" if kind == "name" else low
@@ -173,10 +176,14 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
         body = "".join(_like(c, draw) for c in entity[4:])
         number = int("".join(str(int(c, 36)) for c in body + entity[:2] + "00"))
         return f"{entity[:2]}{98 - number % 97:02d}{body}"
+    if kind == "ssn":
+        return "".join(_like(c, draw) for c in entity + "0" * longer)
     if kind == "phone":
         kept = 2 if entity.startswith("+") else 0
         return entity[:kept] + "".join(_like(c, draw) for c in entity[kept:] + "0" * longer)
-    hexadecimal = all(c in "0123456789abcdefABCDEF" for c in entity)
+    if kind == "key":  # the maker's mark stays
+        return entity[:4] + "".join(_like(c, draw) for c in entity[4:]) + "".join(_like("a", draw) for _ in range(longer))
+    hexadecimal = all(c in "0123456789abcdefABCDEF" for c in entity if c.isalnum())
     return "".join(_like(c, draw, hexadecimal) for c in entity) + "".join(_like("a", draw, True) for _ in range(longer))
 
 
