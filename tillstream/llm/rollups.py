@@ -124,7 +124,7 @@ def totals(spark: SparkSession, store: str) -> DataFrame:
     done = _read(spark, store, "commits", "id bigint").select("batch").distinct()
     return (
         _read(spark, store, "rollups", _ROLLUPS)
-        .join(F.broadcast(done), "batch", "left_semi")  # one row for each batch
+        .join(done, "batch", "left_semi")
         .groupBy("source", "lang", "tokenizer")
         .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         .filter("docs <> 0")
