@@ -64,7 +64,7 @@ def items(spark, sf_dir):
     return base.unionByName(spark.createDataFrame(more, base.schema))
 
 
-@pytest.mark.parametrize("limit", [500_000, -1])
+@pytest.mark.parametrize("limit", [200_000, -1])
 def test_overlaps(monkeypatch, planted, items, limit):
     monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
     assert run(planted, items) == brute(
