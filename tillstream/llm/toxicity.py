@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tillstream.llm import common
 
 #: Labelled rows the model is fitted on, at most (the rows with the smallest hashes of their ids).
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 
 THRESHOLD = 0.3
 BUCKET_BITS = 17
@@ -31,6 +31,9 @@ DIMENSION = 8
 GRAMS = (3, 4, 5, 6)
 SPAN = 6
 
+#: Words taken apart at a time.
+PART_WORDS = 20_000
+
 #: Words whose worth a worker keeps between texts.
 CACHE_WORDS = 500_000
 
@@ -77,7 +80,7 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     h ^= h >> np.uint64(29)
     h *= _FACTOR
     order = np.argsort(owner, kind="stable")
-    return (h[order] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), np.bincount(owner, minlength=len(words))
+    return (h[order] >> np.uint64(64 - BUCKET_BITS)).astype(np.int32), np.bincount(owner, minlength=len(words))
 
 
 @dataclass
@@ -131,12 +134,18 @@ class _Sample:
 
     def __init__(self, texts: list[str]) -> None:
         index, self.words, self.ends = words_of(pa.array(texts, pa.string()))
-        self.flat, self.lengths = subwords(index)
+        parts = [subwords(index[i : i + PART_WORDS]) for i in range(0, len(index), PART_WORDS)] or [subwords([])]
+        self.flat, self.lengths = (np.concatenate(p) for p in zip(*parts, strict=True))
         self.begins = np.cumsum(self.lengths) - self.lengths
 
     def worth(self, model: Bag) -> np.ndarray:
         direction = model.table @ (model.weights[:, 1] - model.weights[:, 0])
-        return (np.add.reduceat(direction[self.flat], self.begins) / self.lengths)[self.words]
+        out = np.zeros(len(self.lengths))
+        for i in range(0, len(out), PART_WORDS):
+            first, own = self.begins[i], self.begins[i : i + PART_WORDS]
+            last = own[-1] + self.lengths[i : i + PART_WORDS][-1]
+            out[i : i + PART_WORDS] = np.add.reduceat(direction[self.flat[first:last]], own - first)
+        return (out / self.lengths)[self.words]
 
     def step(self, model: Bag, begins: np.ndarray, sizes: np.ndarray, y: np.ndarray, rate: float) -> None:
         """One gradient step on stretches of words."""
@@ -158,7 +167,7 @@ class _Sample:
             model.table[:, d] -= rate * np.bincount(rows, weights=back[:, d], minlength=BUCKETS)
 
 
-def fit(texts: list[str], toxic: np.ndarray, epochs: int = 6, seed: int = 7) -> Bag | None:
+def fit(texts: list[str], toxic: np.ndarray, epochs: int = 6, seed: int = 7, rate: float = 1.5) -> Bag | None:
     """The model of labelled texts; None unless both labels occur."""
     if not len(texts) or toxic.min() == toxic.max():
         return None
@@ -189,9 +198,10 @@ def fit(texts: list[str], toxic: np.ndarray, epochs: int = 6, seed: int = 7) ->
         owner = np.searchsorted(ends, spans, side="right")
         sizes = np.minimum(SPAN, ends[owner] - spans)
         order = rng.permutation(len(spans))
-        for at in range(0, len(order), 256):
-            some = order[at : at + 256]
-            sample.step(model, spans[some], sizes[some], y[some], 0.5 * (1 - epoch / epochs) + 0.05)
+        size = int(np.clip(len(order) // 200, 8, 256))  # few stretches: more steps
+        for at in range(0, len(order), size):
+            some = order[at : at + size]
+            sample.step(model, spans[some], sizes[some], y[some], rate * (1 - 0.9 * epoch / epochs))
     best, _ = worst(sample.worth(model), ends)
     model.calibration = _calibrate(model.log_odds(best[held]), toxic[held])
     return model
@@ -229,7 +239,8 @@ class Scorer:
         numbers = np.array([known.setdefault(w, len(known)) for w in words], np.int64)
         if len(known) > len(self.worth):
             new = list(itertools.islice(known, len(self.worth), None))
-            self.worth = np.concatenate([self.worth, self.model.worth(new)])
+            found = [self.model.worth(new[i : i + PART_WORDS]) for i in range(0, len(new), PART_WORDS)]
+            self.worth = np.concatenate([self.worth, *found])
         best, _ = worst(self.worth[numbers[of]] if len(of) else np.zeros(0), ends)
         a, b = self.model.calibration
         return 1 / (1 + np.exp(-np.clip(a * self.model.log_odds(best) + b, -30, 30)))
