@@ -60,9 +60,12 @@ def valid_money(parsed: DataFrame) -> DataFrame:
     return ingest.validate_events(parsed).where("dirty_reason is null")
 
 
-def _store(folder: str, records: DataFrame, lateness_ms: int, valid) -> None:
+def _with_store(job, folder: str, records: DataFrame, lateness_ms: int, valid) -> None:
+    """Run a started job and, beside it, the one that stores its events, to their ends."""
     run = jobs.Run(f"{folder}/store-checkpoint", ONCE)
-    jobs.event_store_stream(records, f"{folder}/store", run, lateness_ms, valid).awaitTermination()
+    store = jobs.event_store_stream(records, f"{folder}/store", run, lateness_ms, valid)
+    job.awaitTermination()
+    store.awaitTermination()
 
 
 @query(f"""
@@ -123,8 +126,8 @@ def streamed_minute_gmv(spark, sf_dir):
     """Minutes closed by the watermark, late rows repaired; the newest stay open, as in the running job."""
     folder, run = _run(spark, "gmv")
     records = event_records(spark, sf_dir, True)
-    jobs.minute_gmv_stream(records, f"{folder}/minutes", run).awaitTermination()
-    _store(folder, records, 5_000, ingest.valid_for_gmv)
+    job = jobs.minute_gmv_stream(records, f"{folder}/minutes", run)
+    _with_store(job, folder, records, 5_000, ingest.valid_for_gmv)
     closed = (jobs.newest_event(spark, f"{folder}/store") or 0) - 5_000
     jobs.repair_late(spark, f"{folder}/store", f"{folder}/minutes", REPAIR, jobs.rebuilt_gmv(closed))
     return jobs.read_minutes(spark, f"{folder}/minutes", jobs.gmv_table())
@@ -179,8 +182,8 @@ def streamed_settlement(spark, sf_dir):
     """Deduplicated minute settlement over all event types: the stream, and the repair of late days."""
     folder, run = _run(spark, "settlement")
     records = event_records(spark, sf_dir)
-    jobs.minute_settlement_stream(records, f"{folder}/minutes", run).awaitTermination()
-    _store(folder, records, 6 * clock.HOUR_MS, valid_money)
+    job = jobs.minute_settlement_stream(records, f"{folder}/minutes", run)
+    _with_store(job, folder, records, 6 * clock.HOUR_MS, valid_money)
     jobs.repair_late(spark, f"{folder}/store", f"{folder}/minutes", REPAIR, jobs.rebuilt_settlement)
     minutes = jobs.read_minutes(spark, f"{folder}/minutes", jobs.settlement_table())
     return minutes.drop(*_NO_FEE)
