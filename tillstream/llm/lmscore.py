@@ -2,8 +2,10 @@
 
 A token is predicted from three sides: by how often it occurred as a whole, each count less a
 discount; with the probability mass that the discounts set free, by context mixing over its bits; and
-by the tokens of the same document before it, whose weight grows with their number. So the
-probabilities of all possible tokens add up to one, unseen ones are spelled, and the model adapts as it reads.
+by the tokens of the same document before it. Experts differ in how much they trust the latter;
+the document's probability is their mean, in which, token by token, the better ones gain weight. So
+the probabilities of all possible tokens add up to one, unseen ones are spelled, and the model adapts
+as it reads.
 
 Word counts never gather in one place: partitions ask the owners of hash ranges of words, each owner
 adds up the counts of its words over all partitions and answers, and the partition scores its texts
@@ -14,9 +16,11 @@ from __future__ import annotations
 
 import itertools
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +35,14 @@ OWNER_ROWS = 200_000
 #: Taken off the count of each token that occurred.
 DISCOUNT = 0.75
 
-#: Weight of the document's own tokens so far once there are many, and the number that gives half of it.
-OWN_WEIGHT = 0.35
-OWN_TOKENS = 60
+#: Weights of the document's own tokens so far once there are many, one for each expert, and the
+#: number of tokens that gives half of it.
+OWN_WEIGHTS = (0.02, 0.1, 0.25, 0.5, 0.9)
+OWN_TOKENS = 30
 
-#: Texts counted or scored at a time.
+#: Texts counted or scored at a time, and how many counts are merged at a time.
 PART_ROWS = 1_000
+MERGED_PARTS = 8
 
 _SCHEMA = (
     "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -53,7 +59,7 @@ class _Words:
 
 
 def _seen_before(text: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token: the weight of the document's own tokens so far, and its share of them."""
+    """For each token: how far the document's own tokens so far count, and its share of them."""
     at = np.arange(len(of))
     place = at - np.searchsorted(text, text)
     order = np.lexsort((of, text))  # stable, so places ascend
@@ -61,7 +67,17 @@ def _seen_before(text: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarr
     same[1:] = (np.diff(of[order]) == 0) & (np.diff(text[order]) == 0)
     times = np.empty(len(order), np.int64)
     times[order] = at - np.maximum.accumulate(np.where(same, 0, at))
-    return OWN_WEIGHT * place / (place + OWN_TOKENS), times / np.maximum(place, 1)
+    return place / (place + OWN_TOKENS), times / np.maximum(place, 1)
+
+
+def _with_own(overall: np.ndarray, before: np.ndarray, share: np.ndarray) -> Iterator[np.ndarray]:
+    """log10 probability of each token for each expert, who trusts the document's own tokens so much."""
+    seen = share > 0
+    for weight in OWN_WEIGHTS:
+        own = weight * before
+        p = np.log10(1 - own) + overall
+        p[seen] = np.log10((1 - own[seen]) * 10.0 ** overall[seen] + (own * share)[seen])
+        yield p
 
 
 def _pack(names: list[str], counts: np.ndarray) -> bytes:
@@ -70,6 +86,11 @@ def _pack(names: list[str], counts: np.ndarray) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
+def _merged(parts: list[pa.Table]) -> pa.Table:
+    """The sums of ``n`` by name."""
+    return pa.concat_tables(parts).group_by("name").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
+
 def _unpack(data: bytes) -> tuple[list[str], np.ndarray]:
     raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
     n = int.from_bytes(raw[:8], "little")
@@ -122,50 +143,61 @@ def score(
         rows = docs.withColumn("held_out", held_out).repartition(1).rdd
 
     def ask(it):
-        counts: dict[str, int] = {}
-        any_rows = False
+        parts = []
         while some := list(itertools.islice(it, PART_ROWS)):
-            any_rows, words = True, _Words([r[1] for r in some])
+            words = _Words([r[1] for r in some])
             trains = np.repeat(np.array([not r[2] for r in some], bool), words.counts)
             here = np.bincount(words.of[trains], minlength=len(words.names))
-            for name, n in zip(words.names, here.tolist(), strict=True):
-                counts[name] = counts.get(name, 0) + n
-        if any_rows:
-            names = list(counts)
-            owner = np.array([zlib.crc32(n.encode("utf-8", "surrogatepass")) % owners for n in names])
+            parts.append(pa.table({"name": pa.array(words.names, pa.string()), "n": here}))
+            if len(parts) == MERGED_PARTS:
+                parts = [_merged(parts)]
+        if parts:
+            counts = _merged(parts)
+            names, n = counts["name"].combine_chunks(), counts["n"].to_numpy()
+            owner = np.concatenate([
+                [zlib.crc32(x.encode("utf-8", "surrogatepass")) % owners for x in names.slice(i, 50_000).to_pylist()]
+                for i in range(0, len(names), 50_000)
+            ])
             order = np.argsort(owner, kind="stable")
             cuts = np.searchsorted(owner[order], np.arange(owners + 1))
             for o in range(owners):  # each is asked, for its totals
-                own = [names[i] for i in order[cuts[o] : cuts[o + 1]].tolist()]
-                yield o, _pack(own, np.array([counts[n] for n in own], np.int64))
+                own = order[cuts[o] : cuts[o + 1]]
+                yield o, _pack(names.take(pa.array(own)).to_pylist(), n[own])
 
     def use(part, it, answers):
-        index: dict[str, int] = {}
-        known, n, v = [], 0, 0
+        names, known, n, v = [], [], 0, 0
         for _, question, answer in answers:
-            names, _ = _unpack(question)
-            index.update(zip(names, range(len(index), len(index) + len(names)), strict=True))
+            own, _ = _unpack(question)
+            names.append(pa.array(own, pa.string()))
             totals = np.frombuffer(answer[:16], "<i8")
             n, v = n + int(totals[0]), v + int(totals[1])
-            known.append(np.frombuffer(pa.decompress(answer[16:], 8 * len(names), "zstd"), "<i8"))
-        known = np.concatenate(known)
+            known.append(np.frombuffer(pa.decompress(answer[16:], 8 * len(own), "zstd"), "<i8"))
+        answers.clear()
+        # packed, for as Python strings the words of a partition would fill its memory
+        names, known = pa.concat_arrays(names), np.concatenate(known)
         free = DISCOUNT * v / n if n else 1.0
         scorer = _scorer(model)
         while some := list(itertools.islice(it, PART_ROWS)):
             words = _Words([r[1] for r in some])
-            count = known[[index[w] for w in words.names]]
+            count = known[pc.index_in(pa.array(words.names, pa.string()), names).to_numpy()]
             log = np.log10((count + SMOOTHING) / (n + SMOOTHING * (v + 1)))
             spelled = scorer.tokens(words.names)
             whole = np.maximum(count - DISCOUNT, 0) / max(1, n)
             overall = np.log10(whole + free * 10.0 ** np.maximum(spelled, -290))
             overall = np.where((whole > 0) | (spelled > -290), overall, np.log10(free) + spelled)[words.of]
             text = np.repeat(np.arange(len(some)), words.counts)
-            before, share = _seen_before(text, words.of)
-            scores, recent = np.log10(1 - before) + overall, share > 0
-            scores[recent] = np.log10((1 - before[recent]) * 10.0 ** overall[recent] + (before * share)[recent])
-            weights = (count[words.of] > 0, log[words.of], scores, spelled[words.of])
-            sums = [np.bincount(text, weights=w, minlength=len(some)).tolist() for w in weights]
-            for r, size, hits, base, score, cm in zip(some, words.counts.tolist(), *sums, strict=True):
+            total = np.stack([
+                np.bincount(text, weights=p, minlength=len(some))
+                for p in _with_own(overall, *_seen_before(text, words.of))
+            ])
+            # the experts start with equal weights; those that predict a document well lead in it
+            best = total.max(axis=0)
+            scores = best + np.log10((10.0 ** (total - best)).mean(axis=0))
+            sums = [
+                np.bincount(text, weights=w, minlength=len(some)).tolist()
+                for w in (count[words.of] > 0, log[words.of], spelled[words.of])
+            ]
+            for r, size, score, hits, base, cm in zip(some, words.counts.tolist(), scores.tolist(), *sums, strict=True):
                 length = max(1, len(r[1].encode("utf-8", "surrogatepass")))
                 yield r[0], r[2], size, int(hits), n, base, score, -cm * float(np.log2(10)) / length
 

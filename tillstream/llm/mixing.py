@@ -46,7 +46,7 @@ BUCKETS = 24  # of the refining table, over the range of log-odds
 RANGE = 12.0
 
 #: Tokens whose costs a worker remembers.
-MEMO_TOKENS = 200_000
+MEMO_TOKENS = 100_000
 
 #: Tokens spelled at a time.
 NEW_TOKENS = 50_000
