@@ -26,7 +26,10 @@ MAX_BITS = 18
 STRIDE = 256
 
 #: Bytes of text after which a block ends, at the end of a document.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 4 << 20
+
+#: Ids whose counts travel together.
+ID_RANGE = 1 << 12
 
 _BLOCKS = (
     "part int, block int, start bigint, doc_ids array<bigint>, doc_tokens array<bigint>, "
@@ -121,10 +124,11 @@ def decode_bits(payload: bytes, checkpoints: np.ndarray, n: int, table: tuple[np
     return out.ravel()[:n]
 
 
-#: Tokenized documents between the passes: one row for each block to be, and one with the id counts of each part.
+#: Tokenized documents between the passes: a row for each block to be, and for each part a row with the
+#: counts of each range of ids that occurs in it.
 _TOKENIZED = (
     "part int, block int, start bigint, doc_ids array<bigint>, doc_tokens array<bigint>, ids binary, "
-    "counted array<bigint>, counts array<bigint>"
+    "id_range int, counts binary"
 )
 
 
@@ -145,8 +149,7 @@ def _tokenizer(path: str, end: int):
         schema = pa.schema(
             [("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64())]
             + [(c, pa.list_(pa.int64())) for c in ("doc_ids", "doc_tokens")]
-            + [("ids", pa.binary())]
-            + [(c, pa.list_(pa.int64())) for c in ("counted", "counts")]
+            + [("ids", pa.binary()), ("id_range", pa.int32()), ("counts", pa.binary())]
         )
         for block, batch in enumerate(common.slices(batches, "text", BLOCK_BYTES)):
             ids, lengths = tokens.with_end(*encoder.encode(batch.column(1)), end)
@@ -154,25 +157,39 @@ def _tokenizer(path: str, end: int):
             row = [part, block, start, batch.column(0).to_pylist(), lengths, _squeeze(ids), None, None]
             yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, schema, strict=True)], schema=schema)
             start += len(ids)
-        some = np.flatnonzero(occurs)
-        row = [part, None, None, None, None, None, some, occurs[some]]
-        yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(row, schema, strict=True)], schema=schema)
+        for at in range(0, len(occurs), ID_RANGE):
+            some = occurs[at : at + ID_RANGE]
+            if some.any():
+                row = [part, None, None, None, None, None, at // ID_RANGE, some.astype("<i8").tobytes()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c], f.type) for c, f in zip(row, schema, strict=True)], schema=schema
+                )
 
     return tokenized
 
 
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for at, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            sums[at] = sums.get(at, 0) + np.frombuffer(packed, "<i8")
+    for at, total in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([total.tobytes()])], ["id_range", "counts"])
+
+
 def _global_counts(tokenized: DataFrame, end: int) -> np.ndarray:
-    """How often each id occurs in all documents; at most one row for each id of the vocabulary is collected."""
-    sums = (
-        tokenized.filter("block is null")
-        .select(F.explode(F.arrays_zip("counted", "counts")).alias("one"))
-        .groupBy("one.counted")
-        .agg(F.sum("one.counts").alias("n"))
+    """How often each id occurs in all documents; what is collected has the size of the vocabulary."""
+    rows = (
+        tokenized.filter("id_range is not null")
+        .select("id_range", "counts")
+        .repartition(common.shuffle_partitions(tokenized.sparkSession), "id_range")
+        .mapInArrow(_added, "id_range int, counts binary")
         .collect()
     )
-    counts = np.zeros(max([end, *(r[0] for r in sums)]) + 1, np.int64)
-    for i, n in sums:
-        counts[i] = n
+    found = {r.id_range: np.frombuffer(r.counts, "<i8") for r in rows}
+    counts = np.zeros(max([end + 1, *(at * ID_RANGE + len(c) for at, c in found.items())]), np.int64)
+    for at, some in found.items():
+        counts[at * ID_RANGE : at * ID_RANGE + len(some)] = some
     return counts
 
 
