@@ -1,11 +1,10 @@
 """Scores of documents under a language model, beside the smoothed unigram score.
 
-A token is predicted from three sides: by how often it occurred as a whole, each count less a
-discount; with the probability mass that the discounts set free, by context mixing over its bits; and
-by the tokens of the same document before it. Experts differ in how much they trust the latter;
-the document's probability is their mean, in which, token by token, the better ones gain weight. So
-the probabilities of all possible tokens add up to one, unseen ones are spelled, and the model adapts
-as it reads.
+Context mixing predicts every bit of a text from the bytes and the word before it (see ``mixing``), over word
+boundaries, from first byte to end mark. A word with the white space behind it is predicted by that, and by the words of
+the same document before it. Experts differ in how much they trust the latter; the document's
+probability is their mean, in which, word by word, the better ones gain weight. So the probabilities of all possible
+texts add up to one, unseen words are spelled, and the model adapts as it reads.
 
 Word counts never gather in one place: partitions ask the owners of hash ranges of words, each owner
 adds up the counts of its words over all partitions and answers, and the partition scores its texts
@@ -32,9 +31,6 @@ SMOOTHING = 0.1
 #: Rows for each owner of words, at most.
 OWNER_ROWS = 200_000
 
-#: Taken off the count of each token that occurred.
-DISCOUNT = 0.75
-
 #: Weights of the document's own tokens so far once there are many, one for each expert, and the
 #: number of tokens that gives half of it.
 OWN_WEIGHTS = (0.02, 0.1, 0.25, 0.5, 0.9)
@@ -80,6 +76,20 @@ def _with_own(overall: np.ndarray, before: np.ndarray, share: np.ndarray) -> Ite
         yield p
 
 
+def _totals(scorer: mixing.Scorer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probability of each text, a row for each expert; and by context mixing alone. Texts are taken
+    a block at a time."""
+    sizes = np.cumsum([len(t.encode("utf-8", "surrogatepass")) for t in texts]) // mixing.BLOCK_BYTES
+    total, mixed = [], []
+    for block in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(sizes)) + 1):
+        text, word, cost = scorer.words([texts[i] for i in block])
+        mixed.append(np.bincount(text, weights=cost, minlength=len(block)))
+        total.append(np.stack([
+            np.bincount(text, weights=p, minlength=len(block)) for p in _with_own(cost, *_seen_before(text, word))
+        ]))
+    return np.concatenate(total, axis=1), np.concatenate(mixed)
+
+
 def _pack(names: list[str], counts: np.ndarray) -> bytes:
     body = " ".join(names).encode("utf-8", "surrogatepass")  # the end token is the empty name
     raw = len(names).to_bytes(8, "little") + counts.astype("<i8").tobytes() + body
@@ -125,8 +135,8 @@ def score(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, fold: int = 0
 ) -> DataFrame:
     """One row for each document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
-    score, bits_per_byte``. The last is what context mixing alone takes to spell the tokens, per byte
-    of the text as it is; an empty one counts as one byte.
+    score, bits_per_byte``. ``score`` is the log10 probability of the whole text, and the last what context
+    mixing alone takes for all its bits and the end mark, per byte; an empty text counts as one byte.
 
     All is learned from the documents with ``crc32(id) mod folds != fold``; a null id is one of them. A null
     or empty text is the end token alone. Repeated rows count and are returned as often as they come.
@@ -175,29 +185,23 @@ def score(
         answers.clear()
         # packed, for as Python strings the words of a partition would fill its memory
         names, known = pa.concat_arrays(names), np.concatenate(known)
-        free = DISCOUNT * v / n if n else 1.0
         scorer = _scorer(model)
         while some := list(itertools.islice(it, PART_ROWS)):
             words = _Words([r[1] for r in some])
             count = known[pc.index_in(pa.array(words.names, pa.string()), names).to_numpy()]
             log = np.log10((count + SMOOTHING) / (n + SMOOTHING * (v + 1)))
-            spelled = scorer.tokens(words.names)
-            whole = np.maximum(count - DISCOUNT, 0) / max(1, n)
-            overall = np.log10(whole + free * 10.0 ** np.maximum(spelled, -290))
-            overall = np.where((whole > 0) | (spelled > -290), overall, np.log10(free) + spelled)[words.of]
+            total, mixed = _totals(scorer, [r[1] for r in some])
             text = np.repeat(np.arange(len(some)), words.counts)
-            total = np.stack([
-                np.bincount(text, weights=p, minlength=len(some))
-                for p in _with_own(overall, *_seen_before(text, words.of))
-            ])
             # the experts start with equal weights; those that predict a document well lead in it
             best = total.max(axis=0)
             scores = best + np.log10((10.0 ** (total - best)).mean(axis=0))
             sums = [
                 np.bincount(text, weights=w, minlength=len(some)).tolist()
-                for w in (count[words.of] > 0, log[words.of], spelled[words.of])
+                for w in (count[words.of] > 0, log[words.of])
             ]
-            for r, size, score, hits, base, cm in zip(some, words.counts.tolist(), scores.tolist(), *sums, strict=True):
+            for r, size, score, cm, hits, base in zip(
+                some, words.counts.tolist(), scores.tolist(), mixed.tolist(), *sums, strict=True
+            ):
                 length = max(1, len(r[1].encode("utf-8", "surrogatepass")))
                 yield r[0], r[2], size, int(hits), n, base, score, -cm * float(np.log2(10)) / length
 

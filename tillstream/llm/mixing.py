@@ -1,20 +1,18 @@
-"""Spelling of tokens by online logistic context mixing.
+"""Probabilities of whole texts by online logistic context mixing.
 
-Each byte of a token, and the end mark behind it, is predicted bit by bit from the high bit down. For each order (how
-many bytes before it count) a hashed context and the bits so far choose a slot with counts of zeros
-and ones; its prediction is their log-odds. A set of weights, chosen by a gate, mixes the predictions
-in the logistic domain, and an adaptive table refines the mixed probability by the bits so far. Slots
-are counted over the different tokens of each block of all training text; weights are learned online over the same, each event
-against counts that leave it out, by every task for itself, and averaged.
+Each byte of a text, and the end mark behind it, is predicted bit by bit from the high bit down. For each order (how
+many bytes before it count, over word boundaries) a hashed context and the bits so far choose a slot with counts of zeros
+and ones; so does the word before together with the letters of the current word. The prediction of a slot is its
+log-odds. A set of weights, chosen by a gate, mixes the predictions in the logistic domain, and an adaptive table refines
+the mixed probability by the bits so far. Slots are counted over all bytes of all training text; weights are learned
+online over the same, each event against counts that leave it out, by every task for itself, and averaged.
 
-Contexts stay within a token, so a token costs the same wherever it stands and the different tokens
-of a block stand for all of its text. The probabilities of all tokens add up to one.
+Equal contexts of a block are worked out once and weigh as much as they occur. The probabilities of all texts add up to one.
 """
 
 from __future__ import annotations
 
 import functools
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,10 +23,11 @@ from pyspark.sql import DataFrame
 
 from tillstream.llm import common
 
-#: Slots of each order, as powers of two. Their number is fixed, so what is broadcast is too.
-SLOT_BITS = (8, 16, 18, 20, 21, 21)
+#: Slots of each order, and of the word before with the word so far, as powers of two. Their number is fixed, so what
+#: is broadcast is too.
+SLOT_BITS = (8, 16, 18, 20, 21, 21, 21)
 ORDERS = len(SLOT_BITS)
-CONTEXT = ORDERS - 1
+CONTEXT = ORDERS - 2
 SLOTS = sum(1 << b for b in SLOT_BITS)
 _FIRST = np.cumsum([0, *(1 << b for b in SLOT_BITS)])[:-1]
 
@@ -36,22 +35,18 @@ _FIRST = np.cumsum([0, *(1 << b for b in SLOT_BITS)])[:-1]
 REGION = 1 << 14
 
 #: Text read at a time.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
-END = 10  # the byte of a line end, which no word contains
+END = 255  # a byte that UTF-8 does not use
+SPACES = np.isin(np.arange(256), [*b" \t\n\x0b\x0c\r", END])
 LEAST = 0.02  # added to both counts of a slot
 LEVELS = 4  # how much the longest known context was seen, for the gate
 GATES = ORDERS * LEVELS * 8
 BUCKETS = 24  # of the refining table, over the range of log-odds
 RANGE = 12.0
 
-#: Tokens whose costs a worker remembers.
-MEMO_TOKENS = 100_000
-
-#: Tokens spelled at a time.
-NEW_TOKENS = 50_000
-
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
+_BASE = 0x5851F42D4C957F2D  # of the hashes of words; odd, so it has an inverse
 
 
 def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -68,36 +63,86 @@ def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def spelled(names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of tokens, each with ``CONTEXT`` end marks before it and one behind, and where each ends."""
+    """The bytes of texts, each with ``CONTEXT`` end marks before it and one behind, and where each ends."""
     gap, mark = bytes([END]) * CONTEXT, bytes([END])
     found = names.cast(pa.binary()).to_pylist()
     data = np.frombuffer(b"".join([gap + t + mark for t in found]), np.uint8)
     return data, np.cumsum([len(t) + CONTEXT + 1 for t in found])
 
 
-def contexts_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte but the marks in front: it and the bytes before it in one integer; and the
-    number of bytes of each token with its end mark."""
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _words_at(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte: a hash of the word before and the letters of its own word before it; and a hash
+    of its own word up to and with it. Upper case letters count in the first as lower case ones."""
+    n, space = len(data), SPACES[data]
+    at = np.arange(n)
+    start = np.zeros(n, np.int64)  # of the word a byte belongs to; a space ends its word
+    start[1:] = np.maximum.accumulate(np.where(space, at + 1, 0))[:-1]
+    power, back = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+
+    def upto(values: np.ndarray) -> np.ndarray:
+        return np.concatenate((np.zeros(1, np.uint64), np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power)))
+
+    own = upto(data)
+    exact = (own[1:] - own[start]) * back[start]
+    low = upto(np.where((data >= 65) & (data <= 90), data | 32, data))
+    prefix = (low[:-1] - low[start]) * back[start]
+    # the last word that ended before, or none since the text began
+    event = space & (at > start)
+    value = np.where(event, prefix, np.uint64(0))
+    event[begins] = True
+    value[begins] = 0
+    last = np.zeros(n, np.int64)
+    last[1:] = np.maximum.accumulate(np.where(event, at, 0))[:-1]
+    before = (value[last] ^ (value[last] >> np.uint64(29))) * _MIX[1]
+    return before + (prefix ^ (prefix >> np.uint64(31))) * _MIX[0], exact
+
+
+@dataclass(frozen=True)
+class Bytes:
+    """The bytes of some texts with the end mark of each."""
+
+    keys: np.ndarray  # the byte and the bytes before it in one integer
+    words: np.ndarray  # a hash of the word before and the word so far
+    exact: np.ndarray  # a hash of the own word up to and with the byte
+    sizes: np.ndarray  # number of bytes of each text with its end mark
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The different pairs of key and word context, how often each occurs, and the pair of each byte."""
+        both = (self.keys ^ (self.words >> np.uint64(17))) * _MIX[0] + self.words
+        _, first, place, times = np.unique(both, return_index=True, return_inverse=True, return_counts=True)
+        return self.keys[first], self.words[first], times, place
+
+
+def bytes_of(texts: pa.Array) -> Bytes:
+    data, ends = spelled(texts)
     keys = np.zeros(len(data), np.uint64)
     for back in range(CONTEXT + 1):
         keys[back:] |= data[: len(data) - back].astype(np.uint64) << np.uint64(8 * back)
     begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
+    words, exact = _words_at(data, begins)
     there = np.ones(len(data), bool)
     there[(begins[:, None] + np.arange(CONTEXT)).ravel()] = False
-    return keys[there], ends - begins - CONTEXT
+    return Bytes(keys[there], words[there], exact[there], ends - begins - CONTEXT)
 
 
-def distinct(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The different contexts with their byte, and in how many of the different tokens each occurs."""
-    return np.unique(contexts_of(*spelled(tokens_of(texts)[0]))[0], return_counts=True)
+def distinct(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different contexts with their byte, and how often each occurs."""
+    return bytes_of(texts.fill_null("")).distinct()[:3]
 
 
-def _contexts(keys: np.ndarray) -> list[np.ndarray]:
-    """A hash for each order."""
+def _contexts(keys: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
+    """A hash for each order, that of the words last."""
     out = [np.zeros(len(keys), np.uint64)]
-    for order in range(1, ORDERS):
+    for order in range(1, CONTEXT + 1):
         h = (((keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)) + np.uint64(order)) * _MIX[0]
         out.append((h ^ (h >> np.uint64(31))) * _MIX[1])
+    out.append(words * _MIX[1])
     return out
 
 
@@ -123,8 +168,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = np.zeros((SLOTS, 2), np.uint32)
     flat = table.ravel()
     for batch in common.slices(batches, "text", BLOCK_BYTES):
-        keys, times = distinct(batch.column(0))
-        times, contexts = times.astype(np.uint32), _contexts(keys)
+        keys, words, times = distinct(batch.column(0))
+        times, contexts = times.astype(np.uint32), _contexts(keys, words)
         for _, node, bit in _bits(keys):
             for order in range(ORDERS):
                 np.add.at(flat, 2 * _slots(contexts[order], order, node) + bit, times)
@@ -206,9 +251,10 @@ class Model:
     weights: np.ndarray
     refined: np.ndarray  # log-odds by bits so far and bucket of the mixed log-odds
 
-    def costs(self, keys: np.ndarray) -> np.ndarray:
-        """log10 probability of each byte in its context."""
-        out, contexts = np.zeros(len(keys)), _contexts(keys)
+    def costs(self, keys: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of each byte in its context; without ``words`` no word stands before."""
+        words = np.zeros(len(keys), np.uint64) if words is None else words
+        out, contexts = np.zeros(len(keys)), _contexts(keys, words)
         for b, node, bit in _bits(keys):
             x, gate = _inputs(self.slots, contexts, b, node, None)
             mixed = _mixed(self.weights, gate, x)
@@ -230,7 +276,7 @@ def _refine(refined: np.ndarray, mixed: np.ndarray, node: np.ndarray) -> np.ndar
 
 
 def start_weights() -> np.ndarray:
-    return np.tile(np.array([0.1, 0.1, 0.15, 0.2, 0.25, 0.3, 0.0]), (GATES, 1))
+    return np.tile(np.array([0.1, 0.1, 0.15, 0.2, 0.25, 0.3, 0.3, 0.0]), (GATES, 1))
 
 
 def _learned(slots_of):
@@ -239,12 +285,12 @@ def _learned(slots_of):
         power, events = np.full_like(weights, 1e-2), np.zeros(GATES)
         hits = np.zeros((2, 256, BUCKETS))
         for batch in common.slices(batches, "text", BLOCK_BYTES):
-            keys, times = distinct(batch.column(0))
+            keys, words, times = distinct(batch.column(0))
             order = np.random.default_rng(len(keys)).permutation(len(keys))
             for at in range(0, len(keys), 1 << 14):
                 some = order[at : at + (1 << 14)]
                 k, c = keys[some], times[some].astype(np.float64)
-                contexts = _contexts(k)
+                contexts = _contexts(k, words[some])
                 for b, node, bit in _bits(k):
                     x, gate = _inputs(slots, contexts, b, node, bit)
                     mixed = _mixed(weights, gate, x)
@@ -302,25 +348,23 @@ def train(texts: DataFrame) -> Model:
 
 
 class Scorer:
-    """log10 probabilities of tokens; remembers those met before."""
+    """log10 probabilities of texts."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.known, self.cost = model, {}, np.zeros(0)
-
-    def _costs(self, names: list[str]) -> np.ndarray:
-        keys, sizes = contexts_of(*spelled(pa.array(names, pa.string())))
-        keys, place = np.unique(keys, return_inverse=True)
-        found = [self.model.costs(keys[i : i + 65536]) for i in range(0, len(keys), 65536)]
-        return np.add.reduceat(np.concatenate(found)[place], np.cumsum(sizes) - sizes)
+        self.model = model
+
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All words of the texts in a row, each with the white space or end mark behind it: the number of
+        its text, a hash of it, and its log10 probability after the text before it."""
+        data = bytes_of(pa.array(texts, pa.string()))
+        keys, words, _, place = data.distinct()
+        found = [self.model.costs(keys[i : i + 65536], words[i : i + 65536]) for i in range(0, len(keys), 65536)]
+        ends = np.flatnonzero(SPACES[(data.keys & np.uint64(255)).astype(np.int64)])
+        begins = np.concatenate(([0], ends[:-1] + 1))
+        text = np.repeat(np.arange(len(texts)), data.sizes)[ends]
+        return text, data.exact[ends], np.add.reduceat(np.concatenate(found)[place], begins)
 
     def tokens(self, names: list[str]) -> np.ndarray:
-        """The log10 probability of each token."""
-        if len(self.known) > MEMO_TOKENS:
-            self.known, self.cost = {}, np.zeros(0)
-        known = self.known
-        at = np.array([known.setdefault(n, len(known)) for n in names], np.int64)
-        if len(known) > len(self.cost):
-            new = list(itertools.islice(known, len(self.cost), None))
-            found = [self._costs(new[i : i + NEW_TOKENS]) for i in range(0, len(new), NEW_TOKENS)]
-            self.cost = np.concatenate([self.cost, *found])
-        return self.cost[at]
+        """The log10 probability of each as a whole text."""
+        text, _, cost = self.words(names)
+        return np.bincount(text, weights=cost, minlength=len(names))
