@@ -1,5 +1,6 @@
 """Context mixing runs over whole texts."""
 
+import numpy as np
 import pyarrow as pa
 
 from tillstream.llm import lmscore, mixing
@@ -30,3 +31,13 @@ def test_the_word_before_is_a_context():
     at = one.keys.tolist().index(one.keys[10])  # in the middle of "horses"
     assert one.words[at] != two.words[at] and one.words[-1] == two.words[-1]
     assert one.words[at] == same.words[at + 3]
+
+
+def test_rare_bits_outlive_large_counts():
+    counts = np.zeros((2, mixing._region_rows(0)), "<u4")
+    counts[:, 0] = 3_000_000_000, 1
+    part = pa.compress(counts, "zstd", asbytes=True)
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0], pa.int32()), pa.array([part, part])], ["region", "counts"])
+    (out,) = mixing._summed(iter([batch]))
+    sums = np.frombuffer(out.column(1)[0].as_py(), "<f4").reshape(2, -1)
+    assert sums[:, 0].tolist() == [6_000_000_000, 2]

@@ -12,7 +12,6 @@ Equal contexts of a block are worked out once and weigh as much as they occur. T
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -185,7 +184,7 @@ def _region_rows(region: int) -> int:
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each region of this partition: counts in 16 bits, both halved until they fit."""
+    """One row for each region of this partition: the sums as floats, which keep large and rare counts alike."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for region, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -193,9 +192,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = np.frombuffer(pa.decompress(packed, 8 * n, "zstd"), np.uint32).reshape(2, n)
             sums[region] = sums.get(region, 0) + part.astype(np.uint64)
     for region, total in sums.items():
-        while (over := total.max(axis=0) > 65535).any():
-            total[:, over] >>= np.uint64(1)
-        packed = total.astype("<u2").tobytes()
+        packed = total.astype("<f4").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([region], pa.int32()), pa.array([packed])], ["region", "counts"])
 
 
@@ -210,30 +207,24 @@ def count(texts: DataFrame) -> np.ndarray:
     )
     with common.small_batches(texts.sparkSession):
         rows = sums.collect()
-    slots = np.zeros(SLOTS, np.uint32)
+    slots = np.zeros((SLOTS, 2), np.float32)
     for r in rows:
         size, at = _region_rows(r.region), r.region * REGION
-        zeros, ones = np.frombuffer(r.counts, "<u2").reshape(2, size).astype(np.uint32)
-        slots[at : at + size] = zeros | (ones << 16)
+        slots[at : at + size] = np.frombuffer(r.counts, "<f4").reshape(2, size).T
     return slots
 
 
-@functools.cache
-def _logs() -> np.ndarray:
-    return np.log(np.arange(1 << 16) + LEAST).astype(np.float32)
-
-
 def _inputs(slots: np.ndarray, contexts: list[np.ndarray], b: int, node: np.ndarray, own: np.ndarray | None):
     """Log-odds of each order (and a constant), and the gate. ``own``: the bit to leave out."""
     x = np.empty((ORDERS + 1, len(node)), np.float32)
     gate = np.zeros(len(node), np.int64)
     for order in range(ORDERS):
         both = slots[_slots(contexts[order], order, node)]
-        zeros, ones = both & np.uint32(0xFFFF), both >> np.uint32(16)
+        zeros, ones = both[:, 0], both[:, 1]
         if own is not None:
             zeros = zeros - ((own == 0) & (zeros > 0))
             ones = ones - ((own == 1) & (ones > 0))
-        x[order] = _logs()[ones] - _logs()[zeros]
+        x[order] = np.log((ones + np.float32(LEAST)) / (zeros + np.float32(LEAST)))
         seen = zeros + ones
         level = (seen > 1).astype(np.int64) + (seen > 4) + (seen > 20) + order * LEVELS
         gate = np.where(seen > 0, level, gate)
@@ -247,7 +238,7 @@ def _mixed(weights: np.ndarray, gate: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    slots: np.ndarray  # zeros in the low and ones in the high 16 bits
+    slots: np.ndarray  # zeros and ones
     weights: np.ndarray
     refined: np.ndarray  # log-odds by bits so far and bucket of the mixed log-odds
 
