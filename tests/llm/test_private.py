@@ -1,0 +1,29 @@
+"""Spellings of personal data, and names that are written in several ways."""
+
+import re
+
+import pytest
+
+from tillstream.llm import pii
+
+
+@pytest.mark.parametrize("number", [
+    "+14155552671", "(415)5552671", "(415)555-2671", "4155552671", "030 12345678", "+49 30 123456", "+49 (0)30 123456",
+    "+1(415)5552671", "1-800-555-1234", "+1 (017) 555-7713", "06 12 34 56 78", "06.12.34.56.78", "030/12345678", "555-2671",
+    "0049 30 123456", "(030) 1234567",
+])
+def test_phone_spellings(number):
+    (one,) = pii.find(f"Call {number}, or write.")
+    assert one[2] == "phone" and one[0] == 5 and one[1] == 5 + len(number)
+
+
+@pytest.mark.parametrize("text", ["on 2024-01-15 at 10", "on 15.01.2024", "3.14159265358", "1234567", "in 2023/2024", "0.1234567890"])
+def test_not_phones(text):
+    assert pii.find(f"Nothing {text} here") == []
+
+
+def test_phones_leave_no_digits_behind(spark):
+    docs = spark.createDataFrame([(1, "(415)555-2671 or 4155552671 or +14155552671")], "doc_id long, text string")
+    (got,) = pii.replace(docs).collect()
+    assert got.n_entities == 3 and "415" not in got.text[:5] and "5552671" not in got.text
+    assert re.fullmatch(r"\(\d{3}\)\d{3}-\d{4} or \d{10} or \+1\d{10}", got.text)

@@ -51,6 +51,17 @@ _SYLLABLES = {
 }
 
 _NAME = r"[^\W\d_][^\W\d_]*(?:['’-][^\W\d_]+)*"
+#: Phone numbers: behind a plus, with an area in brackets, in groups, or ten to twelve digits in a row. Dates, spans of
+#: years and the digits of decimal fractions are none.
+_SEP = "[ .\\-/\u00a0\u2011]"
+_PHONE = (
+    rf"(?<!\w)\+\(?(?:\d{{10,15}}|\d{{7,9}}(?!{_SEP}?\d)"
+    rf"|\d{{1,9}}\)?(?:{_SEP}?\(0\){_SEP}?\d{{2,10}}|(?:{_SEP}|[()]){{1,3}}\d{{2,10}}){{1,6}})(?!\d)"
+    rf"|(?<!\w)(?:\d{{1,3}}{_SEP}?)?\(\d{{2,5}}\){_SEP}{{0,2}}\d{{2,10}}(?:{_SEP}\d{{2,8}}){{0,4}}(?!\d)"
+    r"|(?<!\w)(?<!\d[-./])(?!(?:19|20)\d\d[-./](?:0?[1-9]|1[0-2])[-./]\d{1,2}(?!\d))"
+    r"(?!\d{1,2}[-./]\d{1,2}[-./](?:19|20)\d\d(?!\d))(?!(?:19|20)\d\d/(?:19|20)\d\d(?!\d))"
+    rf"(?:(?:\d[-.])?\d{{2,5}}(?:[ \-/\u00a0\u2011]\d{{2,10}}|\.\d{{2,4}}){{1,5}}(?!\d)|\d{{10,12}}(?!\w|\.\d))"
+)
 _PATTERNS = {
     "email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+",
     "secret": r"(?i:\b(?:api[_-]?key|token|secret|password|passwd|pwd)\b\s*[:=]\s*[\"']?)(?P<secret_value>[\w./+=-]{8,})",
@@ -60,7 +71,7 @@ _PATTERNS = {
     "ip6": r"(?<![\w:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\w:])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)",
-    "phone": r"(?<![\d\w])(?:\+\d{1,3}[ .-]?)?\(?\d{2,4}\)?(?:(?:[ .-]\d{2}){4}|(?:[ .-]\d{3,4}){1,2})(?!\d)",
+    "phone": _PHONE,
     "name": rf"(?<!\w)(?P<name_title>{'|'.join(sorted(map(re.escape, _GENDER), key=len, reverse=True))})\.? "
     rf"(?P<name_value>{_NAME}(?: {_NAME})?)",
 }
