@@ -27,3 +27,28 @@ def test_phones_leave_no_digits_behind(spark):
     (got,) = pii.replace(docs).collect()
     assert got.n_entities == 3 and "415" not in got.text[:5] and "5552671" not in got.text
     assert re.fullmatch(r"\(\d{3}\)\d{3}-\d{4} or \d{10} or \+1\d{10}", got.text)
+
+
+@pytest.mark.parametrize("text, names", [
+    ("Mr John Paul Smith left", ["John Paul Smith"]),
+    ("Mr de la Cruz left", ["de la Cruz"]),
+    ("Frau von der Leyen and Mrs Jones", ["von der Leyen", "Jones"]),
+    ("Mr Smith's house", ["Smith"]),
+    ("Mr John Smith met. Later John Smith, Smith and John sat; a smith did not.", ["John Smith", "John Smith", "Smith", "John"]),
+    ("Smith called. Mr Smith answered.", ["Smith", "Smith"]),
+    ("Mr and Mrs left", []),
+])
+def test_whole_names(text, names):
+    assert [text[a:b] for a, b, *_ in pii.find(text)] == names
+
+
+def test_parts_of_names_share_surrogates(spark):
+    rows = [
+        (1, "Mr John Smith came. Mr Smith sat, and Mr Smith's dog. John Smith left with John."),
+        (2, "Mr. John SMITH and Mr de la Cruz, Mrs Anna Smith"),
+    ]
+    got = {r.doc_id: r.text for r in pii.replace(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. Mr (\w+) sat, and Mr (\w+)'s dog\. (\w+) (\w+) left with (\w+)\.", got[1])
+    assert m[2] == m[3] == m[4] == m[6] and m[1] == m[5] == m[7] and m[2] != "Smith" and m[1] != "John"
+    n = re.fullmatch(r"Mr\. (\w+) (\w+) and Mr de la (\w+), Mrs (\w+) (\w+)", got[2])
+    assert n[1] == m[1] and n[2] == m[2].upper() and n[5] == m[2] and n[3] != "Cruz"

@@ -2,7 +2,8 @@
 
 An entity is found by its format, brought to a canonical form, and replaced by a surrogate that
 a keyed hash of type and canonical form chooses: the same entity gets the same surrogate in every document.
-Surrogates keep format (length, separators, letter case, script), and names keep the gender of their title.
+Surrogates keep format (length, separators, letter case, script), and names keep the gender of their title. Given and
+family names are entities of their own, so all spellings of a person's name share their surrogates.
 Over all documents together, no two entities share a surrogate and no surrogate is an entity that
 occurs: whoever collides tries its next surrogate, until nobody does.
 """
@@ -50,7 +51,13 @@ _SYLLABLES = {
     "cyrillic": "ба бел бор да ден дор га гор ка кор ла лен лор ма мел нор ра рен са сор та тер ва вел".split(),
 }
 
-_NAME = r"[^\W\d_][^\W\d_]*(?:['’-][^\W\d_]+)*"
+_WORD = r"[^\W\d_][^\W\d_]*(?:['’-][^\W\d_]+)*"
+#: Words inside a family name that stay as they are.
+_PARTICLES = frozenset("de del della di da dos du la le van von der den ten ter zu zur af av bin ibn al el фон де".split())
+_TITLE = "|".join(sorted(map(re.escape, _GENDER), key=len, reverse=True))
+_POSSESSIVE = re.compile(r"['’][sS]$")
+#: Behind a name without a family name, in its canonical form.
+_NO_FAMILY = "~"
 #: Phone numbers: behind a plus, with an area in brackets, in groups, or ten to twelve digits in a row. Dates, spans of
 #: years and the digits of decimal fractions are none.
 _SEP = "[ .\\-/\u00a0\u2011]"
@@ -72,8 +79,7 @@ _PATTERNS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]*\d)",
     "phone": _PHONE,
-    "name": rf"(?<!\w)(?P<name_title>{'|'.join(sorted(map(re.escape, _GENDER), key=len, reverse=True))})\.? "
-    rf"(?P<name_value>{_NAME}(?: {_NAME})?)",
+    "name": rf"(?<!\w)(?P<name_title>{_TITLE})\.? (?P<name_value>(?!(?:{_TITLE})\b){_WORD}(?: (?!(?:{_TITLE})\b){_WORD})*)",
 }
 _ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _PATTERNS.items()))
 _HINT = re.compile(r"[\d@:=]")
@@ -82,7 +88,8 @@ _HINT = re.compile(r"[\d@:=]")
 def find(text: str) -> list[tuple[int, int, str, str, str]]:
     """``start, end, type, canonical form, gender`` of the entities of a text, in order, not overlapping.
 
-    Names are those behind a title: one or two words that begin with a capital letter.
+    Names are those behind a title: all words that begin with a capital letter, with particles before and between
+    them; and wherever their words stand in the same text without a title, beginning with a capital letter.
     """
     if not _HINT.search(text) and not any(t in text for t in _GENDER):
         return []
@@ -94,16 +101,81 @@ def find(text: str) -> list[tuple[int, int, str, str, str]]:
         kind = next(k for k in _PATTERNS if m.group(k) is not None)
         start, end = m.span(f"{kind}_value") if kind in ("secret", "name") else m.span()
         if kind == "name":
-            words = [w for w in text[start:end].split(" ") if w]
-            kept = [w for i, w in enumerate(words) if w[0].isupper() and all(x[0].isupper() for x in words[:i])]
-            if not kept:
+            size = _name_length(text[start:end])
+            if not size:
                 continue
-            end, gender = start + len(" ".join(kept)), _GENDER[m.group("name_title")]
+            end, gender = start + size, _GENDER[m.group("name_title")]
         value = text[start:end]
         if kind == "phone" and sum(c.isdigit() for c in value) < 7:
             continue
         found.append((start, end, kind, canonical(kind, value, gender), gender))
-    return found
+    return _with_mentions(text, found)
+
+
+def _name_length(value: str) -> int:
+    """How much of the words behind a title is a name: up to the last word with a capital letter before one
+    that has none and is no particle, or up to a possessive ending, without it. 0: there is none."""
+    size = at = 0
+    for word in value.split(" "):
+        if word[0].isupper() and word.lower() not in _GENDER:
+            own = _POSSESSIVE.search(word) if len(word) > 2 else None
+            size = at + (own.start() if own else len(word))
+            if own:
+                break
+        elif word.lower() not in _PARTICLES:
+            break
+        at += len(word) + 1
+    return size
+
+
+def _is_particle(word: str, words: list[str]) -> bool:
+    return word in _PARTICLES and len(words) > 1
+
+
+def parts(kind: str, entity: str) -> list[tuple[str, str]]:
+    """What an entity draws surrogates for: itself, or its given and family names. Particles are left out."""
+    if kind != "name":
+        return [(kind, entity)]
+    gender, _, full = entity.partition(":")
+    words = full.split(" ")
+    last = len(words) - 1
+    return [
+        ("family", w) if i == last else ("given", f"{gender}:{w}")
+        for i, w in enumerate(words)
+        if w != _NO_FAMILY and (i == last or not _is_particle(w, words))
+    ]
+
+
+def _with_mentions(text: str, found: list[tuple[int, int, str, str, str]]) -> list[tuple[int, int, str, str, str]]:
+    """Also the names of ``found`` where they stand without a title."""
+    given, family = {}, {}
+    for _, _, kind, entity, gender in found:
+        if kind == "name":
+            for part, word in parts(kind, entity):
+                (family if part == "family" else given).setdefault(word.rpartition(":")[2], gender)
+    if not family:
+        return found
+    words = sorted({*given, *family}, key=len, reverse=True)
+    known = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, words))})(?!\w)", re.IGNORECASE)
+    taken, at, runs = found, 0, []
+    for m in known.finditer(text):
+        start, end = m.span()
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        if not m[0][0].isupper() or (at < len(taken) and taken[at][0] < end):
+            continue
+        between = text[runs[-1][1] : start] if runs else ""
+        joined = between[:1] == " " and all(w in _PARTICLES for w in between[1:-1].split(" ") if w) and between[-1:] == " "
+        if runs and joined and not runs[-1][2] and not (at and taken[at - 1][0] >= runs[-1][1]):
+            runs[-1][1:] = end, m[0].lower() in family
+        else:
+            runs.append([start, end, m[0].lower() in family])
+    for start, end, whole in runs:
+        low = text[start:end].lower()
+        first, last = low.split(" ")[0], low.split(" ")[-1]
+        gender = given.get(first) or family.get(last) or next(iter(family.values()))  # case folds in odd ways
+        found = [*found, (start, end, "name", f"{gender}:{low}" + ("" if whole else f" {_NO_FAMILY}"), gender)]
+    return sorted(found)
 
 
 def canonical(kind: str, value: str, gender: str = "") -> str:
@@ -156,19 +228,16 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     """The surrogate of a canonical entity, in canonical form."""
     draw = _Draw(key, kind, entity, str(attempt))
     longer = max(0, attempt - SAME_LENGTH_TRIES)
-    if kind == "name":
-        gender, _, full = entity.partition(":")
-        words = full.split(" ")
-        new = []
-        for i, w in enumerate(words):
-            script = _script(w)
-            if i == 0 and len(words) > 1:
-                given = _GIVEN[(gender, script)]
-                new.append(given[draw.below(len(given))].lower())
-            else:
-                parts = _SYLLABLES[script]
-                new.append("".join(parts[draw.below(len(parts))] for _ in range(3 + longer)))
-        return f"{gender}:{' '.join(new)}"
+    if kind == "given":
+        gender, _, word = entity.partition(":")
+        script = _script(word)
+        known, syllables = _GIVEN[(gender, script)], _SYLLABLES[script]
+        new = known[draw.below(len(known))].lower()
+        more = 1 + attempt // 4 if attempt else 0  # the known ones are few
+        return f"{gender}:{new}" + "".join(syllables[draw.below(len(syllables))] for _ in range(more))
+    if kind == "family":
+        syllables = _SYLLABLES[_script(entity)]
+        return "".join(syllables[draw.below(len(syllables))] for _ in range(3 + attempt // 4))
     if kind == "email":
         local, _, domain = entity.partition("@")
         head, dot, top = domain.rpartition(".")
@@ -200,10 +269,6 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
 
 def _shown(kind: str, value: str, new: str) -> str:
     """A canonical surrogate in the spelling of the value it replaces."""
-    if kind == "name":
-        new = new.partition(":")[2]
-        old, parts = value.split(" "), new.split(" ")
-        return " ".join(p.upper() if len(o) > 1 and o.isupper() else p.capitalize() for o, p in zip(old, parts, strict=True))
     if kind in ("card", "phone", "iban"):
         rest = iter(new)
         out = "".join(c if not (c.isalnum() or c == "+") else next(rest, "") for c in value)
@@ -216,9 +281,22 @@ def _shown(kind: str, value: str, new: str) -> str:
     return new
 
 
+def _renamed(value: str, entity: str, new: list[str]) -> str:
+    """A name in its spelling with the surrogates of its parts; particles stay."""
+    words, rest = entity.partition(":")[2].split(" "), iter(new)
+    out = []
+    for i, old in enumerate(value.split(" ")):
+        if i < len(words) - 1 and _is_particle(words[i], words):
+            out.append(old)
+        else:
+            w = next(rest).rpartition(":")[2]
+            out.append(w.upper() if len(old) > 1 and old.isupper() else w.capitalize())
+    return " ".join(out)
+
+
 def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = {(e[2], e[3]) for t in common.texts_of(batch) for e in find(t)}
+        rows = {x for t in common.texts_of(batch) for e in find(t) for x in parts(e[2], e[3])}
         yield pa.RecordBatch.from_arrays(
             [pa.array([k for k, _ in rows], pa.string()), pa.array([e for _, e in rows], pa.string())], ["kind", "entity"]
         )
@@ -269,8 +347,9 @@ def _replaced(key: bytes, given):
                 tries = everywhere if later is None else {(x["kind"], x["entity"]): x["attempt"] for x in later}
                 out, at, found = [], 0, find(text)
                 for start, end, kind, entity, _ in found:
-                    new = surrogate(key, kind, entity, tries.get((kind, entity), 0))
-                    out += [text[at:start], _shown(kind, text[start:end], new)]
+                    new = [surrogate(key, *x, tries.get(x, 0)) for x in parts(kind, entity)]
+                    old = text[start:end]
+                    out += [text[at:start], _renamed(old, entity, new) if kind == "name" else _shown(kind, old, new[0])]
                     at = end
                 texts.append("".join([*out, text[at:]]))
                 counts.append(len(found))
@@ -302,9 +381,10 @@ def replace(docs: DataFrame, key: bytes = DEMO_KEY, id_col: str = "doc_id", text
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {
-                (row, e[2], e[3])
+                (row, *x)
                 for row, t in zip(batch.column(0).to_pylist(), common.texts_of(batch), strict=True)
                 for e in find(t)
+                for x in parts(e[2], e[3])
             }
             columns = list(zip(*found, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
