@@ -189,6 +189,17 @@ def streamed_settlement(spark, sf_dir):
     return minutes.drop(*_NO_FEE)
 
 
+@query("SELECT * FROM c_minute")
+def streamed_settlement_fees(spark, sf_dir):
+    """Minute settlement with all 11 metrics, priced in every micro-batch by the rules of the tenants."""
+    folder, run = _run(spark, "settlement-fees")
+    jobs.priced_settlement_stream(
+        event_records(spark, sf_dir), f"{folder}/store", f"{folder}/minutes", run, valid_money,
+        lambda session: A.a_rules(session, sf_dir),
+    ).awaitTermination()
+    return jobs.read_minutes(spark, f"{folder}/minutes", jobs.settlement_table())
+
+
 @query("""
 SELECT idempotency_key, tenant_id, amount_minor FROM a_detail WHERE event_type = 'pay_success'""")
 def streamed_dedup(spark, sf_dir):
