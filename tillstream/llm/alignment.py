@@ -43,6 +43,8 @@ FAN_IN = 16
 
 #: Distinct chunks a worker keeps aligned; beyond them it begins anew.
 CACHE_CHUNKS = 250_000
+#: Unseen chunks encoded together; their bytes tell them apart.
+JOINED_CHUNKS = 2_000
 #: Texts aligned at a time, and pairs that a task collects before it hands them on.
 SLICE_BYTES = 2 << 20
 HELD_PAIRS = 1 << 20
@@ -82,92 +84,124 @@ def _gather(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(begins - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+class _Numbers(dict):
+    """Chunk to number; an unseen chunk gets the next number and waits to be aligned."""
+
+    def __init__(self) -> None:
+        self.waiting: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self.waiting.append(chunk)
+        self[chunk] = number = len(self)
+        return number
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order, and how often each occurs."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))[: len(values)])
+    return values[first], np.diff(np.append(first, len(values)))
+
+
+#: Encoded before the chunks, one token on either side, so that no chunk stands at the beginning of a text.
+_LEAD = " a"
+
+
 class Aligner:
-    """Aligned chunks by number; ``n_a``, ``n_b``, ``n_groups``, ``n_links`` of each, and its links by pair."""
+    """Aligned chunks by number: ``size`` has tokens of A, tokens of B, groups, links, and whether the bytes differ.
+
+    ``keys`` has the pair of each link; ``marks`` the ids of the groups, each with the sign that follows it in their text.
+    """
 
     def __init__(self, path_a: str, path_b: str) -> None:
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte = _byte_level()
         with open(path_a, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
-        self.bytes_a = [b""] * self.a.get_vocab_size(with_added_tokens=True)
-        for token, i in vocabulary.items():
-            self.bytes_a[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+            stored = json.load(file)
+        special = {token["content"] for token in stored["added_tokens"]}
+        # The merges of a byte-level vocabulary are in the order of its ids, so it says all that an encoder needs.
+        ranks = {bytes(byte[c] for c in t): i for t, i in stored["model"]["vocab"].items() if t not in special}
+        self.a = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.bytes_a = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, i in ranks.items():
+            self.bytes_a[i] = token
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         self.width_a, self.width_b = (np.array([len(x) for x in side], np.int64) for side in (self.bytes_a, self.bytes_b))
-        self.blank = self.b.piece_to_id("▁")
+        # id and sign: "," or "|" behind an id of A, "," or ";" behind one of B
+        ids_a, ids_b = range(len(self.bytes_a)), range(len(self.bytes_b))
+        self.fragments = pa.array([f"{i}{c}" for i in ids_a for c in ",|"] + [f"{i}{c}" for i in ids_b for c in ",;"])
         self.clear()
 
     def clear(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.strings: list[str] = []
+        self.numbers = _Numbers()
         self.size = np.zeros((0, 5), np.int64)
-        self.begins, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.keys, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _ids(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch(chunks, add_special_tokens=False)]
-        b = self.b.encode([c.removeprefix(" ") for c in chunks], num_threads=1)
-        # the library puts a blank in front: not of an empty rest, and where it is not the chunk's own it goes
-        b = [
-            [self.blank] if c == " " else ids[1:] if c[0] != " " and ids[:1] == [self.blank] else ids
-            for c, ids in zip(chunks, b, strict=True)
-        ]
-        return a, b
+        self.begins, self.keys = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.mark_begins, self.marks = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids of both sides for chunks one after the other, and the byte length of each chunk.
+
+        None if the bytes of the tokens are not those of the chunks.
+        """
+        text = _LEAD + "".join(chunks)
+        ids_a, ids_b = self.a.encode_ordinary(text), self.b.encode(text[1:])
+        raw = text.encode()
+        if not b"".join(map(self.bytes_a.__getitem__, ids_a)) == b"".join(map(self.bytes_b.__getitem__, ids_b)) == raw:
+            return None
+        lengths = np.array([len(c) for c in chunks], np.int64)
+        if len(raw) != len(text):
+            lengths = np.array([len(c.encode()) for c in chunks], np.int64)
+        return np.array(ids_a[1:], np.int64), np.array(ids_b[1:], np.int64), lengths
 
     def _learn(self, chunks: list[str]) -> None:
-        ids_a, ids_b = self._ids(chunks)
-        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (ids_a, ids_b))
-        a, b = (np.array(list(itertools.chain.from_iterable(x)), np.int64) for x in (ids_a, ids_b))
-        texts = [c.encode() for c in chunks]
-        ends = np.cumsum([len(t) for t in texts])
-        good = np.ones(len(chunks), bool)
-        for side, table in ((ids_a, self.bytes_a), (ids_b, self.bytes_b)):
-            good &= [b"".join([table[i] for i in ids]) == t for ids, t in zip(side, texts, strict=True)]
-        if not good.all():  # no groups for those, and their tokens out of the way
-            a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
-            n_a, n_b = n_a * good, n_b * good
-            ends = np.cumsum([len(t) * g for t, g in zip(texts, good.tolist(), strict=True)])
-        end_a, end_b = np.cumsum(self.width_a[a]), np.cumsum(self.width_b[b])
-        common_ends = np.intersect1d(end_a, end_b)
+        """Align unseen chunks; some of them are encoded together, those that end with white space alone."""
+        order = [i for i, c in enumerate(chunks) if not c[-1].isspace()]
+        runs = [order[i : i + JOINED_CHUNKS] for i in range(0, len(order), JOINED_CHUNKS)]
+        runs += [[i] for i, c in enumerate(chunks) if c[-1].isspace()]
+        a, b, lengths, place = [], [], [], []
+        bad: list[int] = []
+        while runs:
+            run = runs.pop()
+            found = self._encoded([chunks[i] for i in run])
+            if found is None:  # look for the chunks that are to blame
+                half = len(run) // 2
+                bad += run if not half else []
+                runs += [run[:half], run[half:]] if half else []
+                continue
+            for held, part in zip((a, b, lengths, place), (*found, np.array(run, np.int64)), strict=True):
+                held.append(part)
+        none = [np.zeros(0, np.int64)]
+        a, b, lengths, place = (np.concatenate(held or none) for held in (a, b, lengths, place))
+        ends, end_a, end_b = np.cumsum(lengths), np.cumsum(self.width_a[a]), np.cumsum(self.width_b[b])
+        common_ends = np.intersect1d(end_a, end_b, assume_unique=True)
         group_a, group_b = np.searchsorted(common_ends, end_a), np.searchsorted(common_ends, end_b)
         in_a, in_b = (np.bincount(g, minlength=len(common_ends)) for g in (group_a, group_b))
-        of = np.searchsorted(ends, common_ends)  # the chunk of each group
-        n_groups = np.bincount(of, minlength=len(chunks))
-        links = in_a * in_b
+        last_a, last_b = np.cumsum(in_a), np.cumsum(in_b)
         # every token of A of a group beside every token of B of it
-        begin_b = np.cumsum(in_b) - in_b
         beside = in_b[group_a]
-        keys = np.repeat(a, beside) * len(self.bytes_b) + b[_gather(begin_b[group_a], beside)]
-        chunk = np.repeat(of[group_a], beside)
-        one = np.lexsort((keys, chunk))
-        keys, chunk = keys[one], chunk[one]
-        first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (chunk[1:] != chunk[:-1])))[: len(keys)])
-        times = np.diff(np.append(first, len(keys)))
-        n_links = np.zeros(len(chunks), np.int64)
-        np.add.at(n_links, of, links)
-        lengths = np.bincount(chunk[first], minlength=len(chunks))
-        self.begins = np.concatenate([self.begins, len(self.keys) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.keys = np.concatenate([self.keys, keys[first]])
-        self.times = np.concatenate([self.times, times])
-        self.size = np.concatenate([self.size, np.stack([n_a, n_b, n_groups, n_links, ~good], axis=1)])
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        ends_a, ends_b = np.cumsum(in_a).tolist(), np.cumsum(in_b).tolist()
-        groups = [
-            f"{','.join(names_a[i:j])}|{','.join(names_b[k:m])}"
-            for i, j, k, m in zip([0, *ends_a], ends_a, [0, *ends_b], ends_b)
-        ]
-        last = np.cumsum(n_groups).tolist()
-        self.strings += [";".join(groups[i:j]) for i, j in zip([0, *last], last)]
+        keys = np.repeat(a, beside) * len(self.bytes_b) + b[_gather((last_b - in_b)[group_a], beside)]
+        at_a, at_b = np.arange(len(a)), np.arange(len(b))
+        marks = np.zeros(len(a) + len(b), np.int64)
+        marks[at_a + (last_b - in_b)[group_a]] = 2 * a + (at_a + 1 == last_a[group_a])
+        marks[at_b + last_a[group_b]] = 2 * (b + len(self.bytes_a)) + (at_b + 1 == last_b[group_b])
+        # sums up to the end of each chunk
+        groups = np.searchsorted(common_ends, ends, side="right")
+        links = np.concatenate(([0], np.cumsum(in_a * in_b)))[groups]
+        upto = np.stack([np.concatenate(([0], last_a))[groups], np.concatenate(([0], last_b))[groups], groups, links], axis=1)
+        size = np.zeros((len(chunks), 5), np.int64)
+        size[place, :4] = np.diff(upto, axis=0, prepend=np.zeros((1, 4), np.int64))
+        size[bad, 4] = 1
+        begins, mark_begins = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        begins[place] = len(self.keys) + upto[:, 3] - size[place, 3]
+        mark_begins[place] = len(self.marks) + upto[:, :2].sum(axis=1) - size[place, :2].sum(axis=1)
+        for name, more in (("size", size), ("begins", begins), ("mark_begins", mark_begins), ("keys", keys), ("marks", marks)):
+            setattr(self, name, np.concatenate([getattr(self, name), more]))
 
     def number(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the chunks of all texts in a row, each with its blank in front, and how many each has.
@@ -177,17 +211,31 @@ class Aligner:
         if len(self.numbers) > CACHE_CHUNKS:
             self.clear()
         cut = [chunks_of(f" {t}") if t else [] for t in texts]
-        known, new = self.numbers, []
-        for chunk in itertools.chain.from_iterable(cut):
-            if chunk not in known:
-                known[chunk] = len(known)
-                new.append(chunk)
-        if new:
-            self._learn(new)
         counts = np.array([len(c) for c in cut], np.int64)
-        flat = np.fromiter((known[c] for c in itertools.chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        of = map(self.numbers.__getitem__, itertools.chain.from_iterable(cut))
+        flat = np.fromiter(of, np.int64, int(counts.sum()))
+        if self.numbers.waiting:
+            self._learn(self.numbers.waiting)
+            self.numbers.waiting = []
         return flat, counts
 
+    def links(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of all links of the chunks in a row, and how many each has."""
+        lengths = self.size[numbers, 3]
+        return self.keys[_gather(self.begins[numbers], lengths)], lengths
+
+    def groups(self, numbers: np.ndarray, counts: np.ndarray) -> list[memoryview]:
+        """``a1,a2|b1;a3|b2,b3`` of each run of ``counts`` chunks, as bytes."""
+        lengths = self.size[numbers, :2].sum(axis=1)
+        marks = self.marks[_gather(self.mark_begins[numbers], lengths)]
+        if not len(marks):
+            return [memoryview(b"")] * len(counts)
+        shown = self.fragments.take(pa.array(marks))
+        offsets = np.frombuffer(shown.buffers()[1], np.int32)[: len(marks) + 1]
+        ends = offsets[np.cumsum(_sums(lengths, counts))].tolist()
+        data = memoryview(shown.buffers()[2])
+        return [data[begin : max(begin, end - 1)] for begin, end in zip([0, *ends], ends)]
+
 
 @functools.cache
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -225,11 +273,10 @@ def _pairs(path_a: str, path_b: str):
             bad[doc[one.size[chunks, 4] == 1]] = True
             # documents by chunk, each once, then by pair, each once
             doc, chunks = doc[~bad[doc]], chunks[~bad[doc]]
-            doc, chunks = np.divmod(np.unique(doc * len(one.numbers) + chunks), max(1, len(one.numbers)))
-            lengths = one.lengths[chunks]
-            keys = one.keys[_gather(one.begins[chunks], lengths)]
-            each = np.unique(keys + (np.repeat(doc, lengths) << _HASH_BITS)) & ((1 << _HASH_BITS) - 1)
-            keys, docs = np.unique(each, return_counts=True)
+            doc, chunks = np.divmod(_distinct(doc * len(one.numbers) + chunks)[0], max(1, len(one.numbers)))
+            keys, lengths = one.links(chunks)
+            each, _ = _distinct(keys + (np.repeat(doc, lengths) << _HASH_BITS))
+            keys, docs = _distinct(each & ((1 << _HASH_BITS) - 1))
             held.append((keys, docs))
             size += len(keys)
             if size > HELD_PAIRS:
@@ -446,26 +493,22 @@ def _looked_up(path_a: str, path_b: str, lookup, best, with_groups: bool):
         for batch in common.slices(batches, "text", SLICE_BYTES):
             chunks, counts = one.number(common.texts_of(batch))
             used, local = np.unique(chunks, return_inverse=True)
-            lengths = one.lengths[used]
-            at = _gather(one.begins[used], lengths)
-            keys, times = one.keys[at], one.times[at]
+            keys, lengths = one.links(used)
             found = table.counts(keys)
             top = (found > 0) & (found == most[keys // width])
-            per_chunk = _sums(np.stack([times * top, times * found], axis=1), lengths)
+            per_chunk = _sums(np.stack([top, found], axis=1), lengths)
             sizes, looked = _sums(one.size[chunks], counts), _sums(per_chunk[local], counts)
             good = (sizes[:, 4] == 0) & (counts > 0)
-            ends, numbers = np.cumsum(counts).tolist(), chunks.tolist()
-            groups = [
-                ";".join([one.strings[c] for c in numbers[end - n : end]]) if ok else ""
-                for end, n, ok in zip(ends, counts.tolist(), good.tolist(), strict=True)
-            ]
+            groups = [g if ok else b"" for g, ok in zip(one.groups(chunks, counts), good.tolist(), strict=True)]
             before = [batch.column(batch.schema.names.index(c)).to_numpy() for c in ("n_best", "count_sum")]
             columns = [
                 batch.column(0), batch.column(1), *[pa.array(sizes[:, i] * good) for i in range(4)],
                 *[pa.array(before[i] + looked[:, i] * good) for i in range(2)],
-                pa.array([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups], pa.string()),
+                pa.array([hashlib.sha256(g).hexdigest() if len(g) else "" for g in groups], pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(groups, pa.string())][: len(names)], names)
+            if with_groups:
+                columns.append(pa.array([str(g, "ascii") for g in groups], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id bigint, text string, " + ", ".join(f"{n} {t}" for n, t in _RESULT.items())
     return second, schema + (", groups string" if with_groups else "")
