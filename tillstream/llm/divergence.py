@@ -1,158 +1,223 @@
 """Which terms set the sources of a language apart, by chunk factorization.
 
-Texts are never tokenized one by one. A block of documents is cut at ASCII white space and each distinct
-chunk keeps the list of its documents and counts; each chunk that is distinct over the whole corpus is tokenized once,
-and its terms are joined back to the blocks. There the lists of a term's chunks are merged, so a document that has a
-term in several chunks (``word``, ``word,``) counts once. Documents of different blocks differ, so
-documents and occurrences by language, source and term are plain sums over the blocks.
-
-No term reaches across ASCII white space, so the terms of the chunks are the terms of the text.
+Texts are never tokenized one by one. A partition cuts its documents at ASCII white space and sends each of its distinct
+chunks to the chunk's owner. The owner tokenizes every chunk that is distinct over the whole corpus once and answers with
+its terms. The partition joins them back to the chunk counts of its documents, so a document that has a term in
+several chunks (``word``, ``word,``) counts once. Documents of different partitions differ, so
+documents and occurrences by language, source and term are plain sums.
+
+No term reaches across ASCII white space, so the terms of the chunks are the terms of the text. Documents stay where they
+are; what travels are distinct chunks, their terms, and sums.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm import common
+from tillstream.llm.exchange import exchange
 
 #: Runs of ASCII letters and of everything beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
-#: Bytes of text, and rows, in a block; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
-BLOCK_ROWS = 1 << 16
+#: Bytes of text, and rows, that a partition counts at a time; a longer text is taken alone.
+SLICE_BYTES = 8 << 20
+SLICE_ROWS = 1 << 16
+#: Sums of a partition that are packed together.
+PACKED_ROWS = 1 << 16
 
 SCALE = 1_000_000_000
 MIN_DOCS = 10
 TOP = 10
 
-#: ``groups`` is only in the header of a block, which has no chunk: language and source of each group by turns, and
-#: in ``docs`` the group of each document.
-_POSTINGS = "block bigint, chunk string, docs binary, counts binary, groups array<string>"
-_COUNTED = "lang string, source string, term string, docs bigint, n bigint"
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``BLOCK_BYTES``."""
-    held: list[pa.RecordBatch] = []
-    size = rows = 0
-
-    def joined() -> pa.RecordBatch:
-        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    for batch in common.slices(batches, "text", BLOCK_BYTES):
-        n = batch.column(batch.schema.names.index("text")).nbytes
-        if held and (size + n > BLOCK_BYTES or rows + batch.num_rows > BLOCK_ROWS):
-            yield joined()
-            held, size, rows = [], 0, 0
-        held.append(batch)
-        size, rows = size + n, rows + batch.num_rows
-    if rows:
-        yield joined()
-
-
-def _packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """One binary value for each pair of neighbours of ``offsets``."""
-    ends = pa.py_buffer((offsets * values.itemsize).astype(np.int32))
-    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, ends, pa.py_buffer(values)])
-
-
-def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each block and chunk the documents that have it, by their numbers in the block, and how often."""
-    made = 0
-    for block in _blocks(batches):
-        number, made = (TaskContext.get().partitionId() << 32) + made, made + 1
-        names: dict[tuple[str, str], int] = {}
-        pairs = zip(block.column("lang").to_pylist(), block.column("source").to_pylist(), strict=True)
-        group = np.array([names.setdefault(pair, len(names)) for pair in pairs], np.uint32)
-        chunks, lengths = common.chunks_of(block.column("text"))
-        distinct, n = chunks.dictionary, block.num_rows
-        doc = np.repeat(np.arange(n), lengths)
-        keys, counts = np.unique(chunks.indices.to_numpy().astype(np.int64) * n + doc, return_counts=True)
-        of, docs = np.divmod(keys, n)
-        offsets = np.searchsorted(of, np.arange(len(distinct) + 1))
-        counts = counts.astype(np.uint16 if counts.max(initial=0) < 1 << 16 else np.uint32)
+#: The answer for a chunk that is its own only term; no term has this character.
+_ITSELF = "="
+
+_PARTIAL = "lang string, term string, docs bigint, n bigint, of array<struct<source:string,n:bigint>>"
+
+
+def _slices(rows: Iterator[Row]) -> Iterator[list[Row]]:
+    held: list[Row] = []
+    size = 0
+    for row in rows:
+        if held and (size + len(row.text) > SLICE_BYTES or len(held) == SLICE_ROWS):
+            yield held
+            held, size = [], 0
+        held.append(row)
+        size += len(row.text)
+    if held:
+        yield held
+
+
+def _chunks(rows: list[Row]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    return common.chunks_of(pa.array([row.text for row in rows], pa.string()))
+
+
+def _packed(words: Iterable[str]) -> bytes:
+    return zlib.compress(" ".join(words).encode(), 1)
+
+
+def _unpacked(data: bytes) -> list[str]:
+    return zlib.decompress(data).decode().split(" ")
+
+
+def _asker(owners: int):
+    def ask(rows: Iterator[Row]) -> Iterator[tuple[int, bytes]]:
+        """The distinct chunks of a partition, each to its owner."""
+        distinct: set[str] = set()
+        for some in _slices(rows):
+            distinct.update(_chunks(some)[0].dictionary.to_pylist())
+        to: dict[int, list[str]] = {}
+        for chunk in distinct:
+            to.setdefault(zlib.crc32(chunk.encode()) % owners, []).append(chunk)
+        for owner, chunks in to.items():
+            yield owner, _packed(chunks)
+
+    return ask
+
+
+def terms_of(chunk: str) -> list[str]:
+    """The terms of a text in order; only A-Z are lower-cased."""
+    return TERM.findall(chunk.encode().lower().decode())
+
+
+def _tokenized(owner: int, questions: list[bytes]) -> list[bytes]:
+    """The terms of each chunk; a chunk that several partitions ask for is tokenized once."""
+    known: dict[str, str] = {}
+    replies = []
+    for question in questions:
+        chunks = _unpacked(question)
+        for chunk in chunks:
+            if chunk not in known:
+                terms = terms_of(chunk)
+                known[chunk] = _ITSELF if terms == [chunk] else ",".join(terms)
+        replies.append(_packed([known[chunk] for chunk in chunks]))
+    return replies
+
+
+class _Codes(dict):
+    """The next number for whatever is new."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        return number
+
+
+class _Terms:
+    """The chunks of a partition with their terms, by number."""
+
+    def __init__(self, answers: list[tuple[int, bytes, bytes]]) -> None:
+        self.chunks: dict[str, int] = {}
+        self.codes = _Codes()
+        flat: list[int] = []
+        lengths: list[int] = []
+        for _, question, answer in answers:
+            for chunk, found in zip(_unpacked(question), _unpacked(answer), strict=True):
+                self.chunks[chunk] = len(lengths)
+                if found == _ITSELF:
+                    flat.append(self.codes[chunk])
+                    lengths.append(1)
+                else:
+                    terms = found.split(",") if found else []
+                    flat += [self.codes[t] for t in terms]
+                    lengths.append(len(terms))
+        self.flat, self.lengths = np.array(flat, np.int64), np.array(lengths, np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different keys in order with the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)])
+    return keys[first], *(np.add.reduceat(v[order], first) if len(first) else v for v in values)
+
+
+def _counted(part: int, rows: Iterator[Row], answers: list[tuple[int, bytes, bytes]]) -> Iterator[tuple[bytes]]:
+    """Documents and occurrences by term and group of a partition, packed."""
+    terms, groups = _Terms(answers), _Codes()
+    cells, docs_of, n_of = (np.zeros(0, np.int64) for _ in range(3))
+    for some in _slices(rows):
+        group = np.array([groups[row.lang, row.source] for row in some], np.int64)
+        chunks, per_doc = _chunks(some)
+        known = np.fromiter(map(terms.chunks.__getitem__, chunks.dictionary.to_pylist()), np.int64, len(chunks.dictionary))
+        doc = np.repeat(np.arange(len(some)), per_doc)
+        one = np.ones(len(doc), np.int64)
+        # occurrences by chunk and document, then by term and document, then by term and group
+        keys, n = _summed(known[chunks.indices.to_numpy()] * len(some) + doc, one)
+        chunk, doc = np.divmod(keys, len(some))
+        lengths = terms.lengths[chunk]
+        ends = np.cumsum(lengths)
+        at = np.repeat(terms.begins[chunk] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+        keys, n = _summed(terms.flat[at] * len(some) + np.repeat(doc, lengths), np.repeat(n, lengths))
+        term, doc = np.divmod(keys, len(some))
+        more = _summed((term << 32) + group[doc], np.ones(len(term), np.int64), n)
+        cells, docs_of, n_of = _summed(*(np.concatenate(x) for x in zip((cells, docs_of, n_of), more, strict=True)))
+    yield from _tables(np.array(list(terms.codes), object), list(groups), cells, docs_of, n_of)
+
+
+def _tables(terms: np.ndarray, groups: list[tuple[str, str]], cells: np.ndarray, docs: np.ndarray, n: np.ndarray) -> Iterator[tuple[bytes]]:
+    """Rows of ``_PARTIAL``, one for each language and term, as Arrow files of some rows."""
+    langs = _Codes()
+    lang_of = np.array([langs[lang] for lang, _ in groups], np.int64)
+    sources = pa.array([source for _, source in groups], pa.string())
+    term, group = cells >> 32, cells & ((1 << 32) - 1)
+    key = term * max(1, len(langs)) + lang_of[group] if len(cells) else cells
+    order = np.argsort(key, kind="stable")
+    key, group, docs, n = key[order], group[order], docs[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])
+    bounds = np.append(first, len(key))
+    names = pa.array(list(langs), pa.string())
+    for i in range(0, len(first), PACKED_ROWS):
+        own = bounds[i : i + PACKED_ROWS + 1]
+        begin, end = own[0], own[-1]
+        term, lang = np.divmod(key[own[:-1]], max(1, len(langs)))
+        pairs = pa.StructArray.from_arrays([sources.take(pa.array(group[begin:end])), pa.array(n[begin:end])], ["source", "n"])
         columns = [
-            pa.array(np.full(len(distinct) + 1, number)),
-            pa.concat_arrays([distinct, pa.nulls(1, pa.string())]),
-            pa.concat_arrays([_packed(docs.astype(np.uint16), offsets), pa.array([group.tobytes()])]),
-            pa.concat_arrays([_packed(counts, offsets), pa.array([b""])]),
-            pa.array([None] * len(distinct) + [[x for pair in names for x in pair]], pa.list_(pa.string())),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["block", "chunk", "docs", "counts", "groups"])
-
-
-def _merged(block: pa.Table) -> pa.Table:
-    """Documents and occurrences of each term of a block by language and source."""
-    block = block.combine_chunks()
-    header = block.filter(block.column("groups").is_valid())
-    rows = block.filter(block.column("terms").is_valid())
-    names = np.array(header.column("groups")[0].as_py(), object).reshape(-1, 2)
-    group_of = np.frombuffer(header.column("docs")[0].as_py(), np.uint32).astype(np.int64)
-    docs_of = [np.frombuffer(d, np.uint16) for d in rows.column("docs").to_pylist()]
-    counts_of = [
-        np.frombuffer(c, np.uint16 if len(c) == d.nbytes else np.uint32)
-        for c, d in zip(rows.column("counts").to_pylist(), docs_of, strict=True)
-    ]
-    terms = rows.column("terms").combine_chunks()
-    terms = terms.combine_chunks() if isinstance(terms, pa.ChunkedArray) else terms
-    per_row = np.diff(terms.offsets.to_numpy())
-    coded = terms.flatten().dictionary_encode()
-    row = np.repeat(np.arange(len(docs_of)), per_row)
-    order = range(len(row))
-    size = np.array([len(docs_of[r]) for r in row.tolist()], np.int64)
-    term = np.repeat(coded.indices.to_numpy().astype(np.int64), size)
-    empty = [np.zeros(0, np.uint16)]
-    doc = np.concatenate([docs_of[row[i]] for i in order] or empty).astype(np.int64)
-    count = np.concatenate([counts_of[row[i]] for i in order] or empty).astype(np.int64)
-    n, g = len(group_of), max(1, len(names))
-    # one entry for each term and document
-    keys, place = np.unique(term * n + doc, return_inverse=True)
-    of, doc = np.divmod(keys, max(1, n))
-    cell = of * g + group_of[doc]
-    cells, first = np.unique(cell, return_inverse=True)
-    found = np.bincount(first, minlength=len(cells))
-    total = np.zeros(len(cells), np.int64)
-    np.add.at(total, first[place], count)
-    at, which = np.divmod(cells, g)
-    columns = [
-        pa.array(names[which, 0], pa.string()), pa.array(names[which, 1], pa.string()), coded.dictionary.take(pa.array(at)),
-        pa.array(found), pa.array(total),
-    ]
-    return pa.table(columns, ["lang", "source", "term", "docs", "n"])
-
-
-def terms_of(chunk: Column) -> Column:
-    lower = F.translate(chunk, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.regexp_extract_all(lower, F.lit(f"({TERM})"), F.lit(0))
+            names.take(pa.array(lang)), pa.array(terms[term], pa.string()),
+            pa.array(np.add.reduceat(docs[begin:end], own[:-1] - begin)), pa.array(np.add.reduceat(n[begin:end], own[:-1] - begin)),
+            pa.ListArray.from_arrays(pa.array((own - begin).astype(np.int32)), pairs),
+        ]
+        sink = pa.BufferOutputStream()
+        batch = pa.RecordBatch.from_arrays(columns, ["lang", "term", "docs", "n", "of"])
+        with pa.ipc.new_stream(sink, batch.schema) as writer:
+            writer.write_batch(batch)
+        yield (sink.getvalue().to_pybytes(),)
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for data in batch.column(0):
+            yield from pa.ipc.open_stream(data.as_buffer())
 
 
 def _text(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).alias(name)
 
 
+def partial_counts(docs: DataFrame) -> DataFrame:
+    """``lang, term, docs, n, of``: what some partition adds to the documents and occurrences of a term, by source in ``of``."""
+    rows = docs.select(_text("text"), _text("lang"), _text("source")).rdd
+    owners = max(1, rows.getNumPartitions())
+    packed = exchange(rows, owners, _asker(owners), _tokenized, _counted)
+    frame = docs.sparkSession.createDataFrame(packed, "packed binary", verifySchema=False)
+    return common.stage(frame.mapInArrow(_opened, _PARTIAL), "term-counts")
+
+
 def counts(docs: DataFrame) -> DataFrame:
-    """``lang, source, term, docs, n``: documents (rows) and occurrences of each term.
+    """``lang, source, term, n``: occurrences of each term.
 
     Null texts, languages and sources count as empty, repeated rows each, other columns are ignored.
     """
-    rows = docs.select(_text("text"), _text("lang"), _text("source"))
-    posted = common.stage(rows.mapInArrow(_postings, _POSTINGS), "postings")
-    chunks = posted.select("chunk").filter("chunk is not null").distinct()
-    tokenized = chunks.select("chunk", terms_of(F.col("chunk")).alias("terms")).filter(F.size("terms") > 0)
-    listed = posted.filter("chunk is not null").join(tokenized, "chunk")
-    listed = listed.select("block", "docs", "counts", "terms", "groups")
-    headers = posted.filter("groups is not null").select(
-        "block", "docs", "counts", F.lit(None).cast("array<string>").alias("terms"), "groups"
-    )
-    merged = listed.unionByName(headers).groupBy("block").applyInArrow(_merged, _COUNTED)
-    return merged.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    rows = partial_counts(docs).select("lang", "term", F.inline("of"))
+    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
@@ -176,13 +241,13 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFram
     A pair of sources costs the terms that both have: the sum over the terms of one source alone, and of neither, follows from the
     source's histogram of counts, since a share depends only on the count.
     """
-    kept = (
-        counts(docs)
-        .groupBy("lang", "term")
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("of"))
-        .filter(F.col("docs") >= min_docs)
-        .select("lang", "term", "total", F.sort_array("of").alias("of"))
-    )
+    partial = partial_counts(docs)
+    often = partial.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"))
+    often = common.stage(often.filter(F.col("docs") >= min_docs).drop("docs"), "frequent-terms")
+    # most terms are rare: only the others are taken apart by source
+    by_source = partial.select("lang", "term", "of").join(often, ["lang", "term"]).select("lang", "term", "total", F.inline("of"))
+    by_source = by_source.groupBy("lang", "term", "total", "source").agg(F.sum("n").alias("n"))
+    kept = by_source.groupBy("lang", "term", "total").agg(F.sort_array(F.collect_list(F.struct("source", "n"))).alias("of"))
     kept = common.stage(kept, "kept-terms")
     present = kept.select("lang", "term", "total", F.inline("of"))
     langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("total").alias("lang_n"))
