@@ -283,29 +283,3 @@ def test_stream_with_repair_is_exact(spark, folder, topic, order):
     got = jobs.read_minutes(spark, path, jobs.settlement_table()).collect()
     assert sorted(got) == sorted(_batch_minutes(spark, [d for some in docs for d in some]).collect())
     assert days
-
-
-RULES = (
-    "tenant_id string, pay_method string, channel_id string, effective_time long, rule_version int, rate_type string, "
-    "rate_pct double, fixed_fee long, floor_amount long, cap_amount long"
-)
-
-
-@pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0], [1, 2, 0]])
-def test_priced_stream_is_exact_in_any_order(spark, folder, topic, order):
-    """A refund may come before its payment, on another day; the rule is that of the payment."""
-    rules = [("T1", "*", "*", T0 - DAY, 1, "percent", 0.1, 0, 0, 10**9), ("T1", "*", "*", T0 + HOUR, 2, "percent", 0.2, 0, 0, 10**9)]
-    docs = [
-        [pay("a", 0, 1000), pay("b", 2 * HOUR, 1000)],
-        [refund("ra", 2 * DAY, 500) | {"payment_id": "Pa"}, refund("orphan", 2 * DAY + MIN, 70)],
-        [refund("rb", 3 * HOUR, 100) | {"payment_id": "Pb"}, pay("a", 0, 1000, late=5)],
-    ]
-    for i in order:
-        topic.add(*docs[i])
-    path = f"{folder}/m"
-    valid = lambda df: ingest.validate_events(df).where("dirty_reason is null")
-    finish(jobs.priced_settlement_stream(
-        topic.read(spark), f"{folder}/s", path, run(folder), valid, lambda s: s.createDataFrame(rules, RULES)
-    ))
-    got = jobs.read_minutes(spark, path, jobs.settlement_table()).orderBy("stat_minute").collect()
-    assert [(r.take_rate_total, r.settlement_total) for r in got] == [(100, 900), (200, 800), (-20, -80), (-50, -450), (0, -70)]

@@ -26,19 +26,19 @@ DEFAULT_RULE = {
     "cap_amount": 500_000,
 }
 
-_TERM_TYPES = {
+TERM_TYPES = {
     "rule_version": "int", "rate_type": "string", "rate_pct": "double",
     "fixed_fee": "bigint", "floor_amount": "bigint", "cap_amount": "bigint",
 }
 
 
 def _terms(source: Column) -> Column:
-    return F.struct(*[source[t].cast(_TERM_TYPES[t]).alias(t) for t in TERMS])
+    return F.struct(*[source[t].cast(TERM_TYPES[t]).alias(t) for t in TERMS])
 
 
 def _default_terms() -> Column:
     return F.struct(
-        *[F.lit(v).cast(_TERM_TYPES[k]).alias(k) for k, v in DEFAULT_RULE.items()]
+        *[F.lit(v).cast(TERM_TYPES[k]).alias(k) for k, v in DEFAULT_RULE.items()]
     )
 
 

@@ -90,10 +90,13 @@ def to_increments(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def minute_settlement(events: DataFrame) -> DataFrame:
     """All settlement metrics per minute and the four dimensions."""
-    agg = (
-        to_increments(events)
-        .groupBy("minute_ms", *_GMV_KEYS)
-        .agg(*[F.sum(m).alias(m) for m in S.SETTLEMENT_METRICS])
+    return add_increments(to_increments(events))
+
+
+def add_increments(increments: DataFrame) -> DataFrame:
+    """Minute rows from rows of :func:`to_increments`, which may be signed."""
+    agg = increments.groupBy("minute_ms", *_GMV_KEYS).agg(
+        *[F.sum(m).alias(m) for m in S.SETTLEMENT_METRICS]
     )
     return _labelled(agg, _GMV_KEYS, S.SETTLEMENT_METRICS)
 

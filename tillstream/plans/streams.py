@@ -15,7 +15,7 @@ from tillstream.plans.risk import _FREQ, FREQUENCY
 from tillstream.session import work_dir
 from tillstream.sources import adapters as A
 from tillstream.sources import topics
-from tillstream.streaming import jobs
+from tillstream.streaming import increments, jobs
 
 ONCE = {"availableNow": True}
 
@@ -191,13 +191,12 @@ def streamed_settlement(spark, sf_dir):
 
 @query("SELECT * FROM c_minute")
 def streamed_settlement_fees(spark, sf_dir):
-    """Minute settlement with all 11 metrics, priced in every micro-batch by the rules of the tenants."""
+    """Minute settlement with all 11 metrics: signed increments, priced as events arrive and taken back when a price changes."""
     folder, run = _run(spark, "settlement-fees")
-    jobs.priced_settlement_stream(
-        event_records(spark, sf_dir), f"{folder}/store", f"{folder}/minutes", run, valid_money,
-        lambda session: A.a_rules(session, sf_dir),
+    increments.settlement_stream(
+        event_records(spark, sf_dir), folder, run, valid_money, lambda session: A.a_rules(session, sf_dir), buckets=16
     ).awaitTermination()
-    return jobs.read_minutes(spark, f"{folder}/minutes", jobs.settlement_table())
+    return increments.read_minutes(spark, folder)
 
 
 @query("""

@@ -86,7 +86,8 @@ def load_table(
     else:
         df = spark.read.schema(stored).parquet(path)
     if days is not None:
-        df = df.where(F.col(day_col).isin([F.to_date(F.lit(str(d))) for d in days]))
+        kind = schema[day_col].dataType
+        df = df.where(F.col(day_col).isin([F.lit(str(d)).cast(kind) for d in days]))
     return df.select(*[f.name for f in schema], BATCH)
 
 
