@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import skew
-from tillstream.operators.asof import asof_lookup, intervals, last_below
+from tillstream.operators.asof import asof_lookup, intervals, last_below, merge_points
 from tillstream.operators.ordered import (
     following,
     latest_per_key,
@@ -146,17 +146,17 @@ def _asof(dim, key, t):
     return max(found, key=lambda d: (d[1], d[2]), default=None)
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+@pytest.mark.parametrize(("block_ms", "limit"), [(3, 0), (40, 1 << 20), (1000, 1 << 20)])
 @pytest.mark.parametrize("before_first", ["null", "first"])
-@pytest.mark.parametrize("bucket_ms", [3, 40, 1000])
-def test_asof_lookup(spark, broadcast_bytes, before_first, bucket_ms):
+def test_asof_lookup(spark, monkeypatch, before_first, block_ms, limit):
+    monkeypatch.setattr(skew, "fits_broadcast", lambda df: skew.measured_bytes(df) <= limit)
     r = random.Random(5)
     dim = [(f"k{r.randrange(6)}" if i % 3 else "hot", r.randrange(100), i, f"x{i}") for i in range(40)]
     facts = [("hot" if i % 3 else f"k{i % 9}", r.randrange(-20, 140), i) for i in range(300)]
     got = asof_lookup(
         spark.createDataFrame(facts, "k string, t long, i long"),
         spark.createDataFrame(dim, "k string, at long, ver long, x string"),
-        ["k"], "t", "at", "d", "ver", before_first, bucket_ms, broadcast_bytes,
+        ["k"], "t", "at", "d", "ver", before_first, block_ms,
     )
     assert got.count() == len(facts)
     for row in got.collect():
@@ -169,6 +169,27 @@ def test_asof_lookup(spark, broadcast_bytes, before_first, bucket_ms):
         assert (row.d and (row.d.at, row.d.ver, row.d.x)) == (want and want[1:]), row
 
 
+def test_asof_with_many_versions_of_one_day(spark):
+    """Thousands of versions of one key within a day do not multiply its facts."""
+    facts = spark.range(8_000).selectExpr("'hot' as k", "id * 10000 as t", "id as i")
+    dim = spark.range(5_000).selectExpr("'hot' as k", "id * 17000 as at", "cast(id as int) as ver")
+    steps = dim.selectExpr("k", "at as _t", "struct(at, ver) as _row")
+    points = merge_points(facts.selectExpr("k", "t as _t"), steps, ["k"], 3_600_000)
+    assert points.count() <= 2 * facts.count()
+    got = asof_lookup(facts, dim, ["k"], "t", "at", "d", "ver")
+    assert got.where("d.ver <> least(div(t, 17000), 4999)").count() == 0
+    assert got.where("d is not null").count() == 8_000
+
+
+def test_asof_of_nulls_and_empty_tables(spark):
+    facts = spark.createDataFrame([(None, 5, 1), ("a", None, 2), ("a", 5, 3), ("a", 5, 3)], "k string, t long, i long")
+    dim = spark.createDataFrame([(None, 1, 1), ("a", None, 2), ("a", 3, 3)], "k string, at long, ver long")
+    got = sorted((r.i, r.d and r.d.ver) for r in asof_lookup(facts, dim, ["k"], "t", "at", "d", "ver", "first").collect())
+    assert got == [(1, None), (2, None), (3, 3), (3, 3)]
+    assert {r.d for r in asof_lookup(facts, dim.limit(0), ["k"], "t", "at", "d", "ver").collect()} == {None}
+    assert asof_lookup(facts.limit(0), dim, ["k"], "t", "at", "d", "ver").count() == 0
+
+
 def test_intervals_keep_the_highest_version(spark):
     dim = spark.createDataFrame(
         [("a", 10, 1), ("a", 10, 3), ("a", 20, 2)], "k string, at long, ver int"

@@ -4,19 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions import clock
 from tillstream.operators.ordered import following
-from tillstream.operators.skew import (
-    BROADCAST_BYTES,
-    SALTS,
-    content_salt,
-    lookup_join,
-    measured_bytes,
-    salted_join,
-)
+from tillstream.operators.skew import lookup_join, salted_join
 from tillstream.session import stage
 
 
@@ -39,6 +32,35 @@ def intervals(
     )
 
 
+def merge_points(
+    probes: DataFrame, steps: DataFrame, keys: Sequence[str], block_ms: int, before_first: str = "null"
+) -> DataFrame:
+    """Probes (``keys, _t``), steps (``keys, _t, _row``) and one carry row for each block of time, in one table.
+
+    Within a block, sorted by ``_t`` with ``_order`` deciding ties, the last ``_row`` up to a probe is its answer: carry rows bring
+    what was in force when the block began (with ``before_first="first"`` the first step of the key before there is any).
+    There are as many rows as probes, steps and blocks together.
+    """
+    empty = F.lit(None).cast(steps.schema["_row"].dataType)
+    points = steps.select(*keys, "_t", F.lit(1).alias("_order"), "_row").unionByName(
+        probes.select(*keys, "_t", F.lit(2).alias("_order"), empty.alias("_row"))
+    )
+    points = points.withColumn("_block", clock.bucket(F.col("_t"), block_ms))
+    step_time = F.when(F.col("_order") == 1, F.col("_t"))
+    blocks = points.groupBy(*keys, "_block").agg(
+        F.max_by("_row", step_time).alias("_last"), F.min_by("_row", step_time).alias("_first")
+    )
+    by_block = Window.partitionBy(*keys).orderBy("_block")
+    row = F.last("_last", ignorenulls=True).over(by_block.rowsBetween(Window.unboundedPreceding, -1))
+    if before_first == "first":
+        every = by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        row = F.coalesce(row, F.first("_first", ignorenulls=True).over(every))
+    carry = blocks.select(
+        *keys, F.lit(None).cast("bigint").alias("_t"), F.lit(0).alias("_order"), row.alias("_row"), "_block"
+    )
+    return points.unionByName(carry)
+
+
 def asof_lookup(
     facts: DataFrame,
     dim: DataFrame,
@@ -48,66 +70,35 @@ def asof_lookup(
     name: str,
     version: str | None = None,
     before_first: str = "null",
-    bucket_ms: int = clock.DAY_MS,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    block_ms: int = clock.HOUR_MS,
 ) -> DataFrame:
     """Add struct column ``name``: the dimension row in force at ``fact_time``.
 
-    Closed intervals are listed per time bucket they touch, so a fact compares
-    itself with the few rows of its own bucket and not with the whole history
-    of its key. The open last interval and the time before the first one are
-    answered by one boundary row per key. The dimension is broadcast when its
-    measured size allows; otherwise both lookups are salted shuffle joins.
+    A merge: the distinct (keys, time) of the facts and the dimension rows are sorted together in blocks of time, so
+    a fact meets one row whatever the number of versions, and a hot key is spread over its blocks. The answers, at most one for each
+    distinct (keys, time), are joined back: broadcast when they measure small, else by a salted shuffle.
+    Of dimension rows of one key and time the highest ``version`` counts; null keys and times find nothing.
     ``before_first`` is ``null`` or ``first``.
     """
     keys = list(keys)
-    iv = stage(intervals(dim, keys, dim_time, version), "intervals")
-    payload = F.struct(
-        F.col("valid_from").alias(dim_time),
-        *[c for c in dim.columns if c not in keys and c != dim_time],
-    )
-    first_bucket = clock.bucket(F.col("valid_from"), bucket_ms)
-    last_bucket = clock.bucket(F.col("valid_to") - 1, bucket_ms)
-    closed = iv.where("valid_to is not null").select(
-        *keys,
-        "valid_from",
-        "valid_to",
-        payload.alias("_closed"),
-        F.explode(F.sequence(first_bucket, last_bucket)).alias("_bucket"),
-    )
-    edges = iv.groupBy(*keys).agg(
-        F.max(F.struct(F.col("valid_from").alias("from"), payload.alias("row"))).alias("_last"),
-        F.min(F.struct(F.col("valid_from").alias("from"), payload.alias("row"))).alias("_first"),
-    )
-    small = (
-        measured_bytes(iv, F.coalesce(last_bucket - first_bucket + 3, F.lit(2)))
-        <= broadcast_bytes
-    )
-
-    probe = facts.withColumn("_bucket", clock.bucket(F.col(fact_time), bucket_ms))
-    bucket_keys, edge_keys = [*keys, "_bucket"], keys
-    if small:
-        closed, edges = F.broadcast(closed), F.broadcast(edges)
-    else:
-        copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-        closed, edges = closed.select("*", copies), edges.select("*", copies)
-        probe = probe.withColumn("_salt", content_salt(facts))
-        bucket_keys, edge_keys = [*bucket_keys, "_salt"], [*edge_keys, "_salt"]
-
-    t = F.col(f"f.{fact_time}")
-    same_bucket = [F.col(f"f.{k}") == F.col(f"c.{k}") for k in bucket_keys]
-    in_force = [t >= F.col("c.valid_from"), t < F.col("c.valid_to")]
-    found = probe.alias("f").join(closed.alias("c"), same_bucket + in_force, "left").select(
-        "f.*", "c._closed"
+    others = [c for c in dim.columns if c not in keys and c != dim_time]
+    lead = [version] if version else []
+    one = dim.where(F.col(dim_time).isNotNull()).groupBy(*keys, dim_time).agg(
+        F.max(F.struct(*lead, *[c for c in others if c not in lead])).alias("_top")
     )
-    found = found.join(edges, edge_keys, "left")
-    t = F.col(fact_time)
-    answer = F.coalesce(
-        F.col("_closed"), F.when(t >= F.col("_last.from"), F.col("_last.row"))
+    row = F.struct(F.col(dim_time), *[F.col(f"_top.{c}").alias(c) for c in others])
+    steps = stage(one.select(*keys, F.col(dim_time).cast("bigint").alias("_t"), row.alias("_row")), "steps")
+    probes = facts.select(*keys, F.col(fact_time).cast("bigint").alias("_t")).dropna().distinct()
+    points = merge_points(stage(probes, "probes"), steps, keys, block_ms, before_first)
+    upto = (
+        Window.partitionBy(*keys, "_block")
+        .orderBy(F.col("_t").asc_nulls_first(), "_order")
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    if before_first == "first":
-        answer = F.coalesce(answer, F.when(t < F.col("_first.from"), F.col("_first.row")))
-    return found.select(*facts.columns, answer.alias(name))
+    answers = points.withColumn(name, F.last("_row", ignorenulls=True).over(upto))
+    answers = answers.where((F.col("_order") == 2) & F.col(name).isNotNull())
+    answers = answers.select(*keys, F.col("_t").alias(fact_time), name)
+    return lookup_join(facts, answers, [*keys, fact_time], derived=True).select(*facts.columns, name)
 
 
 def last_below(

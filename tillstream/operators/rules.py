@@ -70,7 +70,7 @@ def with_rule(
     Before the first rule of a tenant its first rule applies; a tenant without
     rules gets the default. ``by_dimension`` lets rules for a method or channel
     win over ``*``: method and channel, then method, then channel, then neither.
-    Each of the four groups is its own as-of lookup, so payments are never
+    Each of the four groups is its own as-of lookup over the distinct cases, so payments are never
     multiplied or shuffled for the ranking. ``known_at`` names a column: only
     rules that had arrived by then count.
     """
@@ -88,14 +88,17 @@ def with_rule(
         "_channel": (any_method & ~any_channel, ["tenant_id", "channel_id"]),
         "_any": (any_method & any_channel, ["tenant_id"]),
     }
-    found = pay
+    # Each distinct case is looked up, so the payments themselves are joined once.
+    dims = ["tenant_id", "pay_method", "channel_id", at]
+    marks = {f"_{c}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in dims}
+    found = stage(pay.select(*dims).distinct(), "cases")
     for name, (group, keys) in groups.items():
         first = "first" if name == "_any" else "null"
         found = _lookup(found, rules.where(group), keys, name, at, first)
-    return found.select(
-        *pay.columns,
-        F.coalesce(*[_optional(n) for n in groups], _default_terms()).alias("rule"),
+    ruled = found.withColumns(marks).select(
+        *marks, F.coalesce(*[_optional(n) for n in groups], _default_terms()).alias("rule")
     )
+    return lookup_join(pay.withColumns(marks), ruled, list(marks), derived=True).select(*pay.columns, "rule")
 
 
 def _optional(name: str) -> Column:
