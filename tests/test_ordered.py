@@ -140,6 +140,18 @@ def test_two_stage_and_isolated(df, rows):
     assert {r.k for r in apart if r.path == "salted"} == {k for k in want if want[k][0] > 50}
 
 
+def test_running_over_a_million_blocks(spark):
+    """All blocks of one key; the largest group that a task sorts is a block, or a group of blocks."""
+    n = 1_000_000
+    points = spark.range(n).selectExpr("'hot' as k", "id * 10 as at", "id % 7 as v")
+    got = running(points, ["k"], "at", {"s": (F.col("v"), "sum"), "m": (F.col("v"), "max")}, block=10)
+    assert n / 4_096 < 4_096
+    wrong = got.where((F.col("s_upto") != F.expr("div(at, 70) * 21 + (at / 10 % 7) * (at / 10 % 7 + 1) / 2")))
+    assert got.count() == n
+    assert wrong.count() == 0
+    assert got.where("m_upto <> least(at / 10, 6)").count() == 0
+
+
 def _asof(dim, key, t):
     """Latest (at, version) not after t."""
     found = [d for d in dim if d[0] == key and d[1] <= t]

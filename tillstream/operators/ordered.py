@@ -30,6 +30,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     )
 
 
+#: Blocks that :func:`running` adds up together.
+GROUP_BLOCKS = 4_096
+
 _MERGE = {"sum": F.sum, "max": F.max}
 
 
@@ -45,9 +48,13 @@ def running(
     at: str,
     values: dict[str, tuple[Column, str]],
     block: int = 10_000,
+    levels: int = 1,
 ) -> DataFrame:
     """Running ``sum`` or ``max`` by ``keys`` in order of the whole number ``at``.
 
+    What stands before a block is a running value over the blocks, found in the same way from groups of
+    ``GROUP_BLOCKS`` blocks, so no task sorts all blocks of a key: one more of ``levels`` allows that many times as many.
+
     Result: one row per (keys, at) with each value of the point itself (``x``),
     over all strictly earlier points (``x_before``), and up to and including
     the point (``x_upto``).
@@ -61,15 +68,17 @@ def running(
     per_block = points.groupBy(*keys, "_block").agg(
         *[_MERGE[kind](n).alias(n) for n, (_, kind) in values.items()]
     )
-    earlier_blocks = (
-        Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carry = per_block.select(
-        *keys,
-        F.lit(None).cast("long").alias(at),
-        *[_MERGE[kind](n).over(earlier_blocks).alias(n) for n, (_, kind) in values.items()],
-        "_block",
-    )
+    if levels:
+        same = {n: (F.col(n), kind) for n, (_, kind) in values.items()}
+        groups = per_block.withColumnRenamed("_block", "_at")
+        before_block = running(groups, keys, "_at", same, GROUP_BLOCKS, levels - 1)
+        before_block = before_block.select(*keys, F.col("_at").alias("_block"), *[F.col(f"{n}_before").alias(n) for n in values])
+    else:
+        earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        before_block = per_block.select(
+            *keys, "_block", *[_MERGE[kind](n).over(earlier).alias(n) for n, (_, kind) in values.items()]
+        )
+    carry = before_block.select(*keys, F.lit(None).cast("long").alias(at), *values, "_block")
     # The carry row sorts first in its block because its position is null.
     before = (
         Window.partitionBy(*keys, "_block")
