@@ -66,7 +66,7 @@ _PHONE = (
     rf"|\d{{1,9}}\)?(?:{_SEP}?\(0\){_SEP}?\d{{2,10}}|(?:{_SEP}|[()]){{1,3}}\d{{2,10}}){{1,6}})(?!\d)"
     rf"|(?<!\w)(?:\d{{1,3}}{_SEP}?)?\(\d{{2,5}}\){_SEP}{{0,2}}\d{{2,10}}(?:{_SEP}\d{{2,8}}){{0,4}}(?!\d)"
     r"|(?<!\w)(?<!\d[-./])(?!(?:19|20)\d\d[-./](?:0?[1-9]|1[0-2])[-./]\d{1,2}(?!\d))"
-    r"(?!\d{1,2}[-./]\d{1,2}[-./](?:19|20)\d\d(?!\d))(?!(?:19|20)\d\d/(?:19|20)\d\d(?!\d))"
+    r"(?!\d{1,2}[-./]\d{1,2}[-./](?:19|20)\d\d(?!\d))(?!(?:19|20)\d\d[-/](?:19|20)\d\d(?![-\d]))"
     rf"(?:(?:\d[-.])?\d{{2,5}}(?:[ \-/\u00a0\u2011]\d{{2,10}}|\.\d{{2,4}}){{1,5}}(?!\d)|\d{{10,12}}(?!\w|\.\d))"
 )
 _PATTERNS = {
@@ -81,7 +81,21 @@ _PATTERNS = {
     "phone": _PHONE,
     "name": rf"(?<!\w)(?P<name_title>{_TITLE})\.? (?P<name_value>(?!(?:{_TITLE})\b){_WORD}(?: (?!(?:{_TITLE})\b){_WORD})*)",
 }
-_ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in _PATTERNS.items()))
+#: Numbers in the groups of a payment card; found first where the check digit is right.
+_CARD_GROUPS = r"(?<![\d-])(?:\d{4}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}(?P<gap2>[ -]?)\d{6}(?P=gap2)\d{5})(?![\d-]*\d)"
+#: What a number or a name could swallow a part of is looked for first, these then only in what is left.
+_LATER = ("ssn", "card", "phone", "name")
+#: Longer runs of digits that look like a card and nothing else.
+_ONLY_CARD = re.compile(r"\d+|(?:\d{4}[ -]){2,4}\d{1,4}")
+
+
+def _any_of(patterns: dict[str, str]) -> re.Pattern:
+    return re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in patterns.items()))
+
+
+_FIRST = _any_of({k: p for k, p in _PATTERNS.items() if k not in _LATER} | {"card": _CARD_GROUPS})
+_REST = _any_of({k: _PATTERNS[k] for k in _LATER})
+_PHONES = _any_of({"phone": _PHONE})
 _HINT = re.compile(r"[\d@:=]")
 
 
@@ -93,13 +107,28 @@ def find(text: str) -> list[tuple[int, int, str, str, str]]:
     """
     if not _HINT.search(text) and not any(t in text for t in _GENDER):
         return []
-    found = []
-    for m in _ANY.finditer(text):
-        kind, gender = m.lastgroup, ""
-        if kind in ("secret_value", "name_title", "name_value"):
-            kind = kind.split("_")[0]
-        kind = next(k for k in _PATTERNS if m.group(k) is not None)
+    found = _matches(_FIRST, text, 0, len(text))
+    gaps = zip([0, *[f[1] for f in found]], [*[f[0] for f in found], len(text)])
+    for begin, end in list(gaps):
+        found += _matches(_REST, text, begin, end)
+    found.sort()
+    return _with_mentions(text, found)
+
+
+def _matches(pattern: re.Pattern, text: str, begin: int, stop: int) -> list[tuple[int, int, str, str, str]]:
+    """Entities of some kinds between two places. A card has a right check digit; a run of digits like one that has none is nothing."""
+    found, at = [], begin
+    while m := pattern.search(text, at, stop):
+        kind, gender = next(k for k in _PATTERNS if k in pattern.groupindex and m.group(k) is not None), ""
         start, end = m.span(f"{kind}_value") if kind in ("secret", "name") else m.span()
+        at = max(m.end(), at + 1)
+        if kind == "card" and _luhn(canonical(kind, text[start:end])):
+            # no card, but perhaps numbers side by side
+            m = None if _ONLY_CARD.fullmatch(text, start, end) else _PHONES.search(text, start, stop)
+            if m is None or m.start() >= end:
+                continue
+            kind, (start, end) = "phone", m.span()
+            at = end
         if kind == "name":
             size = _name_length(text[start:end])
             if not size:
@@ -109,7 +138,7 @@ def find(text: str) -> list[tuple[int, int, str, str, str]]:
         if kind == "phone" and sum(c.isdigit() for c in value) < 7:
             continue
         found.append((start, end, kind, canonical(kind, value, gender), gender))
-    return _with_mentions(text, found)
+    return found
 
 
 def _name_length(value: str) -> int:
