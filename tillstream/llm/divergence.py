@@ -33,6 +33,7 @@ SLICE_ROWS = 1 << 16
 #: Sums of a partition that are packed together.
 PACKED_ROWS = 1 << 16
 
+#: Shares are whole parts of this; :func:`_share` divides by its three groups of three digits.
 SCALE = 1_000_000_000
 MIN_DOCS = 10
 TOP = 10
@@ -134,7 +135,7 @@ class _Terms:
 
 def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Different keys in order with the sums of their values."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)])
     return keys[first], *(np.add.reduceat(v[order], first) if len(first) else v for v in values)
@@ -221,9 +222,15 @@ def counts(docs: DataFrame) -> DataFrame:
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
-    """1 + floor(SCALE * (count + 2) / (total + 2 * terms)), in decimals, so that no count is too large."""
-    top = (count + 2).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    return F.call_function("div", top, (total + 2 * terms).cast("decimal(20,0)")) + 1
+    """1 + floor(SCALE * (count + 2) / (total + 2 * terms)), exact for totals up to 9 * 10^15.
+
+    By long division, three digits of the result at a time, so that no product is too large.
+    """
+    rest, whole = count + 2, F.lit(0).cast("bigint")
+    all_ = total + 2 * terms
+    for _ in range(3):
+        whole, rest = whole * 1_000 + F.call_function("div", rest * 1_000, all_), (rest * 1_000) % all_
+    return whole + 1
 
 
 def _gap(p: Column, q: Column) -> Column:
