@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -58,6 +59,7 @@ def _slices(rows: Iterator[Row]) -> Iterator[list[Row]]:
 
 
 def _chunks(rows: list[Row]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    pa.default_memory_pool().release_unused()
     return common.chunks_of(pa.array([row.text for row in rows], pa.string()))
 
 
@@ -117,8 +119,7 @@ class _Terms:
     def __init__(self, answers: list[tuple[int, bytes, bytes]]) -> None:
         self.chunks: dict[str, int] = {}
         self.codes = _Codes()
-        flat: list[int] = []
-        lengths: list[int] = []
+        flat, lengths = array("q"), array("q")
         for _, question, answer in answers:
             for chunk, found in zip(_unpacked(question), _unpacked(answer), strict=True):
                 self.chunks[chunk] = len(lengths)
@@ -127,7 +128,7 @@ class _Terms:
                     lengths.append(1)
                 else:
                     terms = found.split(",") if found else []
-                    flat += [self.codes[t] for t in terms]
+                    flat.extend(self.codes[t] for t in terms)
                     lengths.append(len(terms))
         self.flat, self.lengths = np.array(flat, np.int64), np.array(lengths, np.int64)
         self.begins = np.cumsum(self.lengths) - self.lengths
@@ -209,7 +210,8 @@ def partial_counts(docs: DataFrame) -> DataFrame:
     owners = max(1, rows.getNumPartitions())
     packed = exchange(rows, owners, _asker(owners), _tokenized, _counted)
     frame = docs.sparkSession.createDataFrame(packed, "packed binary", verifySchema=False)
-    return common.stage(frame.mapInArrow(_opened, _PARTIAL), "term-counts")
+    # opened where they are read, so that no further worker stands beside those of the exchange
+    return common.stage(frame, "term-counts").mapInArrow(_opened, _PARTIAL)
 
 
 def counts(docs: DataFrame) -> DataFrame:
