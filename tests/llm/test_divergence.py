@@ -70,7 +70,8 @@ def some(spark, documents, odd):
 @pytest.mark.parametrize("block", [8 << 20, 20_000])
 def test_audit(monkeypatch, some, block):
     monkeypatch.setattr(divergence, "SLICE_BYTES", block)
-    monkeypatch.setattr(divergence, "PACKED_ROWS", block // 100)
+    monkeypatch.setattr(divergence, "FOLD_CELLS", block // 100)
+    monkeypatch.setattr(divergence, "ROWS_OUT", block // 100)
     got = rows(divergence.audit(some))
     assert got == brute([tuple(r) for r in some.collect()])
     assert {"pair", "term"} == {r[2] for r in got}
@@ -109,3 +110,12 @@ def test_query(spark, sf_dir):
     want = con.execute(CHECKS["op13_divergence"]).fetchdf()[COLUMNS]
     want = sorted(tuple(x.item() if hasattr(x, "item") else x for x in r) for r in want.itertuples(index=False))
     assert rows(QUERIES["op13_divergence"](spark, sf_dir)) == want
+
+
+def test_term_in_several_rare_chunks(spark):
+    """Neither chunk is frequent; the term is if its documents, and not its chunks, are enough."""
+    docs = [(f"apple, apple! {w}", "xx", "a") for w in ("pear", "pear;") for _ in range(3)]
+    docs += [("apple", "xx", "b"), ("(apple) Apple", "xx", "b"), ("plum. plum", "xx", "b"), ("plum", "xx", "a"), ("plum", "yy", "a")]
+    for least in (2, 3, 6, 7, 8, 9):
+        got = rows(divergence.audit(spark.createDataFrame(docs, DOCS).repartition(3), min_docs=least))
+        assert got == brute(docs, least)

@@ -1,89 +1,48 @@
 """Which terms set the sources of a language apart, by chunk factorization.
 
-Texts are never tokenized one by one. A partition cuts its documents at ASCII white space and sends each of its distinct
-chunks to the chunk's owner. The owner tokenizes every chunk that is distinct over the whole corpus once and answers with
-its terms. The partition joins them back to the chunk counts of its documents, so a document that has a term in
-several chunks (``word``, ``word,``) counts once. Documents of different partitions differ, so
-documents and occurrences by language, source and term are plain sums.
-
-No term reaches across ASCII white space, so the terms of the chunks are the terms of the text. Documents stay where they
-are; what travels are distinct chunks, their terms, and sums.
+Texts are never tokenized one by one. A task cuts its documents at ASCII white space, counts their chunks, and sends the sums
+by chunk, language and source to the chunk's bucket. There every chunk that is distinct over the whole corpus is tokenized
+once, and its terms are joined back to its sums. No term reaches across ASCII white space, so the terms of the chunks are
+the terms of the text and occurrences are plain sums.
+
+Documents with a term are not: one may have it in several chunks (``word``, ``word,``). Only whether a language has enough of
+them counts. A chunk with enough documents settles its terms; a term whose chunks together have too few is out. For a term between
+the two every chunk is rare, so the chunk's documents, which travel with rare chunks, are a short list, and the term's distinct ones are
+counted exactly.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.llm import common
-from tillstream.llm.exchange import exchange
 
 #: Runs of ASCII letters and of everything beyond ASCII.
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
-#: Bytes of text, and rows, that a partition counts at a time; a longer text is taken alone.
-SLICE_BYTES = 2 << 20
-SLICE_ROWS = 1 << 16
-#: Sums of a partition that are packed together.
-PACKED_ROWS = 1 << 16
+#: Bytes of text that a task counts at a time; a longer text is taken alone.
+SLICE_BYTES = 12 << 20
+#: Sums that a bucket reads before it adds them up, and rows it writes at a time.
+FOLD_CELLS = 1 << 20
+ROWS_OUT = 1 << 16
 
 #: Shares are whole parts of this; :func:`_share` divides by its three groups of three digits.
 SCALE = 1_000_000_000
 MIN_DOCS = 10
 TOP = 10
 
-#: The answer for a chunk that is its own only term; no term has this character.
-_ITSELF = "="
-
-_PARTIAL = "lang string, term string, docs bigint, n bigint, of array<struct<source:string,n:bigint>>"
-
-
-def _slices(rows: Iterator[Row]) -> Iterator[list[Row]]:
-    held: list[Row] = []
-    size = 0
-    for row in rows:
-        if held and (size + len(row.text) > SLICE_BYTES or len(held) == SLICE_ROWS):
-            yield held
-            held, size = [], 0
-        held.append(row)
-        size += len(row.text)
-    if held:
-        yield held
-
-
-def _chunks(rows: list[Row]) -> tuple[pa.DictionaryArray, np.ndarray]:
-    pa.default_memory_pool().release_unused()
-    return common.chunks_of(pa.array([row.text for row in rows], pa.string()))
-
-
-def _packed(words: Iterable[str]) -> bytes:
-    return zlib.compress(" ".join(words).encode(), 1)
-
-
-def _unpacked(data: bytes) -> list[str]:
-    return zlib.decompress(data).decode().split(" ")
-
-
-def _asker(owners: int):
-    def ask(rows: Iterator[Row]) -> Iterator[tuple[int, bytes]]:
-        """The distinct chunks of a partition, each to its owner."""
-        distinct: set[str] = set()
-        for some in _slices(rows):
-            distinct.update(_chunks(some)[0].dictionary.to_pylist())
-        to: dict[int, list[str]] = {}
-        for chunk in distinct:
-            to.setdefault(zlib.crc32(chunk.encode()) % owners, []).append(chunk)
-        for owner, chunks in to.items():
-            yield owner, _packed(chunks)
-
-    return ask
+_CELLS = (
+    "bucket int, words array<string>, langs array<string>, sources array<string>, "
+    "word array<int>, grp array<int>, n array<bigint>, docs array<bigint>, ids array<bigint>"
+)
+_PARTIAL = "lang string, term string, docs bigint, ids array<bigint>, of array<struct<source:string,n:bigint>>"
 
 
 def terms_of(chunk: str) -> list[str]:
@@ -91,20 +50,6 @@ def terms_of(chunk: str) -> list[str]:
     return TERM.findall(chunk.encode().lower().decode())
 
 
-def _tokenized(owner: int, questions: list[bytes]) -> list[bytes]:
-    """The terms of each chunk; a chunk that several partitions ask for is tokenized once."""
-    known: dict[str, str] = {}
-    replies = []
-    for question in questions:
-        chunks = _unpacked(question)
-        for chunk in chunks:
-            if chunk not in known:
-                terms = terms_of(chunk)
-                known[chunk] = _ITSELF if terms == [chunk] else ",".join(terms)
-        replies.append(_packed([known[chunk] for chunk in chunks]))
-    return replies
-
-
 class _Codes(dict):
     """The next number for whatever is new."""
 
@@ -113,105 +58,200 @@ class _Codes(dict):
         return number
 
 
-class _Terms:
-    """The chunks of a partition with their terms, by number."""
-
-    def __init__(self, answers: list[tuple[int, bytes, bytes]]) -> None:
-        self.chunks: dict[str, int] = {}
-        self.codes = _Codes()
-        flat, lengths = array("q"), array("q")
-        for _, question, answer in answers:
-            for chunk, found in zip(_unpacked(question), _unpacked(answer), strict=True):
-                self.chunks[chunk] = len(lengths)
-                if found == _ITSELF:
-                    flat.append(self.codes[chunk])
-                    lengths.append(1)
-                else:
-                    terms = found.split(",") if found else []
-                    flat.extend(self.codes[t] for t in terms)
-                    lengths.append(len(terms))
-        self.flat, self.lengths = np.array(flat, np.int64), np.array(lengths, np.int64)
-        self.begins = np.cumsum(self.lengths) - self.lengths
+def _firsts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)])
 
 
 def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Different keys in order with the sums of their values."""
     order = np.argsort(keys)
     keys = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)])
+    first = _firsts(keys)
     return keys[first], *(np.add.reduceat(v[order], first) if len(first) else v for v in values)
 
 
-def _counted(part: int, rows: Iterator[Row], answers: list[tuple[int, bytes, bytes]]) -> Iterator[tuple[bytes]]:
-    """Documents and occurrences by term and group of a partition, packed."""
-    terms, groups = _Terms(answers), _Codes()
-    cells, docs_of, n_of = (np.zeros(0, np.int64) for _ in range(3))
-    for some in _slices(rows):
-        group = np.array([groups[row.lang, row.source] for row in some], np.int64)
-        chunks, per_doc = _chunks(some)
-        known = np.fromiter(map(terms.chunks.__getitem__, chunks.dictionary.to_pylist()), np.int64, len(chunks.dictionary))
-        doc = np.repeat(np.arange(len(some)), per_doc)
-        one = np.ones(len(doc), np.int64)
-        # occurrences by chunk and document, then by term and document, then by term and group
-        keys, n = _summed(known[chunks.indices.to_numpy()] * len(some) + doc, one)
-        chunk, doc = np.divmod(keys, len(some))
-        lengths = terms.lengths[chunk]
-        ends = np.cumsum(lengths)
-        at = np.repeat(terms.begins[chunk] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
-        keys, n = _summed(terms.flat[at] * len(some) + np.repeat(doc, lengths), np.repeat(n, lengths))
-        term, doc = np.divmod(keys, len(some))
-        more = _summed((term << 32) + group[doc], np.ones(len(term), np.int64), n)
-        cells, docs_of, n_of = _summed(*(np.concatenate(x) for x in zip((cells, docs_of, n_of), more, strict=True)))
-    yield from _tables(np.array(list(terms.codes), object), list(groups), cells, docs_of, n_of)
-
-
-def _tables(terms: np.ndarray, groups: list[tuple[str, str]], cells: np.ndarray, docs: np.ndarray, n: np.ndarray) -> Iterator[tuple[bytes]]:
-    """Rows of ``_PARTIAL``, one for each language and term, as Arrow files of some rows."""
-    langs = _Codes()
-    lang_of = np.array([langs[lang] for lang, _ in groups], np.int64)
-    sources = pa.array([source for _, source in groups], pa.string())
-    term, group = cells >> 32, cells & ((1 << 32) - 1)
-    key = term * max(1, len(langs)) + lang_of[group] if len(cells) else cells
-    order = np.argsort(key, kind="stable")
-    key, group, docs, n = key[order], group[order], docs[order], n[order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])
-    bounds = np.append(first, len(key))
-    names = pa.array(list(langs), pa.string())
-    for i in range(0, len(first), PACKED_ROWS):
-        own = bounds[i : i + PACKED_ROWS + 1]
-        begin, end = own[0], own[-1]
-        term, lang = np.divmod(key[own[:-1]], max(1, len(langs)))
-        pairs = pa.StructArray.from_arrays([sources.take(pa.array(group[begin:end])), pa.array(n[begin:end])], ["source", "n"])
-        columns = [
-            names.take(pa.array(lang)), pa.array(terms[term], pa.string()),
-            pa.array(np.add.reduceat(docs[begin:end], own[:-1] - begin)), pa.array(np.add.reduceat(n[begin:end], own[:-1] - begin)),
-            pa.ListArray.from_arrays(pa.array((own - begin).astype(np.int32)), pairs),
-        ]
-        sink = pa.BufferOutputStream()
-        batch = pa.RecordBatch.from_arrays(columns, ["lang", "term", "docs", "n", "of"])
-        with pa.ipc.new_stream(sink, batch.schema) as writer:
-            writer.write_batch(batch)
-        yield (sink.getvalue().to_pybytes(),)
-
-
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for data in batch.column(0):
-            yield from pa.ipc.open_stream(data.as_buffer())
+def _ranges(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all ranges, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(begins - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``SLICE_BYTES`` of text."""
+    held: list[pa.RecordBatch] = []
+    for batch in common.slices(batches, "text", SLICE_BYTES):
+        if held and sum(b.nbytes for b in held) + batch.nbytes > SLICE_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _counter(buckets: int, few: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Occurrences and documents by chunk and group, a row for each bucket; a sum of fewer than ``few`` documents names them."""
+        for batch in _gathered(batches):
+            codes = _Codes()
+            pairs = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)
+            group = np.array([codes[pair] for pair in pairs], np.int64)
+            row = batch.column("row").to_numpy()
+            chunks, per_doc = common.chunks_of(batch.column("text"))
+            words = chunks.dictionary.to_pylist()
+            bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
+            # words by bucket, so that a bucket's sums lie side by side
+            by_bucket = np.argsort(bucket, kind="stable")
+            place = np.empty(len(words), np.int64)
+            place[by_bucket] = np.arange(len(words))
+            word = place[chunks.indices.to_numpy()]
+            doc = np.repeat(np.arange(len(group)), per_doc)
+            keys, n = _summed(word * len(group) + doc, np.ones(len(doc), np.int64))
+            word, doc = np.divmod(keys, len(group))
+            cells = word * len(codes) + group[doc]
+            order = np.argsort(cells, kind="stable")
+            cells, doc = cells[order], doc[order]
+            first = _firsts(cells)
+            docs = np.diff(np.append(first, len(cells)))
+            word, group_of = np.divmod(cells[first], len(codes))
+            n = np.add.reduceat(n[order], first)
+            listed = np.where(docs < few, docs, 0)
+            begins = np.concatenate(([0], np.cumsum(listed)))
+            ids = row[doc[_ranges(first, listed)]]
+            word_ends = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
+            cell_ends = np.searchsorted(word, word_ends)
+            for i in np.flatnonzero(np.diff(word_ends)):
+                (w0, w1), (c0, c1) = word_ends[i : i + 2], cell_ends[i : i + 2]
+                columns = {
+                    "bucket": int(i),
+                    "words": [words[k] for k in by_bucket[w0:w1]],
+                    "langs": [lang for lang, _ in codes],
+                    "sources": [source for _, source in codes],
+                    "word": (word[c0:c1] - w0).astype(np.int32),
+                    "grp": group_of[c0:c1].astype(np.int32),
+                    "n": n[c0:c1],
+                    "docs": docs[c0:c1],
+                    "ids": ids[begins[c0] : begins[c1]],
+                }
+                yield pa.RecordBatch.from_arrays([_one(v) for v in columns.values()], list(columns))
+            pa.default_memory_pool().release_unused()
+
+    return count
+
+
+def _one(value) -> pa.Array:
+    """A column of one row."""
+    if isinstance(value, int):
+        return pa.array([value], pa.int32())
+    values = pa.array(value, pa.string()) if isinstance(value, list) else pa.array(value)
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+class _Bucket:
+    """Sums of the chunks of a partition; memory follows its distinct chunks and groups."""
+
+    def __init__(self, few: int) -> None:
+        self.few, self.held = few, 0
+        self.words, self.langs, self.groups = _Codes(), _Codes(), _Codes()
+        self.cells = [tuple(np.zeros(0, np.int64) for _ in range(3))]
+        self.ids = [tuple(np.zeros(0, np.int64) for _ in range(2))]
+
+    def add(self, row: dict) -> None:
+        words = np.array([self.words[w] for w in row["words"].as_py()], np.int64)
+        groups, langs = [], []
+        for lang, source in zip(row["langs"].as_py(), row["sources"].as_py(), strict=True):
+            langs.append(self.langs[lang])
+            groups.append(self.groups[self.langs[lang], source])
+        word, group, n, docs, ids = (row[c].values.to_numpy() for c in ("word", "grp", "n", "docs", "ids"))
+        self.cells.append(((words[word] << 32) + np.array(groups, np.int64)[group], n, docs))
+        owner = (words[word] << 32) + np.array(langs, np.int64)[group]
+        self.ids.append((np.repeat(owner, np.where(docs < self.few, docs, 0)), ids))
+        self.held += len(word)
+        if self.held >= FOLD_CELLS:
+            self.fold()
+
+    def fold(self) -> None:
+        """Add up, and forget the documents of chunks that are not rare."""
+        cells, n, docs = _summed(*(np.concatenate(x) for x in zip(*self.cells, strict=True)))
+        self.cells, self.held = [(cells, n, docs)], 0
+        self.lang_of = np.array([lang for lang, _ in self.groups], np.int64)
+        self.owner = (cells >> 32 << 32) + self.lang_of[cells & 0xFFFFFFFF] if len(cells) else cells
+        self.owners, self.docs = _summed(self.owner, docs)
+        owner, ids = (np.concatenate(x) for x in zip(*self.ids, strict=True))
+        keep = self.docs[np.searchsorted(self.owners, owner)] < self.few if len(owner) else np.zeros(0, bool)
+        self.ids = [(owner[keep], ids[keep])]
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """A row for each chunk, language and term of the chunk."""
+        self.fold()
+        codes = _Codes()
+        flat, times, lengths = [], [], []
+        for word in self.words:
+            found = _Codes()
+            for term in terms_of(word):
+                found[term] = dict.get(found, term, 0) + 1
+            flat.extend(codes[term] for term in found)
+            times.extend(found.values())
+            lengths.append(len(found))
+        flat, times, lengths = (np.array(x, np.int64) for x in (flat, times, lengths))
+        begins = np.cumsum(lengths) - lengths
+        terms = np.array(list(codes), object)
+        names = pa.array(list(self.langs), pa.string())
+        sources = pa.array([source for _, source in self.groups], pa.string())
+        (cells, n, _), (id_owner, ids) = self.cells[0], self.ids[0]
+        order = np.argsort(self.owner, kind="stable")
+        group, n = cells[order] & 0xFFFFFFFF, n[order]
+        cell_at = np.searchsorted(self.owner[order], self.owners)
+        cell_n = np.diff(np.append(cell_at, len(order)))
+        order = np.argsort(id_owner, kind="stable")
+        ids = ids[order]
+        id_at = np.searchsorted(id_owner[order], self.owners)
+        id_n = np.searchsorted(id_owner[order], self.owners, "right") - id_at
+        for i in range(0, len(self.owners), ROWS_OUT):
+            word, lang = self.owners[i : i + ROWS_OUT] >> 32, self.owners[i : i + ROWS_OUT] & 0xFFFFFFFF
+            own = i + np.repeat(np.arange(len(word)), lengths[word])
+            at = _ranges(begins[word], lengths[word])
+            of = _ranges(cell_at[own], cell_n[own])
+            pairs = [sources.take(pa.array(group[of])), pa.array(n[of] * np.repeat(times[at], cell_n[own]))]
+            columns = [
+                names.take(pa.array(lang[own - i])), pa.array(terms[flat[at]], pa.string()), pa.array(self.docs[own]),
+                _lists(id_n[own], pa.array(ids[_ranges(id_at[own], id_n[own])])),
+                _lists(cell_n[own], pa.StructArray.from_arrays(pairs, ["source", "n"])),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "docs", "ids", "of"])
+
+
+def _lists(lengths: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), values)
+
+
+def _joiner(few: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every distinct chunk of the partition tokenized once, with its sums."""
+        held = _Bucket(few)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                held.add({name: batch.column(name)[i] for name in batch.schema.names})
+        yield from held.rows()
+
+    return join
 
 
 def _text(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).alias(name)
 
 
-def partial_counts(docs: DataFrame) -> DataFrame:
-    """``lang, term, docs, n, of``: what some partition adds to the documents and occurrences of a term, by source in ``of``."""
-    rows = docs.select(_text("text"), _text("lang"), _text("source")).rdd
-    owners = max(1, rows.getNumPartitions())
-    packed = exchange(rows, owners, _asker(owners), _tokenized, _counted)
-    frame = docs.sparkSession.createDataFrame(packed, "packed binary", verifySchema=False)
-    # opened where they are read, so that no further worker stands beside those of the exchange
-    return common.stage(frame, "term-counts").mapInArrow(_opened, _PARTIAL)
+def partial_counts(docs: DataFrame, few: int = 0) -> DataFrame:
+    """``lang, term, docs, ids, of``: a row for each distinct chunk, language and term of the chunk.
+
+    ``docs`` is how many documents of the language have the chunk, ``ids`` names them if they are fewer than ``few``, ``of`` has the
+    occurrences of the term in that chunk by source.
+    """
+    rows = docs.select(_text("text"), _text("lang"), _text("source"), F.monotonically_increasing_id().alias("row"))
+    parts = max(common.shuffle_partitions(docs.sparkSession), rows.rdd.getNumPartitions())
+    # twice as many buckets as tasks, so that tasks differ less
+    cells = rows.mapInArrow(_counter(2 * parts, few), _CELLS).repartition(parts, "bucket")
+    return common.stage(cells.mapInArrow(_joiner(few), _PARTIAL), "chunk-terms")
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -223,6 +263,18 @@ def counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
 
 
+def _frequent(partial: DataFrame, min_docs: int) -> DataFrame:
+    """``lang, term`` of the terms that at least ``min_docs`` documents of the language have."""
+    known = partial.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
+    known = common.stage(known.filter(F.col("most") >= min_docs), "bounds")
+    sure = known.filter(F.col("least") >= min_docs).select("lang", "term")
+    # each chunk of an unsure term is rare and names its documents
+    unsure = known.filter(F.col("least") < min_docs).select("lang", "term")
+    listed = partial.filter(F.size("ids") > 0).select("lang", "term", "ids").join(unsure, ["lang", "term"])
+    exact = listed.select("lang", "term", F.explode("ids").alias("row")).distinct().groupBy("lang", "term").count()
+    return sure.unionByName(exact.filter(F.col("count") >= min_docs).select("lang", "term"))
+
+
 def _share(count: Column, total: Column, terms: Column) -> Column:
     """1 + floor(SCALE * (count + 2) / (total + 2 * terms)), exact for totals up to 9 * 10^15.
 
@@ -250,13 +302,14 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFram
     A pair of sources costs the terms that both have: the sum over the terms of one source alone, and of neither, follows from the
     source's histogram of counts, since a share depends only on the count.
     """
-    partial = partial_counts(docs)
-    often = partial.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"))
-    often = common.stage(often.filter(F.col("docs") >= min_docs).drop("docs"), "frequent-terms")
+    partial = partial_counts(docs, min_docs)
+    often = common.stage(_frequent(partial, min_docs), "frequent-terms")
     # most terms are rare: only the others are taken apart by source
-    by_source = partial.select("lang", "term", "of").join(often, ["lang", "term"]).select("lang", "term", "total", F.inline("of"))
-    by_source = by_source.groupBy("lang", "term", "total", "source").agg(F.sum("n").alias("n"))
-    kept = by_source.groupBy("lang", "term", "total").agg(F.sort_array(F.collect_list(F.struct("source", "n"))).alias("of"))
+    by_source = partial.select("lang", "term", "of").join(often, ["lang", "term"]).select("lang", "term", F.inline("of"))
+    by_source = by_source.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    kept = by_source.groupBy("lang", "term").agg(
+        F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("source", "n"))).alias("of")
+    )
     kept = common.stage(kept, "kept-terms")
     present = kept.select("lang", "term", "total", F.inline("of"))
     langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("total").alias("lang_n"))
