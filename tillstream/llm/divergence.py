@@ -39,8 +39,8 @@ MIN_DOCS = 10
 TOP = 10
 
 _CELLS = (
-    "bucket int, words array<string>, langs array<string>, sources array<string>, "
-    "word array<int>, grp array<int>, n array<bigint>, docs array<bigint>, ids array<bigint>"
+    "bucket int, words string, langs array<string>, sources array<string>, begin bigint, "
+    "word array<int>, grp array<int>, n array<int>, docs array<int>, ids array<int>"
 )
 _PARTIAL = "lang string, term string, docs bigint, ids array<bigint>, of array<struct<source:string,n:bigint>>"
 
@@ -123,15 +123,17 @@ def _counter(buckets: int, few: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
             for i in np.flatnonzero(np.diff(word_ends)):
                 (w0, w1), (c0, c1) = word_ends[i : i + 2], cell_ends[i : i + 2]
                 columns = {
-                    "bucket": int(i),
-                    "words": [words[k] for k in by_bucket[w0:w1]],
+                    "bucket": pa.scalar(i, pa.int32()),
+                    "words": " ".join([words[k] for k in by_bucket[w0:w1]]),
                     "langs": [lang for lang, _ in codes],
                     "sources": [source for _, source in codes],
+                    "begin": pa.scalar(row[0], pa.int64()),
                     "word": (word[c0:c1] - w0).astype(np.int32),
                     "grp": group_of[c0:c1].astype(np.int32),
-                    "n": n[c0:c1],
-                    "docs": docs[c0:c1],
-                    "ids": ids[begins[c0] : begins[c1]],
+                    "n": n[c0:c1].astype(np.int32),
+                    "docs": docs[c0:c1].astype(np.int32),
+                    # the rows of a slice are numbered in a row
+                    "ids": (ids[begins[c0] : begins[c1]] - row[0]).astype(np.int32),
                 }
                 yield pa.RecordBatch.from_arrays([_one(v) for v in columns.values()], list(columns))
             pa.default_memory_pool().release_unused()
@@ -141,8 +143,10 @@ def _counter(buckets: int, few: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
 
 def _one(value) -> pa.Array:
     """A column of one row."""
-    if isinstance(value, int):
-        return pa.array([value], pa.int32())
+    if isinstance(value, pa.Scalar):
+        return pa.array([value.as_py()], value.type)
+    if isinstance(value, str):
+        return pa.array([value], pa.string())
     values = pa.array(value, pa.string()) if isinstance(value, list) else pa.array(value)
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -157,12 +161,13 @@ class _Bucket:
         self.ids = [tuple(np.zeros(0, np.int64) for _ in range(2))]
 
     def add(self, row: dict) -> None:
-        words = np.array([self.words[w] for w in row["words"].as_py()], np.int64)
+        words = np.array([self.words[w] for w in row["words"].as_py().split(" ")], np.int64)
         groups, langs = [], []
         for lang, source in zip(row["langs"].as_py(), row["sources"].as_py(), strict=True):
             langs.append(self.langs[lang])
             groups.append(self.groups[self.langs[lang], source])
-        word, group, n, docs, ids = (row[c].values.to_numpy() for c in ("word", "grp", "n", "docs", "ids"))
+        word, group, n, docs, ids = (row[c].values.to_numpy().astype(np.int64) for c in ("word", "grp", "n", "docs", "ids"))
+        ids += row["begin"].as_py()
         self.cells.append(((words[word] << 32) + np.array(groups, np.int64)[group], n, docs))
         owner = (words[word] << 32) + np.array(langs, np.int64)[group]
         self.ids.append((np.repeat(owner, np.where(docs < self.few, docs, 0)), ids))
