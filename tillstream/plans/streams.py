@@ -220,6 +220,26 @@ def streamed_frequency_hits(spark, sf_dir):
     return jobs.read_hits(spark, f"{folder}/hits")
 
 
+@query(f"""
+SELECT hit_id, rule_id, rule_version, entity_type, entity, window_start, threshold
+FROM ({_FREQ})""")
+def published_hits(spark, sf_dir):
+    """Every record the frequency job published, one for each hit however often its window grew."""
+    folder, run = _run(spark, "frequency")
+    jobs.frequency_stream(
+        usage_stream(spark, sf_dir), FREQUENCY, f"{folder}/hits", run,
+        publish=lambda df, batch_id: topics.publish(
+            df, S.RISK_TOPIC, ["entity_type", "entity"], "files", f"{folder}/topics", batch_id
+        ),
+    ).awaitTermination()
+    sent = spark.read.schema(S.TOPIC_RECORD).json(f"{folder}/topics/{S.RISK_TOPIC}/*")
+    value = F.from_json("value", jobs.hit_table()).alias("v")
+    return sent.select(value).select(
+        "v.hit_id", "v.rule_id", "v.rule_version", "v.entity_type", "v.entity",
+        "v.window_start", "v.threshold",
+    )
+
+
 @query(THROTTLE_SQL)
 def streamed_throttle(spark, sf_dir):
     folder, run = _run(spark, "throttle")

@@ -22,6 +22,7 @@ from tillstream.operators.ordered import latest_per_key
 from tillstream.operators.risk import Rule
 from tillstream.session import stage
 from tillstream.sources import tables
+from tillstream.streaming import outbox
 
 DETAIL_KEYS = ["event_date", "idempotency_key"]
 EVENT_TS = "event_ts"
@@ -367,18 +368,27 @@ def hit_table() -> T.StructType:
     return S.columns(", ".join(f"{n} {t}" for n, t in HIT_TABLE.items()))
 
 
-def _write_hits(path: str, shape: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+def _write_hits(
+    path: str, shape: Callable[[DataFrame], DataFrame], publish: outbox.Publish | None = None
+) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         hits = shape(batch).withColumn("hit_date", clock.stat_date(F.col("window_start")))
+        if publish:
+            hits = stage(hits, "hits")
+            outbox.send(hits, f"{path}-outbox", "hit_date", "hit_id", batch_id, publish)
         tables.write_batch(hits, path, "hit_date", batch_id)
 
     return write
 
 
 def frequency_stream(
-    usage: DataFrame, rule: Rule, path: str, run: Run, lateness: str = "6 hours"
+    usage: DataFrame, rule: Rule, path: str, run: Run, lateness: str = "6 hours",
+    publish: outbox.Publish | None = None,
 ) -> StreamingQuery:
-    """Hits of the frequency rule, kept current while their window is open."""
+    """Hits of the frequency rule, kept current while their window is open.
+
+    ``publish`` gets each hit once, as it was first found, by way of the outbox ``<path>-outbox``.
+    """
     tries = usage.where(F.col("kind").isin("purchase", "error"))
     agg = risk.frequency_counts(
         _with_event_ts(tries, lateness), F.window(EVENT_TS, f"{rule.window_ms} milliseconds")
@@ -388,7 +398,7 @@ def frequency_stream(
         rows = batch.withColumn("window_start", F.unix_millis("window.start")).drop("window")
         return risk.frequency_hits(rows, rule)
 
-    return start(agg, _write_hits(path, shape), run, "update")
+    return start(agg, _write_hits(path, shape, publish), run, "update")
 
 
 def association_stream(
@@ -451,12 +461,12 @@ def throttle_stream(
     path: str,
     run: Run,
     lateness: str = "1 hour",
-    publish: Callable[[DataFrame, int], None] | None = None,
+    publish: outbox.Publish | None = None,
 ) -> StreamingQuery:
     """Throttle commands as soon as usage passes the quota, published once per tenant and hour.
 
-    The stored command follows the count as it grows; ``publish`` gets only commands that no earlier
-    micro-batch has stored. The quota table is read again for each micro-batch, so changes take effect.
+    The stored command follows the count as it grows; ``publish`` gets each command once, by way of the
+    outbox ``<path>-outbox``. The quota table is read again for each micro-batch, so changes take effect.
     """
     agg = (
         _with_event_ts(usage, lateness)
@@ -476,14 +486,7 @@ def throttle_stream(
             "throttle",
         )
         if publish:
-            # What an earlier micro-batch stored was published by it; a replay publishes the same again.
-            stored = tables.load_table(spark, path, throttle_table(), "stat_date")
-            earlier = stored.where(F.col(tables.BATCH) < batch_id)
-            publish(
-                commands.join(earlier.select("stat_date", "event_id"), ["stat_date", "event_id"], "left_anti")
-                .drop("stat_date"),
-                batch_id,
-            )
+            outbox.send(commands, f"{path}-outbox", "stat_date", "event_id", batch_id, publish)
         tables.write_batch(commands, path, "stat_date", batch_id)
 
     return start(agg, write, run, "update")
