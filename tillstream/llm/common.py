@@ -47,10 +47,17 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_ARROW, before)
 
 
+#: Row groups of written texts wait in the heap of each task.
+ROW_GROUP_BYTES = 32 << 20
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write once into the shared folder and read back; later reads survive lost executors."""
-    with small_batches(df.sparkSession):
-        return session.stage(df, f"llm-{label}")
+    spark = df.sparkSession
+    path = session.work_dir(spark, f"llm-{label}")
+    with small_batches(spark):
+        df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
