@@ -162,6 +162,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str, use, rows: int = SAMPL
     return fit(np.array([r.stats for r in found]), np.array([r.label for r in found]))
 
 
+def _probabilities(model: Discriminant | None, texts: pa.Array) -> pa.Array:
+    x = np.array([statistics(t or "") for t in texts.to_pylist()]).reshape(-1, FEATURES)
+    return pa.array(model.scores(x) if model else np.full(len(x), 0.5))
+
+
 def score(docs: DataFrame, model: Discriminant | None, out: str = "score") -> DataFrame:
     """``docs`` with the probability of good quality; without a model every score is 0.5.
 
@@ -173,9 +178,8 @@ def score(docs: DataFrame, model: Discriminant | None, out: str = "score") -> Da
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([statistics(t) for t in batch.column(1).to_pylist()]).reshape(-1, FEATURES)
-            s = model.scores(x) if model else np.full(len(x), 0.5)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s)], ["doc", "score"])
+            s = _probabilities(model, batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), s], ["doc", "score"])
 
     schema = f"doc {rows.schema['doc'].dataType.simpleString()}, score double"
     return rows.mapInArrow(scored, schema).select("doc.*", F.col("score").alias(out))
@@ -184,7 +188,8 @@ def score(docs: DataFrame, model: Discriminant | None, out: str = "score") -> Da
 def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row for each document: ``doc_id, held_out, score, predicted``.
 
-    Labels of documents with ``crc32(id) mod folds = fold`` are never read.
+    Labels of documents with ``crc32(id) mod folds = fold`` are never read. Null and empty texts are
+    scored like any other, repeated rows each; a null id is never held out. An empty table gives no rows.
     """
     model = train(docs, labels, "quality", lambda i: common.remainder(i, folds) != fold, rows)
     return score(common.id_text(docs), model).select(
@@ -196,9 +201,14 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0,
 
 
 def keep(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The documents that the classifier does not reject, with all their columns."""
+    """The documents that the classifier does not reject, with all their columns.
+
+    Only the text goes to Python and only its score comes back; the other columns wait in the JVM.
+    Null and empty texts are judged like any other, repeated rows each; an empty table gives no rows.
+    """
     model = train(docs, labels, "quality", lambda i: common.remainder(i, folds) != fold, rows)
-    columns, name = docs.columns, "score"
-    while name in columns:
-        name += "_"
-    return score(docs, model, name).filter(F.col(name) >= THRESHOLD).select(*[F.col(f"`{c}`") for c in columns])
+
+    def scored(texts: pa.Array) -> pa.Array:
+        return _probabilities(model, texts)
+
+    return docs.filter(F.arrow_udf(scored, "double")(F.col("text")) >= THRESHOLD)
