@@ -242,4 +242,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .agg(F.min("least").alias("least"))
         .select(F.col("least.row").alias("row"))
     )
-    return rows.join(kept, "row", "left_semi").select("doc.*")
+    # Only numbers are shuffled to find what goes; whole rows move only where these are too many to broadcast.
+    gone = common.stage(marked.select("row").join(kept, "row", "left_anti"), "simhash-gone")
+    return rows.join(gone, "row", "left_anti").select("doc.*")
