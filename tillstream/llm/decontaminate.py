@@ -205,13 +205,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     return out
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
-
-    A null or empty text has no words; an item without words has no window; items of any length
-    below a window count whole. Repeated rows are returned as often as they come. A document is
-    contaminated when something is hit and the hit words are at least a twentieth of all.
-    """
+def _judged(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The columns of :func:`overlaps` and the text's ``hash``."""
     found = common.stage(hits(docs, benchmark, id_col, text_col).distinct(), "hits")
     spans = found.select("key", "begin", "end").distinct()
     # hit words: what each span adds beyond the spans before it, within one document
@@ -241,6 +236,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
     return rows.join(by_key, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("hash") == F.col("h_hash")), "left").select(
         "doc_id",
+        "hash",
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
@@ -249,8 +245,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     )
 
 
+def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
+
+    A null or empty text has no words; an item without words has no window; items of any length
+    below a window count whole. Repeated rows are returned as often as they come. A document is
+    contaminated when something is hit and the hit words are at least a twentieth of all.
+    """
+    return _judged(docs, benchmark, id_col, text_col).drop("hash")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with all their columns; repeated rows stay repeated."""
-    rows = common.numbered(docs, "decontaminate")
-    judged = overlaps(rows.select("row", F.col(f"doc.`{text_col}`").alias("text")), benchmark, "row", "text")
-    return rows.join(judged.filter("contaminated").select(F.col("doc_id").alias("row")), "row", "left_anti").select("doc.*")
+    """The documents that are not contaminated, with all their columns; repeated rows stay repeated,
+    null and empty texts stay, and an empty table gives no rows."""
+    judged = _judged(docs, benchmark, id_col, text_col).filter("contaminated")
+    # Written first, so that its measured size decides whether it is broadcast.
+    gone = common.stage(judged.select("doc_id", "hash").distinct(), "contaminated")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    doc_id, text = F.col(f"doc.`{id_col}`").cast("bigint"), F.coalesce(F.col(f"doc.`{text_col}`"), F.lit(""))
+    same = doc_id.eqNullSafe(gone["doc_id"]) & (F.xxhash64(text) == gone["hash"])
+    return rows.join(gone, same, "left_anti").select("doc.*")
