@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,17 +22,25 @@ from tillstream.streaming import increments, jobs
 ONCE = {"availableNow": True}
 
 
-#: Files a topic is laid out in; each is one micro-batch.
-TOPIC_FILES = 6
-ONE_BY_ONE = {"maxFilesPerTrigger": "1"}
+#: Micro-batches a topic is read in.
+TOPIC_BATCHES = 6
+#: Rows of one file of a topic. A file is written and read by one task, so a larger micro-batch has more files.
+TOPIC_ROWS = 50_000
+
 
+def as_topic(
+    df: DataFrame, order_col: str, label: str, rows: int, shape: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """Rows, as ``shape`` makes them, as a stream that meets them in order of ``order_col``, over several micro-batches.
 
-def as_topic(df: DataFrame, order_col: str, label: str, files: int = TOPIC_FILES) -> DataFrame:
-    """Rows as a stream that meets them in order of ``order_col``, over several micro-batches."""
+    ``rows`` says about how many there are; only the number of files follows from it.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark, label)}/topic"
-    topics.write_in_order(df, path, order_col, files)
-    return spark.readStream.schema(df.schema).options(**ONE_BY_ONE).parquet(path)
+    files = max(1, -(-rows // (TOPIC_BATCHES * TOPIC_ROWS)))
+    topics.write_in_order(df, path, order_col, TOPIC_BATCHES * files, shape)
+    schema = (shape(df) if shape else df).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(path)
 
 
 def event_records(spark: SparkSession, sf_dir: str, only_pay: bool = False) -> DataFrame:
@@ -38,13 +48,16 @@ def event_records(spark: SparkSession, sf_dir: str, only_pay: bool = False) -> D
     events = A.a_events(spark, sf_dir)
     if only_pay:
         events = events.where(F.col("event_type") == S.PAY)
-    wire = ingest.to_wire(events.withColumn("timestamp", F.timestamp_millis("ingest_time")))
-    return as_topic(wire.select("value", "timestamp"), "timestamp", "topic")
+    timed = events.withColumn("timestamp", F.timestamp_millis("ingest_time"))
+    orders = A.table(spark, sf_dir, "orders").count()  # few have more than one event
+    return as_topic(
+        timed, "timestamp", "topic", orders, lambda rows: ingest.to_wire(rows).select("value", "timestamp")
+    )
 
 
 def usage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usage as it is metered, in event order."""
-    return as_topic(A.a_usage(spark, sf_dir), "event_time", "usage")
+    return as_topic(A.a_usage(spark, sf_dir), "event_time", "usage", A.table(spark, sf_dir, "events").count())
 
 
 def _run(spark: SparkSession, label: str) -> tuple[str, jobs.Run]:

@@ -44,8 +44,17 @@ def write_batch(
     size asks for, so that a big day does not end in one file nor a small one in many.
     """
     rows = df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-    if buckets:
-        rows = _spread(rows, day_col, buckets)
+    if not buckets:
+        _write(rows, path, day_col)
+        return
+    rows = rows.persist()  # counted, then written
+    try:
+        _write(_spread(rows, day_col, buckets), path, day_col)
+    finally:
+        rows.unpersist()
+
+
+def _write(rows: DataFrame, path: str, day_col: str) -> None:
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
