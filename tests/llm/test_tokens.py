@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -175,3 +176,10 @@ def test_empty_tables(spark, empty):
     assert packing.pack(empty).count() == 0
     rollups.apply(spark, f"{folder}/r", 1, empty.selectExpr("'insert' as op", "*"))
     assert rollups.totals(spark, f"{folder}/r").count() == 0
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(_TEXT, max_size=20))
+def test_strings_of_a_dictionary(texts):
+    dictionary = pa.array(texts, pa.string()).dictionary_encode().dictionary
+    assert tokens.strings(dictionary) == dictionary.to_pylist() == list(dict.fromkeys(texts))

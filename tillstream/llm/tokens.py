@@ -45,6 +45,11 @@ def _parts(chunk: str) -> tuple[str, str] | None:
     return None
 
 
+def strings(texts: pa.Array) -> list[str]:
+    """The texts of an array without nulls; quicker than ``to_pylist``, which makes a scalar of each."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class _Chunks(dict):
     """Chunk to number; an unseen chunk gets the next number and waits to be encoded."""
 
@@ -83,17 +88,19 @@ class Encoder:
 
     def _learn(self) -> None:
         chunks, whole, lowered, tailed = self.chunks, [], [], []
-        for chunk in chunks.waiting:  # grows while parts turn out to be unseen
+        first, numbered = len(chunks) - len(chunks.waiting), []
+        for number, chunk in enumerate(chunks.waiting, first):  # grows while parts turn out to be unseen
             if parts := _parts(chunk):
-                (tailed if parts[1] else lowered).append((chunks[chunk], chunks[parts[0]], chunks[parts[1]]))
+                (tailed if parts[1] else lowered).append((number, chunks[parts[0]], chunks[parts[1]]))
             else:
                 whole.append(chunk)
+                numbered.append(number)
         chunks.waiting = []
         grown = len(chunks) - len(self.lengths)
         self.begins, self.lengths, self.uses = (
             np.concatenate([a, np.zeros(grown, np.int64)]) for a in (self.begins, self.lengths, self.uses)
         )
-        found, numbers, counts = [], [], []
+        found, counts = [], []
         for at in range(0, len(whole), JOINED_CHUNKS):
             some = whole[at : at + JOINED_CHUNKS]
             one = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
@@ -101,9 +108,8 @@ class Encoder:
             begins = np.cumsum([0, *[len(c) + 1 for c in some[:-1]]])
             of = np.searchsorted(begins, [begin for begin, _ in one.offsets], side="right") - 1
             counts.append(np.bincount(of, minlength=len(some)))
-            numbers.append([chunks[c] for c in some])
         if found:
-            self._add(np.concatenate(numbers), np.concatenate(counts), np.concatenate(found))
+            self._add(np.array(numbered, np.int64), np.concatenate(counts), np.concatenate(found))
         # a part without its tail may in turn be a capital form, so those come first
         for some in (lowered, tailed):
             if some:
@@ -126,7 +132,7 @@ class Encoder:
         if not isinstance(texts, pa.Array):
             texts = pa.array(texts, pa.string())
         chunks, counts = common.chunks_of(texts.fill_null(""))
-        known = np.array([self.chunks[c] for c in chunks.dictionary.to_pylist()], np.int64)
+        known = np.array([self.chunks[c] for c in strings(chunks.dictionary)], np.int64)
         if self.chunks.waiting:
             self._learn()
         of = known[chunks.indices.to_numpy()]
