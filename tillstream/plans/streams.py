@@ -26,38 +26,54 @@ ONCE = {"availableNow": True}
 TOPIC_BATCHES = 6
 #: Rows of one file of a topic. A file is written and read by one task, so a larger micro-batch has more files.
 TOPIC_ROWS = 50_000
+#: About so many rows of the given table decide where one micro-batch ends and the next begins.
+CUT_ROWS = 100_000
 
 
 def as_topic(
-    df: DataFrame, order_col: str, label: str, rows: int, shape: Callable[[DataFrame], DataFrame] | None = None
+    df: DataFrame, order_col: str, label: str, rows: int, shape: Callable[[DataFrame], DataFrame] | None = None,
+    sample: DataFrame | None = None,
 ) -> DataFrame:
     """Rows, as ``shape`` makes them, as a stream that meets them in order of ``order_col``, over several micro-batches.
 
-    ``rows`` says about how many there are; only the number of files follows from it.
+    ``rows`` says about how many there are; only the number of files follows from it. All are in the topic; ``sample``
+    only decides where micro-batches end (:func:`~tillstream.sources.topics.write_in_order`).
     """
     spark = df.sparkSession
     path = f"{work_dir(spark, label)}/topic"
     files = max(1, -(-rows // (TOPIC_BATCHES * TOPIC_ROWS)))
-    topics.write_in_order(df, path, order_col, TOPIC_BATCHES * files, shape)
+    topics.write_in_order(df, path, order_col, TOPIC_BATCHES, files, shape, sample)
     schema = (shape(df) if shape else df).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(path)
 
 
 def event_records(spark: SparkSession, sf_dir: str, only_pay: bool = False) -> DataFrame:
     """Money events as a stream of JSON topic records, in the order of their arrival."""
-    events = A.a_events(spark, sf_dir)
-    if only_pay:
-        events = events.where(F.col("event_type") == S.PAY)
-    timed = events.withColumn("timestamp", F.timestamp_millis("ingest_time"))
-    orders = A.table(spark, sf_dir, "orders").count()  # few have more than one event
+    orders, customer = A.table(spark, sf_dir, "orders"), A.table(spark, sf_dir, "customer")
+    count = orders.count()  # few have more than one event
+
+    def timed(of: DataFrame) -> DataFrame:
+        events = A.money_events(A.payments(of, customer))
+        if only_pay:
+            events = events.where(F.col("event_type") == S.PAY)
+        return events.withColumn("timestamp", F.timestamp_millis("ingest_time"))
+
     return as_topic(
-        timed, "timestamp", "topic", orders, lambda rows: ingest.to_wire(rows).select("value", "timestamp")
+        timed(orders), "timestamp", "topic", count, lambda rows: ingest.to_wire(rows).select("value", "timestamp"),
+        timed(_some(orders, count)),
     )
 
 
+def _some(df: DataFrame, rows: int) -> DataFrame:
+    """About ``CUT_ROWS`` of so many rows."""
+    return df if rows <= CUT_ROWS else df.sample(CUT_ROWS / rows, seed=1)
+
+
 def usage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usage as it is metered, in event order."""
-    return as_topic(A.a_usage(spark, sf_dir), "event_time", "usage", A.table(spark, sf_dir, "events").count())
+    events = A.table(spark, sf_dir, "events")
+    count = events.count()
+    return as_topic(A.usage(events), "event_time", "usage", count, sample=A.usage(_some(events, count)))
 
 
 def _run(spark: SparkSession, label: str) -> tuple[str, jobs.Run]:

@@ -161,9 +161,10 @@ def settlement_stream(
 ) -> StreamingQuery:
     """All settlement metrics with fees, exact after every micro-batch in whatever order events arrive.
 
-    Rules are read again for each micro-batch. Nothing is dropped as late and no streaming state is kept.
+    Rules are read again for each micro-batch. Nothing is dropped as late and no streaming state is kept. ``valid`` gets
+    the columns ``jobs.STORE_FIELDS``.
     """
-    rows = valid(ingest.parse_events(records.select("value"), lenient=True))
+    rows = valid(ingest.parse_events(records.select("value"), lenient=True, fields=jobs.STORE_FIELDS))
     rows = rows.withColumn("event_date", clock.stat_date(F.col("event_time")))
     rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in _EVENT])
 

@@ -43,6 +43,7 @@ def _minute_schema(metrics: list[str]) -> T.StructType:
     )
 
 
+_GMV_FIELDS = ["event_time", "amount_minor", *_GMV_KEYS]
 GMV_METRICS = ["pay_count", "pay_amount", "net_amount"]
 
 
@@ -169,7 +170,7 @@ def minute_gmv_stream(
     records: DataFrame, path: str, run: Run, delay: str = "5 seconds"
 ) -> StreamingQuery:
     """One row per closed minute; rows later than the watermark are dropped."""
-    valid = ingest.valid_for_gmv(ingest.parse_events(records.select("value"), lenient=True))
+    valid = ingest.valid_for_gmv(ingest.parse_events(records.select("value"), lenient=True, fields=_GMV_FIELDS))
     agg = (
         _with_event_ts(valid, delay)
         .groupBy(F.window(EVENT_TS, "1 minute"), *_GMV_KEYS)
@@ -191,7 +192,7 @@ def minute_settlement_stream(
     written again as a whole (update mode), so a late refund replaces the row
     of its minute and never adds to it. Merged topics share one watermark.
     """
-    parsed = ingest.parse_events(records.select("value"))
+    parsed = ingest.parse_events(records.select("value"), fields=STORE_FIELDS)
     valid = ingest.validate_events(parsed).where("dirty_reason is null")
     once = _with_event_ts(valid, lateness).dropDuplicatesWithinWatermark(["idempotency_key"])
     agg = settlement.to_increments(once, keep=[EVENT_TS]).groupBy(F.window(EVENT_TS, "1 minute"), *_GMV_KEYS).agg(
@@ -211,7 +212,8 @@ def minute_parts_stream(records: DataFrame, path: str, run: Run, salt: int = 16)
     (:func:`read_minute_parts`); a replayed batch replaces its own parts. No
     state is kept and nothing is dropped as late.
     """
-    valid = ingest.valid_for_gmv(ingest.parse_events(records.select("value"), lenient=True))
+    fields = [*_GMV_FIELDS, "payment_id"]  # by which the parts are salted
+    valid = ingest.valid_for_gmv(ingest.parse_events(records.select("value"), lenient=True, fields=fields))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parts = settlement.minute_gmv(batch, salt=salt)
@@ -247,6 +249,8 @@ EVENT_STORE = T.StructType(
         )],
     ]
 )
+#: What is read of a record to check and to store its event.
+STORE_FIELDS = sorted({*ingest.CHECKED_FIELDS, *(f.name for f in EVENT_STORE if f.name != "event_date")})
 _MARK = T.StructType([T.StructField("newest", T.LongType()), T.StructField("mark_date", T.DateType())])
 _LATE = T.StructType([T.StructField("event_date", T.DateType()), T.StructField("late_rows", T.LongType())])
 
@@ -260,9 +264,9 @@ def event_store_stream(
     Runs beside such a job, over the same records. A row is late when it is older than the newest
     event of all earlier micro-batches less ``lateness_ms``, which is the watermark of a job that
     reads in the same steps; a job that lags behind it drops less. Nothing is dropped here, so :func:`repair_late` can set the
-    minute table right.
+    minute table right. ``valid`` gets the columns ``STORE_FIELDS``.
     """
-    rows = valid(ingest.parse_events(records.select("value"), lenient=True))
+    rows = valid(ingest.parse_events(records.select("value"), lenient=True, fields=STORE_FIELDS))
     rows = rows.withColumn("event_date", clock.stat_date(F.col("event_time")))
     rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in EVENT_STORE])
 
