@@ -3,10 +3,12 @@
 import json
 
 from pyspark.sql import functions as F
+from test_increments import answer, batch_answer, events_of, rules_of
+from test_streams import MIN, pay
 
 from tillstream.operators import ingest
 from tillstream.plans import streams
-from tillstream.streaming import jobs
+from tillstream.streaming import increments, jobs
 
 
 def test_topic_rows_are_computed_once(spark, folder):
@@ -38,3 +40,16 @@ def test_only_wanted_fields_are_read(spark):
     assert some.columns == ["raw_payload", "parse_error", "tenant_id", "amount_minor"]
     every = ingest.parse_events(raw, lenient=True).select(*some.columns)
     assert sorted(map(str, some.collect())) == sorted(map(str, every.collect()))
+
+
+def test_index_rows_of_other_keys_are_not_dealt_out(spark, folder):
+    events = [pay(f"k{i}", i * MIN, 1000) for i in range(50)]
+    again = [pay("k3", 3 * MIN, 2000, late=9), pay("new", MIN, 10)]
+    for n, docs in enumerate([events, again]):
+        increments.apply(spark, folder, events_of(spark, docs), n, rules_of(spark), 4)
+    stored = increments._stored(spark, f"{folder}/payments", increments.PAYMENT_TABLE, range(4), 9)
+    found = increments._matching(stored, spark.createDataFrame([("Pk3",)], "link string"), "link", "t")
+    assert sorted((r.amount_minor, r.batch_id) for r in found.collect()) == [(1000, 0), (2000, 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert answer(spark, folder) == batch_answer(spark, events + again)

@@ -61,6 +61,17 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType, buckets: Seque
     return rows.where(F.col(BUCKET).isin(list(buckets)) & (F.col(tables.BATCH) < batch_id))
 
 
+def _link(side: str | None = None) -> Column:
+    """The payment of an event, or its key where it has none."""
+    payment, key = (F.col(f"{side}.{n}" if side else n) for n in ("payment_id", "idempotency_key"))
+    return F.coalesce(payment, F.concat(F.lit("\0"), key))
+
+
+def _linked(side: str | None = None) -> Column:
+    """Whether an event is kept by payment: all are but adjustments, and those without a type."""
+    return F.coalesce(F.col(f"{side}.event_type" if side else "event_type") != S.ADJUST, F.lit(False))
+
+
 def _touched(df: DataFrame) -> list[int]:
     """The buckets of a batch, at most as many as there are."""
     return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
@@ -70,17 +81,28 @@ def _write(df: DataFrame, path: str, part: str, batch_id: int) -> None:
     tables.write_batch(df.hint("rebalance", part), path, part, batch_id)
 
 
+def _matching(stored: DataFrame, wanted: DataFrame, key: str, label: str) -> DataFrame:
+    """The stored rows whose ``key`` is among the distinct ones of ``wanted``.
+
+    Most keys of a batch are new. So only the two key columns are dealt out to find those that are not; where they are
+    few, the stored rows are read past them and never move.
+    """
+    hits = stage(stored.select(key).join(wanted.select(key), key, "left_semi").distinct(), label)
+    return stored.join(hits, key, "left_semi")
+
+
 def changes(spark: SparkSession, folder: str, batch: DataFrame, batch_id: int, buckets: int) -> DataFrame:
     """``new`` and ``old`` (or null) of each key whose delivery that counts is another one after this batch.
 
     The last delivery counts, as in :func:`~tillstream.operators.ordered.latest_per_key`; a repeated or
-    older one changes nothing. The new deliveries are stored.
+    older one changes nothing. The new deliveries are stored. What is returned joins two staged tables, of which
+    the known deliveries are the small one as a rule, so reading it again costs little.
     """
     fresh = latest_per_key(batch.select(*_NAMES), ["idempotency_key"], ORDER)
     fresh = stage(fresh.withColumn(BUCKET, _bucket("idempotency_key", buckets)), "fresh")
     stored = _stored(spark, f"{folder}/keys", KEY_TABLE, _touched(fresh), batch_id)
-    known = stored.join(fresh.select("idempotency_key"), "idempotency_key", "left_semi")
-    known = latest_per_key(known.select(*_NAMES), ["idempotency_key"], ORDER)
+    known = _matching(stored.select(*_NAMES), fresh, "idempotency_key", "known-keys")
+    known = stage(latest_per_key(known, ["idempotency_key"], ORDER), "known")
     rest = [n for n in _NAMES if n not in ("idempotency_key", *ORDER)]
 
     def rank(side: str) -> Column:
@@ -89,7 +111,7 @@ def changes(spark: SparkSession, folder: str, batch: DataFrame, batch_id: int, b
     new = fresh.select("idempotency_key", F.struct(*_NAMES).alias("new"))
     old = known.select("idempotency_key", F.struct(*_NAMES).alias("old"))
     both = new.join(old, "idempotency_key", "left")
-    changed = stage(both.where(F.col("old").isNull() | (rank("new") > rank("old"))).select("new", "old"), "changed")
+    changed = both.where(F.col("old").isNull() | (rank("new") > rank("old"))).select("new", "old")
     _write(
         changed.select("new.*").withColumn(BUCKET, _bucket("idempotency_key", buckets)), f"{folder}/keys", BUCKET, batch_id
     )
@@ -126,25 +148,25 @@ def apply(
     the rule it was priced by until another delivery of it comes.
     """
     changed = changes(spark, folder, batch, batch_id, buckets)
-    gone = changed.where("old is not null").select("old.*").withColumn("alive", F.lit(False))
-    come = changed.select("new.*")
+    # of a delivery that went and one that came for the same payment, the one that came is left
+    stays = _linked("old") & _linked("new") & _link("old").eqNullSafe(_link("new"))
+    gone = changed.where("old is not null").select("old.*", stays.alias("again")).withColumn("alive", F.lit(False))
+    come = changed.select("new.*", F.lit(False).alias("again"))
     priced = rules.with_rule(come.where(F.col("event_type") == S.PAY), fee_rules)
     none = F.lit(None).cast(PAYMENT_TABLE["rule"].dataType)
     come = priced.unionByName(come.where(~F.col("event_type").eqNullSafe(S.PAY)).withColumn("rule", none))
     moved = gone.withColumn("rule", none).unionByName(come.withColumn("alive", F.lit(True)))
-    link = F.coalesce("payment_id", F.concat(F.lit("\0"), "idempotency_key"))
-    moved = stage(moved.withColumn("link", link).withColumn(BUCKET, _bucket("link", buckets)), "moved")
+    moved = stage(moved.withColumn("link", _link()).withColumn(BUCKET, _bucket("link", buckets)), "moved")
 
-    linked = moved.where(F.col("event_type") != S.ADJUST)
+    own = moved.where(_linked() & ~F.col("again")).drop("again")
     index, key = f"{folder}/payments", ["link", "idempotency_key"]
-    stored = _stored(spark, index, PAYMENT_TABLE, _touched(linked), batch_id)
-    stored = stored.drop(BUCKET).join(linked.select("link").distinct(), "link", "left_semi")
+    stored = _stored(spark, index, PAYMENT_TABLE, _touched(own), batch_id).drop(BUCKET)
+    stored = _matching(stored, own, "link", "known-links")
     before = stage(latest_per_key(stored, key, [tables.BATCH]).drop(tables.BATCH), "before")
-    # of a delivery that went and one that came for the same payment, the one that came is left
-    own = latest_per_key(linked.drop(BUCKET), key, ["alive"])
-    after = before.join(own.select(*key), key, "left_anti").unionByName(own.select(*before.columns))
+    replaced = own.select(*key).join(before.select(*key), key, "left_semi")
+    after = before.join(replaced, key, "left_anti").unionByName(own.select(*before.columns))
 
-    _write(own.withColumn(BUCKET, _bucket("link", buckets)), index, BUCKET, batch_id)
+    _write(own, index, BUCKET, batch_id)
     adjust = moved.where(F.col("event_type") == S.ADJUST).select(*before.columns)
     signed = [
         before.where("alive").withColumn("sign", F.lit(-1)),
