@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 from test_increments import answer, batch_answer, events_of, rules_of
-from test_streams import MIN, pay
+from test_streams import MIN, Topic, pay
 
 from tillstream.operators import ingest
 from tillstream.plans import streams
@@ -53,3 +53,17 @@ def test_index_rows_of_other_keys_are_not_dealt_out(spark, folder):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert answer(spark, folder) == batch_answer(spark, events + again)
+
+
+def test_keys_are_kept_outside_the_heap(spark, folder, tmp_path):
+    topic = Topic(str(tmp_path))
+    topic.add(pay("a", 0), pay("a", 0), pay("b", MIN))
+    topic.add(pay("a", 0, late=5), pay("c", MIN))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    query = jobs.dedup_stream(topic.read(spark), f"{folder}/d", jobs.Run(f"{folder}/c", streams.ONCE))
+    query.awaitTermination()
+    state = [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert state and all(any(m.startswith("rocksdb") for m in s["customMetrics"]) for s in state)
+    got = jobs.read_deduplicated(spark, f"{folder}/d").collect()
+    assert sorted(r.idempotency_key for r in got) == ["a", "b", "c"]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before

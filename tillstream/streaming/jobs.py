@@ -7,7 +7,8 @@ restart neither loses nor repeats anything.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,6 +65,34 @@ class Run:
     name: str | None = None
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+#: State with a row for every key: on the disk of the executors, in bounded memory beside the heap.
+KEYED_STATE = {
+    _PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_ROCKSDB}.changelogCheckpointing.enabled": "true",
+    f"{_ROCKSDB}.boundedMemoryUsage": "true",
+    f"{_ROCKSDB}.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def _keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started in here keep their state as ``KEYED_STATE`` says, unless the session names a state store.
+
+    A query takes the options of its session when it starts, and the store of its checkpoint if it has one.
+    """
+    own = spark.conf.get(_PROVIDER, None) is not None
+    before = {} if own else {k: spark.conf.get(k, None) for k in KEYED_STATE}
+    try:
+        for k in before:
+            spark.conf.set(k, KEYED_STATE[k])
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def start(
     df: DataFrame, write: Callable[[DataFrame, int], None], run: Run, mode: str = "append"
 ) -> StreamingQuery:
@@ -340,7 +369,8 @@ def dedup_stream(
     ``clock_by="event"`` ages keys by event time; ``"arrival"`` by the time the
     record entered its topic.
     """
-    parsed = ingest.parse_events(records.select("value", "timestamp"))
+    fields = {*ingest.CHECKED_FIELDS, "ingest_time", *(f.name for f in S.DETAIL)}
+    parsed = ingest.parse_events(records.select("value", "timestamp"), fields=fields)
     valid = ingest.validate_pay(parsed).where("dirty_reason is null")
     if clock_by == "arrival":
         marked = valid.withColumn(EVENT_TS, F.col("timestamp")).withWatermark(EVENT_TS, ttl)
@@ -353,7 +383,8 @@ def dedup_stream(
             ingest.to_detail(batch, _arrival_ms()), path, "event_date", batch_id
         )
 
-    return start(once, write, run)
+    with _keyed_state(records.sparkSession):
+        return start(once, write, run)
 
 
 def read_deduplicated(spark: SparkSession, path: str) -> DataFrame:
