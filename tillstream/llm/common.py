@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,26 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_KEPT: dict[Any, Any] = {}
+
+
+def kept(key: Any, make: Callable[[], Any]) -> Any:
+    """What ``make()`` gives, once for each worker process; kept between its tasks until :func:`let_go`."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def let_go() -> None:
+    """Free what tasks of other work left in this worker process, which Spark uses for one stage after the other.
+
+    Idle workers count in the memory of their executor like busy ones.
+    """
+    if _KEPT:
+        _KEPT.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The column as Python strings; null counts as empty."""
     return [t or "" for t in batch.column(batch.schema.names.index(name)).to_pylist()]

@@ -138,6 +138,7 @@ def fit(x: np.ndarray, y: np.ndarray, pooled: float = 0.2, diagonal: float = 0.0
 
 
 def _statistics_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.let_go()
     for batch in batches:
         rows = pa.array([statistics(t) for t in common.texts_of(batch)], pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays([batch.column(0), rows], ["label", "stats"])
@@ -163,6 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, use, rows: int = SAMPL
 
 
 def _probabilities(model: Discriminant | None, texts: pa.Array) -> pa.Array:
+    common.let_go()
     x = np.array([statistics(t or "") for t in texts.to_pylist()]).reshape(-1, FEATURES)
     return pa.array(model.scores(x) if model else np.full(len(x), 0.5))
 

@@ -64,6 +64,7 @@ def fingerprint(text: str) -> int:
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.let_go()
     for batch in batches:
         prints = np.array([fingerprint(t) for t in common.texts_of(batch)], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays(

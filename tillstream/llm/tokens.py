@@ -8,7 +8,6 @@ apart too, so ``word``, ``word,`` and ``Word.`` cost one call.
 
 from __future__ import annotations
 
-import functools
 import os
 
 import numpy as np
@@ -141,10 +140,9 @@ class Encoder:
         return self._gather(of), np.diff(total[np.concatenate(([0], np.cumsum(counts)))])
 
 
-@functools.cache
 def encoder(path: str) -> Encoder:
-    """One encoder for each worker process, kept between its tasks."""
-    return Encoder(path)
+    """One encoder for each worker process, kept between its tasks until the worker does other work."""
+    return common.kept(("encoder", path), lambda: Encoder(path))
 
 
 def with_end(ids: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
