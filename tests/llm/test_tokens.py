@@ -183,3 +183,41 @@ def test_empty_tables(spark, empty):
 def test_strings_of_a_dictionary(texts):
     dictionary = pa.array(texts, pa.string()).dictionary_encode().dictionary
     assert tokens.strings(dictionary) == dictionary.to_pylist() == list(dict.fromkeys(texts))
+
+
+def test_plain_words_go_to_the_model_itself(library):
+    """Normalizing, splitting and offsets cost more than half of the encoding; only odd chunks need them."""
+    encoder, calls = tokens.Encoder(tokens.path()), []
+
+    class Watched:
+        def encode(self, text, add_special_tokens):
+            calls.append(text)
+            return library.encode(text, add_special_tokens=add_special_tokens)
+
+    encoder.tokenizer = Watched()
+    texts = ["wordlike Été naïve Naïve größer, WORDS words; Words", "İstanbul 漢字 it's x's a1 <|endoftext|>, don't; don't", None, "ﬁné"]
+    ids, counts = encoder.encode(texts)
+    want = ids_of(library, texts)
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert not any(w in c.split(" ") for c in calls for w in ("wordlike", "Été", "naïve", "größer", "words"))
+    assert any("don't" in c for c in calls)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from([*map(chr, tokens._SPELLED), *"ſıİŉ×÷ªºµ"]), max_size=12), min_size=1, max_size=30))
+def test_words_of_plain_letters_give_the_library_ids(library, words):
+    encoder = tokens.encoder(tokens.path())
+    assert encoder.spells
+    ids, counts = encoder.encode([" ".join(words)])
+    assert ids.tolist() == ids_of(library, [" ".join(words)])[0]
+
+
+def test_a_vocabulary_that_spells_otherwise(library, tmp_path):
+    """Without lower case the model itself gives other ids, so every chunk goes through the library."""
+    import json
+
+    other = json.loads(library.to_str())
+    other["normalizer"]["normalizers"].pop()
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(other))
+    assert not tokens.Encoder(str(path)).spells
