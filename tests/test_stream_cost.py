@@ -4,9 +4,9 @@ import json
 
 from pyspark.sql import functions as F
 from test_increments import answer, batch_answer, events_of, rules_of
-from test_streams import MIN, Topic, pay
+from test_streams import HOUR, MIN, Topic, pay
 
-from tillstream.operators import ingest
+from tillstream.operators import ingest, ordered
 from tillstream.plans import streams
 from tillstream.streaming import increments, jobs
 
@@ -67,3 +67,15 @@ def test_keys_are_kept_outside_the_heap(spark, folder, tmp_path):
     got = jobs.read_deduplicated(spark, f"{folder}/d").collect()
     assert sorted(r.idempotency_key for r in got) == ["a", "b", "c"]
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+
+
+def test_only_repeated_deliveries_are_sorted_in_a_repair(spark):
+    docs = [pay(f"k{i}", i * MIN, 100 + i) for i in range(30)]
+    docs += [pay("k3", 3 * MIN, 900, late=5), pay("k3", 3 * MIN, 800), pay("k4", 4 * MIN, 104, late=HOUR)]
+    events = events_of(spark, docs)
+    once, again = ordered.repeated_keys(events, ["idempotency_key"])
+    assert sorted({r.idempotency_key for r in again.collect()}) == ["k3", "k4"] and again.count() == 5
+    assert once.count() == 28 and not {"k3", "k4"} & {r.idempotency_key for r in once.collect()}
+    rows = jobs.rebuilt_settlement(events)
+    last = {f"k{i}": 100 + i for i in range(30)} | {"k3": 900, "k4": 104}
+    assert rows.agg(F.sum("pay_amount"), F.sum("pay_count")).first() == (sum(last.values()), 30)

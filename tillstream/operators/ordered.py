@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions import clock
-from tillstream.operators.skew import lookup_join
+from tillstream.operators.skew import fits_broadcast, lookup_join
+from tillstream.session import stage
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -30,6 +31,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     )
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key no other row has, and all others. ``df`` is computed three times.
+
+    Only hashes of the keys are shuffled and counted, so rows that need no choice between them are neither
+    sorted nor shuffled here; rows that only share a hash are among the others. Repeated hashes are broadcast
+    when they measure small, else joined.
+    """
+    mark = F.xxhash64(*keys)
+    more = df.groupBy(mark.alias("_mark")).agg(F.count("*").alias("_rows")).where("_rows > 1").select("_mark")
+    more = stage(more, "repeated")
+    known = F.broadcast(more) if fits_broadcast(more) else more
+    marked = df.withColumn("_mark", mark)
+    return tuple(marked.join(known, "_mark", kind).drop("_mark") for kind in ("left_anti", "left_semi"))
+
+
 #: Blocks that :func:`running` adds up together.
 GROUP_BLOCKS = 4_096
 

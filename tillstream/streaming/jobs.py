@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstream import schemas as S
 from tillstream.functions import clock
 from tillstream.operators import billing, ingest, risk, settlement
-from tillstream.operators.ordered import latest_per_key
+from tillstream.operators.ordered import latest_per_key, repeated_keys
 from tillstream.operators.risk import Rule
 from tillstream.session import stage
 from tillstream.sources import tables
@@ -346,7 +346,9 @@ def repair_late(
 
 def rebuilt_settlement(events: DataFrame) -> DataFrame:
     """Settlement minutes of stored events: of repeated deliveries the last counts."""
-    return settlement.minute_settlement(latest_per_key(events, ["idempotency_key"], ["ingest_time", "trace_id"]))
+    once, again = repeated_keys(events, ["idempotency_key"])
+    last = latest_per_key(again, ["idempotency_key"], ["ingest_time", "trace_id"])
+    return settlement.minute_settlement(once.unionByName(last))
 
 
 def rebuilt_gmv(closed_before: int) -> Callable[[DataFrame], DataFrame]:
