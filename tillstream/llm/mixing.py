@@ -1,17 +1,20 @@
 """Probabilities of whole texts by online logistic context mixing.
 
-Each byte of a text, and the end mark behind it, is predicted bit by bit from the high bit down. For each order (how
-many bytes before it count, over word boundaries) a hashed context and the bits so far choose a slot with counts of zeros
-and ones; so does the word before together with the letters of the current word. The prediction of a slot is its
+Each byte of a text, and the end mark behind it, is predicted by binary decisions: the byte before it names a binary
+tree over all bytes, a Huffman tree of the training text, so likely bytes take few decisions. For each order (how
+many bytes before it count, over word boundaries) a hashed context and the place in the tree choose a slot with counts of
+zeros and ones; so does the word before together with the letters of the current word. The prediction of a slot is its
 log-odds. A set of weights, chosen by a gate, mixes the predictions in the logistic domain, and an adaptive table refines
-the mixed probability by the bits so far. Slots are counted over all bytes of all training text; weights are learned
+the mixed probability. Slots are counted over all bytes of all training text; weights are learned
 online over the same, each event against counts that leave it out, by every task for itself, and averaged.
 
-Equal contexts of a block are worked out once and weigh as much as they occur. The probabilities of all texts add up to one.
+Counts are exact until they are summed; then each pair is kept as a state of 12 bits, exact up to 7 and within a ninth above.
+The probabilities of all texts add up to one.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,25 +25,27 @@ from pyspark.sql import DataFrame
 
 from tillstream.llm import common
 
-#: Slots of each order, and of the word before with the word so far, as powers of two. Their number is fixed, so what
-#: is broadcast is too.
-SLOT_BITS = (8, 16, 18, 20, 21, 21, 21)
+#: Slots of each order from one byte on, and of the word before with the word so far, as powers of two. Their number is
+#: fixed, so what is broadcast is too.
+SLOT_BITS = (16, 19, 21, 21, 22, 22)
 ORDERS = len(SLOT_BITS)
-CONTEXT = ORDERS - 2
+CONTEXT = ORDERS - 1
 SLOTS = sum(1 << b for b in SLOT_BITS)
-_FIRST = np.cumsum([0, *(1 << b for b in SLOT_BITS)])[:-1]
+_FIRST = [sum(1 << b for b in SLOT_BITS[:i]) for i in range(ORDERS)]
 
 #: Slots sent and summed together.
 REGION = 1 << 14
 
 #: Text read at a time.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 17
 
 END = 255  # a byte that UTF-8 does not use
 SPACES = np.isin(np.arange(256), [*b" \t\n\x0b\x0c\r", END])
 LEAST = 0.02  # added to both counts of a slot
 LEVELS = 4  # how much the longest known context was seen, for the gate
-GATES = ORDERS * LEVELS * 8
+DEPTHS = 8  # of a decision in its tree, for the gate
+GATES = (ORDERS * LEVELS + 1) * DEPTHS
+CHUNK = 1 << 13  # bytes worked on at a time
 BUCKETS = 24  # of the refining table, over the range of log-odds
 RANGE = 12.0
 
@@ -135,48 +140,126 @@ def distinct(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return bytes_of(texts.fill_null("")).distinct()[:3]
 
 
-def _contexts(keys: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
-    """A hash for each order, that of the words last."""
-    out = [np.zeros(len(keys), np.uint64)]
-    for order in range(1, CONTEXT + 1):
-        h = (((keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)) + np.uint64(order)) * _MIX[0]
-        out.append((h ^ (h >> np.uint64(31))) * _MIX[1])
-    out.append(words * _MIX[1])
+@dataclass(frozen=True)
+class Trees:
+    """A binary tree over all bytes for each byte before. The decisions of a pair of bytes stand in a row."""
+
+    first: np.ndarray  # of the decisions of each pair (byte before, byte)
+    sizes: np.ndarray  # how many they are
+    packed: np.ndarray  # of each decision, see ``_packed``
+
+    def decisions(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For all decisions of the bytes in a row: the number of the byte, the place in the tree, and a mark: the
+        depth (at most DEPTHS - 1) and, in the lowest bit, the way taken."""
+        pair = (keys & np.uint64(0xFFFF)).astype(np.int64)
+        sizes = self.sizes[pair]
+        ends = np.cumsum(sizes)
+        of = np.repeat(np.arange(len(pair)), sizes)
+        at = (self.first[pair] - ends + sizes)[of]
+        at += np.arange(len(at))
+        packed = self.packed[at]
+        return of, packed >> np.uint32(4), (packed & np.uint32(15)).astype(np.uint8)
+
+
+def _tree(weights: np.ndarray) -> list[list[tuple[int, int]]]:
+    """The decisions (node, way) that lead to each leaf of a Huffman tree."""
+    paths: list[list[tuple[int, int]]] = [[] for _ in weights]
+    heap = [(w, i, [i]) for i, w in enumerate(weights.tolist())]
+    heapq.heapify(heap)
+    for node in range(len(weights) - 1):
+        one, two = heapq.heappop(heap), heapq.heappop(heap)
+        for way, side in enumerate((one, two)):
+            for leaf in side[2]:
+                paths[leaf].append((node, way))
+        heapq.heappush(heap, (one[0] + two[0], len(weights) + node, one[2] + two[2]))
+    return [p[::-1] for p in paths]
+
+
+def _packed(before: int, path: list[tuple[int, int]]) -> list[int]:
+    """The decisions of a path, each as one number: the depth and the way, the byte before, the node, and where three
+    levels at a time begin with the place below (0 to 6, from the top down)."""
+    out, top, below = [], 0, 0
+    for d, (node, way) in enumerate(path):
+        if d % 3 == 0:
+            top, below = node, 0
+        place = below << 24 | top << 16 | before << 8 | node
+        out.append(place << 4 | min(d, DEPTHS - 1) << 1 | way)
+        below = 2 * below + 1 + way
     return out
 
 
-def _slots(context: np.ndarray, order: int, node: np.ndarray) -> np.ndarray:
-    """The slot of a context and the bits so far (with a one before them)."""
-    if not order:
-        return node.astype(np.int64)
-    h = (context ^ node) * _MIX[0]
-    return (h >> np.uint64(64 - SLOT_BITS[order])).astype(np.int64) + int(_FIRST[order])
+def trees(pairs: np.ndarray) -> Trees:
+    """Trees of counts of (byte before, byte). Every byte has a leaf, whether it was seen or not."""
+    pairs = pairs.reshape(256, 256).astype(float)
+    usual = pairs.sum(axis=0) + 1.0
+    usual = usual / usual.sum() + 1e-5
+    sizes, packed = [], []
+    for before in range(256):
+        total = pairs[before].sum()
+        for path in _tree((pairs[before] + 2.0 * usual) / (total + 2.0)):
+            sizes.append(len(path))
+            packed += _packed(before, path)
+    # a key has the byte lowest and the byte before above it, as pairs have
+    sizes = np.array(sizes, np.int64)
+    return Trees(np.cumsum(sizes) - sizes, sizes, np.array(packed, np.uint32))
+
+
+def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each byte follows each other in this task's training text."""
+    pairs = np.zeros(1 << 16, np.int64)
+    for batch in common.slices(batches, "text", BLOCK_BYTES):
+        data, ends = spelled(batch.column(0).fill_null(""))
+        there = np.ones(len(data) - 1, bool)  # bytes with one before them in their text, or its first mark
+        begins = np.concatenate(([0], ends[:-1])).astype(np.int64)
+        there[(begins[:, None] + np.arange(-1, CONTEXT - 1)).ravel()[1:]] = False
+        pair = (data[:-1].astype(np.int64) << 8) | data[1:]
+        pairs += np.bincount(pair[there], minlength=1 << 16)
+    yield pa.RecordBatch.from_arrays([pa.array([pairs.astype("<f8").tobytes()])], ["learned"])
 
 
-def _bits(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Bit position, bits so far and the bit, from the high bit down."""
-    byte = keys & np.uint64(255)
-    for b in range(8):
-        yield b, (np.uint64(1) << np.uint64(b)) | (byte >> np.uint64(8 - b)), (
-            (byte >> np.uint64(7 - b)) & np.uint64(1)
-        ).astype(np.int64)
+def _contexts(keys: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
+    """A hash for each order from two bytes on, that of the words last."""
+    out = []
+    for order in range(2, CONTEXT + 1):
+        h = (((keys >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)) + np.uint64(order)) * _MIX[0]
+        out.append((((h ^ (h >> np.uint64(31))) * _MIX[1]) >> np.uint64(32)).astype(np.uint32))
+    out.append(((words * _MIX[1]) >> np.uint64(32)).astype(np.uint32))
+    return out
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of this task's training text, by region."""
-    table = np.zeros((SLOTS, 2), np.uint32)
-    flat = table.ravel()
-    for batch in common.slices(batches, "text", BLOCK_BYTES):
-        keys, words, times = distinct(batch.column(0))
-        times, contexts = times.astype(np.uint32), _contexts(keys, words)
-        for _, node, bit in _bits(keys):
-            for order in range(ORDERS):
-                np.add.at(flat, 2 * _slots(contexts[order], order, node) + bit, times)
-    for region, at in enumerate(range(0, SLOTS, REGION)):
-        part = table[at : at + REGION]
-        if part.any():
-            packed = pa.compress(np.ascontiguousarray(part.T), "zstd", asbytes=True)
-            yield pa.RecordBatch.from_arrays([pa.array([region], pa.int32()), pa.array([packed])], ["region", "counts"])
+def _slots(contexts: list[np.ndarray], of: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
+    """For each order the slot of every decision, among those of the order. The byte before and the node are the first;
+    in the others the decisions of three levels share a block of eight, so that they lie in one line of memory."""
+    yield (places & np.uint32(0xFFFF)).astype(np.int64)
+    below = places >> np.uint32(24)
+    moved = ((places >> np.uint32(8)) & np.uint32(0xFFFF)) * np.uint32(0x9E3779B1)
+    for bits, context in zip(SLOT_BITS[1:], contexts, strict=True):
+        block = (context[of] + moved) >> np.uint32(35 - bits)
+        yield (block << np.uint32(3) | below).astype(np.int64)
+
+
+def _counted(trees_of):
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of this task's training text, by region."""
+        table, tree = np.zeros((SLOTS, 2), np.uint32), trees_of()
+        parts = [table[f : f + (1 << b)].reshape(-1) for f, b in zip(_FIRST, SLOT_BITS, strict=True)]
+        for batch in common.slices(batches, "text", BLOCK_BYTES):
+            data = bytes_of(batch.column(0).fill_null(""))
+            for at in range(0, len(data.keys), CHUNK):
+                keys = data.keys[at : at + CHUNK]
+                of, places, marks = tree.decisions(keys)
+                way = marks & 1
+                for part, slot in zip(parts, _slots(_contexts(keys, data.words[at : at + CHUNK]), of, places), strict=True):
+                    slot += slot
+                    slot += way
+                    np.add.at(part, slot, np.uint32(1))
+        for region, at in enumerate(range(0, SLOTS, REGION)):
+            part = table[at : at + REGION]
+            if part.any():
+                packed = pa.compress(np.ascontiguousarray(part.T), "zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays([pa.array([region], pa.int32()), pa.array([packed])], ["region", "counts"])
+
+    return counted
 
 
 def _region_rows(region: int) -> int:
@@ -196,106 +279,143 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([region], pa.int32()), pa.array([packed])], ["region", "counts"])
 
 
-def count(texts: DataFrame) -> np.ndarray:
-    """Zeros and ones of each slot over all ``texts.text``. What is collected has a fixed size."""
+def _stated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states of summed regions."""
+    for batch in batches:
+        made = [_states(np.frombuffer(c, "<f4").reshape(2, -1)).astype("<u2").tobytes() for c in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["region", "counts"])
+
+
+def count(texts: DataFrame, tree) -> np.ndarray:
+    """The state of each slot over all ``texts.text``. What is collected has a fixed size."""
     n = common.shuffle_partitions(texts.sparkSession)
     sums = (
         texts.select("text")
-        .mapInArrow(_counted, "region int, counts binary")
+        .mapInArrow(_counted(lambda: tree.value), "region int, counts binary")
         .repartition(n, "region")
         .mapInArrow(_summed, "region int, counts binary")
+        .mapInArrow(_stated, "region int, counts binary")
     )
     with common.small_batches(texts.sparkSession):
         rows = sums.collect()
-    slots = np.zeros((SLOTS, 2), np.float32)
+    states = np.zeros(SLOTS, np.uint16)
     for r in rows:
         size, at = _region_rows(r.region), r.region * REGION
-        slots[at : at + size] = np.frombuffer(r.counts, "<f4").reshape(2, size).T
-    return slots
-
-
-def _inputs(slots: np.ndarray, contexts: list[np.ndarray], b: int, node: np.ndarray, own: np.ndarray | None):
-    """Log-odds of each order (and a constant), and the gate. ``own``: the bit to leave out."""
-    x = np.empty((ORDERS + 1, len(node)), np.float32)
-    gate = np.zeros(len(node), np.int64)
-    for order in range(ORDERS):
-        both = slots[_slots(contexts[order], order, node)]
-        zeros, ones = both[:, 0], both[:, 1]
-        if own is not None:
-            zeros = zeros - ((own == 0) & (zeros > 0))
-            ones = ones - ((own == 1) & (ones > 0))
-        x[order] = np.log((ones + np.float32(LEAST)) / (zeros + np.float32(LEAST)))
-        seen = zeros + ones
-        level = (seen > 1).astype(np.int64) + (seen > 4) + (seen > 20) + order * LEVELS
-        gate = np.where(seen > 0, level, gate)
+        states[at : at + size] = np.frombuffer(r.counts, "<u2")
+    return states
+
+
+#: Counts that a state tells apart: all to 7, then in equal ratios.
+_STEPS = np.concatenate((np.arange(8), np.geomspace(8, 1 << 20, 56)))
+
+
+def _states(both: np.ndarray) -> np.ndarray:
+    """Zeros and ones as one number; where one is above a million both shrink alike, and none to nothing."""
+    shrink = np.maximum(both.max(axis=0) / _STEPS[-1], 1)
+    level = np.searchsorted((_STEPS[1:] + _STEPS[:-1]) / 2, np.where(both > 0, np.maximum(both / shrink, 1), 0))
+    return (level[0] << 6 | level[1]).astype(np.uint16)
+
+
+def _meanings() -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of each state, and what it says for the gate (0: never seen): as it is, and without a zero or a one."""
+    zeros, ones = np.repeat(_STEPS, 64), np.tile(_STEPS, 64)
+    cases = [(zeros, ones), (zeros - (zeros > 0), ones), (zeros, ones - (ones > 0))]
+    odds = [np.log((o + LEAST) / (z + LEAST)) for z, o in cases]
+    seen = [(n > 0).astype(np.uint8) + (n > 1) + (n > 4) + (n > 20) for n in (z + o for z, o in cases)]
+    return np.concatenate(odds).astype(np.float32), np.concatenate(seen).astype(np.uint8)
+
+
+_ODDS, _SEEN = _meanings()
+_GATE = [np.where(_SEEN > 0, _SEEN + o * LEVELS, 0).astype(np.uint8) for o in range(ORDERS)]
+
+
+def _inputs(states: np.ndarray, contexts, of: np.ndarray, places: np.ndarray, marks: np.ndarray, leave_out: bool):
+    """Log-odds of each order (and a constant), and the gate. ``leave_out``: the way itself does not count."""
+    x = np.empty((ORDERS + 1, len(of)), np.float32)
+    gate = np.zeros(len(of), np.uint8)
+    own = ((marks & 1).astype(np.int64) + 1) << 12 if leave_out else None
+    for order, slot in enumerate(_slots(contexts, of, places)):
+        first = _FIRST[order]
+        state = states[first : first + (1 << SLOT_BITS[order])][slot].astype(np.int64)
+        if leave_out:
+            state += own
+        np.take(_ODDS, state, out=x[order], mode="clip")
+        np.maximum(gate, _GATE[order][state], out=gate)
     x[ORDERS] = 0.3
-    return x, gate * 8 + b
+    return x, gate.astype(np.int64) * DEPTHS + (marks >> 1)
 
 
 def _mixed(weights: np.ndarray, gate: np.ndarray, x: np.ndarray) -> np.ndarray:
-    return np.clip(np.einsum("ij,ji->i", weights[gate], x), -RANGE, RANGE)
+    mixed = weights[0][gate] * x[0]
+    for w, v in zip(weights[1:], x[1:], strict=True):
+        mixed += w[gate] * v
+    return np.clip(mixed, -RANGE, RANGE)
 
 
 @dataclass(frozen=True)
 class Model:
-    slots: np.ndarray  # zeros and ones
-    weights: np.ndarray
-    refined: np.ndarray  # log-odds by bits so far and bucket of the mixed log-odds
+    trees: Trees
+    states: np.ndarray  # of the slots
+    weights: np.ndarray  # by input and gate
+    refined: np.ndarray  # log-odds by gate and bucket of the mixed log-odds
 
     def costs(self, keys: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of each byte in its context; without ``words`` no word stands before."""
         words = np.zeros(len(keys), np.uint64) if words is None else words
-        out, contexts = np.zeros(len(keys)), _contexts(keys, words)
-        for b, node, bit in _bits(keys):
-            x, gate = _inputs(self.slots, contexts, b, node, None)
-            mixed = _mixed(self.weights, gate, x)
-            final = _refine(self.refined, mixed, node)
-            out -= np.logaddexp(0.0, np.where(bit == 1, -final, final))
-        return out / np.log(10)
+        out = [np.zeros(0)]
+        for at in range(0, len(keys), CHUNK):
+            some = keys[at : at + CHUNK]
+            of, places, marks = self.trees.decisions(some)
+            x, gate = _inputs(self.states, _contexts(some, words[at : at + CHUNK]), of, places, marks, False)
+            final = _refine(self.refined, _mixed(self.weights, gate, x), gate)
+            against = np.where(marks & 1, -final, final)
+            cost = np.log(1 + np.exp(-np.abs(against))) + np.maximum(against, 0)
+            out.append(np.bincount(of, weights=cost, minlength=len(some)))
+        return np.concatenate(out) / -np.log(10)
 
 
 def _buckets(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = (mixed + RANGE) * ((BUCKETS - 1) / (2 * RANGE))
+    at = (mixed + np.float32(RANGE)) * np.float32((BUCKETS - 1) / (2 * RANGE))
     low = np.minimum(at.astype(np.int64), BUCKETS - 2)
-    return low, at - low
+    return low, at - low.astype(np.float32)
 
 
-def _refine(refined: np.ndarray, mixed: np.ndarray, node: np.ndarray) -> np.ndarray:
+def _refine(refined: np.ndarray, mixed: np.ndarray, gate: np.ndarray) -> np.ndarray:
     low, part = _buckets(mixed)
-    row = node.astype(np.int64)
-    return 0.5 * mixed + 0.5 * (refined[row, low] * (1 - part) + refined[row, low + 1] * part)
+    low += gate * BUCKETS
+    flat = refined.reshape(-1)
+    one = flat[low]
+    return np.float32(0.5) * (mixed + one + (flat[low + 1] - one) * part)
 
 
 def start_weights() -> np.ndarray:
-    return np.tile(np.array([0.1, 0.1, 0.15, 0.2, 0.25, 0.3, 0.3, 0.0]), (GATES, 1))
+    return np.tile(np.array([[0.1], [0.15], [0.2], [0.25], [0.3], [0.3], [0.0]], np.float32), (1, GATES))
 
 
-def _learned(slots_of):
+def _learned(model_of):
     def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, weights = slots_of(), start_weights()
-        power, events = np.full_like(weights, 1e-2), np.zeros(GATES)
-        hits = np.zeros((2, 256, BUCKETS))
+        (tree, states), weights = model_of(), start_weights()
+        power, events = np.full(weights.shape, 1e-2), np.zeros(GATES)
+        hits = np.zeros(2 * GATES * BUCKETS)
         for batch in common.slices(batches, "text", BLOCK_BYTES):
-            keys, words, times = distinct(batch.column(0))
-            order = np.random.default_rng(len(keys)).permutation(len(keys))
-            for at in range(0, len(keys), 1 << 14):
-                some = order[at : at + (1 << 14)]
-                k, c = keys[some], times[some].astype(np.float64)
-                contexts = _contexts(k, words[some])
-                for b, node, bit in _bits(k):
-                    x, gate = _inputs(slots, contexts, b, node, bit)
-                    mixed = _mixed(weights, gate, x)
-                    low, part = _buckets(mixed)
-                    np.add.at(hits, (bit, node.astype(np.int64), low + (part > 0.5)), c)
-                    error = (1 / (1 + np.exp(-mixed)) - bit) * c
-                    grown = np.bincount(gate, weights=c, minlength=GATES)
-                    slope = np.stack(
-                        [np.bincount(gate, weights=error * x[i], minlength=GATES) for i in range(ORDERS + 1)], axis=1
-                    ) / np.maximum(grown, 1.0)[:, None]
-                    power += slope * slope
-                    weights -= 0.05 * slope / np.sqrt(power)
-                    events += grown
-        packed = np.concatenate([(weights * events[:, None]).ravel(), events, hits.ravel()]).astype("<f8").tobytes()
+            data = bytes_of(batch.column(0).fill_null(""))
+            for at in range(0, len(data.keys), CHUNK):
+                keys = data.keys[at : at + CHUNK]
+                of, places, marks = tree.decisions(keys)
+                x, gate = _inputs(states, _contexts(keys, data.words[at : at + CHUNK]), of, places, marks, True)
+                mixed = _mixed(weights, gate, x)
+                way = (marks & 1).astype(np.int64)
+                low, part = _buckets(mixed)
+                place = (way * GATES + gate) * BUCKETS + low + (part > 0.5)
+                hits += np.bincount(place, minlength=len(hits))
+                error = 1 / (1 + np.exp(-mixed)) - way.astype(np.float32)
+                grown = np.bincount(gate, minlength=GATES)
+                slope = np.stack([np.bincount(gate, weights=error * v, minlength=GATES) for v in x])
+                slope /= np.maximum(grown, 1.0)
+                power += slope * slope
+                weights -= (0.05 * slope / np.sqrt(power)).astype(np.float32)
+                events += grown
+        packed = np.concatenate([(weights * events).ravel(), events, hits]).astype("<f8").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([packed])], ["learned"])
 
     return learned
@@ -311,31 +431,40 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["learned"])
 
 
-def train(texts: DataFrame) -> Model:
-    """The model of all ``texts.text``, which may be empty; its size does not depend on them."""
+def _gathered(texts: DataFrame, of, size: int) -> np.ndarray:
+    """The sum of what every task makes of its texts; it has one fixed size, and a few tasks add it up before it is
+    collected."""
     spark = texts.sparkSession
-    slots = count(texts)
-    held = spark.sparkContext.broadcast(slots)
-    # every task's sums have one fixed size; they are added up by a few tasks before they are collected
     added = (
         texts.select("text")
-        .mapInArrow(_learned(lambda: held.value), "learned binary")
+        .mapInArrow(of, "learned binary")
         .coalesce(common.shuffle_partitions(spark))
         .mapInArrow(_added, "learned binary")
     )
     with common.small_batches(spark):
         rows = added.collect()
-    sums = sum((np.frombuffer(r.learned, "<f8") for r in rows), np.zeros(GATES * (ORDERS + 2) + 512 * BUCKETS))
+    return sum((np.frombuffer(r.learned, "<f8") for r in rows), np.zeros(size))
+
+
+def train(texts: DataFrame) -> Model:
+    """The model of all ``texts.text``, which may be empty; its size does not depend on them."""
+    spark = texts.sparkSession
+    tree = spark.sparkContext.broadcast(trees(_gathered(texts, _paired, 1 << 16)))
+    states = count(texts, tree)
+    held = spark.sparkContext.broadcast((tree.value, states))
+    sums = _gathered(texts, _learned(lambda: held.value), GATES * (ORDERS + 2 + 2 * BUCKETS))
     cut = GATES * (ORDERS + 1)
-    events, start = sums[cut : cut + GATES, None], start_weights()
-    weights = np.where(events > 0, sums[:cut].reshape(GATES, -1) / np.maximum(events, 1), start)
-    zeros, ones = sums[cut + GATES :].reshape(2, 256, BUCKETS)
+    events = sums[cut : cut + GATES]
+    weights = np.where(events > 0, sums[:cut].reshape(-1, GATES) / np.maximum(events, 1), start_weights())
+    zeros, ones = sums[cut + GATES :].reshape(2, GATES, BUCKETS)
     centre = np.linspace(-RANGE, RANGE, BUCKETS)
     usual = 1 / (1 + np.exp(-centre))
     prior = 20.0  # counts that speak for the mixed probability itself
     refined = np.log((ones + prior * usual) / (zeros + prior * (1 - usual)))
+    model = Model(tree.value, states, weights.astype(np.float32), refined.astype(np.float32))
     held.unpersist()
-    return Model(slots, weights, refined)
+    tree.unpersist()
+    return model
 
 
 class Scorer:
@@ -348,12 +477,10 @@ class Scorer:
         """All words of the texts in a row, each with the white space or end mark behind it: the number of
         its text, a hash of it, and its log10 probability after the text before it."""
         data = bytes_of(pa.array(texts, pa.string()))
-        keys, words, _, place = data.distinct()
-        found = [self.model.costs(keys[i : i + 65536], words[i : i + 65536]) for i in range(0, len(keys), 65536)]
         ends = np.flatnonzero(SPACES[(data.keys & np.uint64(255)).astype(np.int64)])
         begins = np.concatenate(([0], ends[:-1] + 1))
         text = np.repeat(np.arange(len(texts)), data.sizes)[ends]
-        return text, data.exact[ends], np.add.reduceat(np.concatenate(found)[place], begins)
+        return text, data.exact[ends], np.add.reduceat(self.model.costs(data.keys, data.words), begins)
 
     def tokens(self, names: list[str]) -> np.ndarray:
         """The log10 probability of each as a whole text."""
