@@ -41,3 +41,24 @@ def test_rare_bits_outlive_large_counts():
     (out,) = mixing._summed(iter([batch]))
     sums = np.frombuffer(out.column(1)[0].as_py(), "<f4").reshape(2, -1)
     assert sums[:, 0].tolist() == [6_000_000_000, 2]
+
+
+def test_likely_bytes_take_few_decisions():
+    pairs = np.zeros((256, 256))
+    pairs[ord("q"), ord("u")] = 1000
+    pairs[ord("t"), ord("h")], pairs[ord("t"), ord("o")] = 500, 400
+    tree = mixing.trees(pairs)
+    every = tree.sizes.reshape(256, 256)
+    assert every[ord("q"), ord("u")] == 1 and every[ord("t"), ord("h")] <= 2 and every[ord("t"), ord("o")] <= 2
+    assert np.allclose((0.5 ** every).sum(axis=1), 1)  # each byte has its leaf
+    of, places, marks = tree.decisions(np.array([ord("q") << 8 | ord("u"), ord("t") << 8 | ord("h")], np.uint64))
+    assert of.tolist() == [0] + [1] * int(every[ord("t"), ord("h")]) and len(places) == len(marks) == len(of)
+
+
+def test_states_keep_small_counts_and_ratios():
+    both = np.array([[0, 1, 7, 0, 3e9, 1], [0, 0, 5, 2000, 6e9, 3e9]], np.float32)
+    state = mixing._states(both).astype(int)
+    zeros, ones = mixing._STEPS[state >> 6], mixing._STEPS[state & 63]
+    assert zeros[:4].tolist() == [0, 1, 7, 0] and ones[:3].tolist() == [0, 0, 5]
+    assert abs(ones[3] / 2000 - 1) < 0.13 and abs(ones[4] / zeros[4] / 2 - 1) < 0.25
+    assert zeros[5] == 1 and ones[5] > 1e5  # a rare way never counts as unseen

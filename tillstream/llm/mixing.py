@@ -27,7 +27,7 @@ from tillstream.llm import common
 
 #: Slots of each order from one byte on, and of the word before with the word so far, as powers of two. Their number is
 #: fixed, so what is broadcast is too.
-SLOT_BITS = (16, 19, 21, 21, 22, 22)
+SLOT_BITS = (16, 18, 20, 21, 21, 21)
 ORDERS = len(SLOT_BITS)
 CONTEXT = ORDERS - 1
 SLOTS = sum(1 << b for b in SLOT_BITS)
@@ -157,7 +157,7 @@ class Trees:
         of = np.repeat(np.arange(len(pair)), sizes)
         at = (self.first[pair] - ends + sizes)[of]
         at += np.arange(len(at))
-        packed = self.packed[at]
+        packed = self.packed.take(at)
         return of, packed >> np.uint32(4), (packed & np.uint32(15)).astype(np.uint8)
 
 
@@ -234,7 +234,7 @@ def _slots(contexts: list[np.ndarray], of: np.ndarray, places: np.ndarray) -> It
     below = places >> np.uint32(24)
     moved = ((places >> np.uint32(8)) & np.uint32(0xFFFF)) * np.uint32(0x9E3779B1)
     for bits, context in zip(SLOT_BITS[1:], contexts, strict=True):
-        block = (context[of] + moved) >> np.uint32(35 - bits)
+        block = (context.take(of) + moved) >> np.uint32(35 - bits)
         yield (block << np.uint32(3) | below).astype(np.int64)
 
 
@@ -326,37 +326,36 @@ def _meanings() -> tuple[np.ndarray, np.ndarray]:
 
 
 _ODDS, _SEEN = _meanings()
-_GATE = [np.where(_SEEN > 0, _SEEN + o * LEVELS, 0).astype(np.uint8) for o in range(ORDERS)]
+#: Log-odds of a state and, as the other part, what it says for the gate, by order.
+_MEANING = [(_ODDS + 1j * np.where(_SEEN > 0, _SEEN + o * LEVELS, 0)).astype(np.complex64) for o in range(ORDERS)]
 
 
 def _inputs(states: np.ndarray, contexts, of: np.ndarray, places: np.ndarray, marks: np.ndarray, leave_out: bool):
     """Log-odds of each order (and a constant), and the gate. ``leave_out``: the way itself does not count."""
-    x = np.empty((ORDERS + 1, len(of)), np.float32)
-    gate = np.zeros(len(of), np.uint8)
+    x = np.empty((len(of), ORDERS + 1), np.float32)
+    gate = np.zeros(len(of), np.float32)
     own = ((marks & 1).astype(np.int64) + 1) << 12 if leave_out else None
     for order, slot in enumerate(_slots(contexts, of, places)):
         first = _FIRST[order]
-        state = states[first : first + (1 << SLOT_BITS[order])][slot].astype(np.int64)
+        state = states[first : first + (1 << SLOT_BITS[order])].take(slot).astype(np.int64)
         if leave_out:
             state += own
-        np.take(_ODDS, state, out=x[order], mode="clip")
-        np.maximum(gate, _GATE[order][state], out=gate)
-    x[ORDERS] = 0.3
+        found = _MEANING[order].take(state)
+        x[:, order] = found.real
+        np.maximum(gate, found.imag, out=gate)
+    x[:, ORDERS] = 0.3
     return x, gate.astype(np.int64) * DEPTHS + (marks >> 1)
 
 
 def _mixed(weights: np.ndarray, gate: np.ndarray, x: np.ndarray) -> np.ndarray:
-    mixed = weights[0][gate] * x[0]
-    for w, v in zip(weights[1:], x[1:], strict=True):
-        mixed += w[gate] * v
-    return np.clip(mixed, -RANGE, RANGE)
+    return np.clip(np.einsum("ij,ij->i", weights.take(gate, axis=0), x), -RANGE, RANGE)
 
 
 @dataclass(frozen=True)
 class Model:
     trees: Trees
     states: np.ndarray  # of the slots
-    weights: np.ndarray  # by input and gate
+    weights: np.ndarray  # by gate and input
     refined: np.ndarray  # log-odds by gate and bucket of the mixed log-odds
 
     def costs(self, keys: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
@@ -384,12 +383,12 @@ def _refine(refined: np.ndarray, mixed: np.ndarray, gate: np.ndarray) -> np.ndar
     low, part = _buckets(mixed)
     low += gate * BUCKETS
     flat = refined.reshape(-1)
-    one = flat[low]
-    return np.float32(0.5) * (mixed + one + (flat[low + 1] - one) * part)
+    one = flat.take(low)
+    return np.float32(0.5) * (mixed + one + (flat.take(low + 1) - one) * part)
 
 
 def start_weights() -> np.ndarray:
-    return np.tile(np.array([[0.1], [0.15], [0.2], [0.25], [0.3], [0.3], [0.0]], np.float32), (1, GATES))
+    return np.tile(np.array([0.1, 0.15, 0.2, 0.25, 0.3, 0.3, 0.0], np.float32), (GATES, 1))
 
 
 def _learned(model_of):
@@ -410,12 +409,13 @@ def _learned(model_of):
                 hits += np.bincount(place, minlength=len(hits))
                 error = 1 / (1 + np.exp(-mixed)) - way.astype(np.float32)
                 grown = np.bincount(gate, minlength=GATES)
-                slope = np.stack([np.bincount(gate, weights=error * v, minlength=GATES) for v in x])
-                slope /= np.maximum(grown, 1.0)
+                x *= error[:, None]
+                slope = np.stack([np.bincount(gate, weights=x[:, i], minlength=GATES) for i in range(ORDERS + 1)], axis=1)
+                slope /= np.maximum(grown, 1.0)[:, None]
                 power += slope * slope
                 weights -= (0.05 * slope / np.sqrt(power)).astype(np.float32)
                 events += grown
-        packed = np.concatenate([(weights * events).ravel(), events, hits]).astype("<f8").tobytes()
+        packed = np.concatenate([(weights * events[:, None]).ravel(), events, hits]).astype("<f8").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([packed])], ["learned"])
 
     return learned
@@ -454,8 +454,8 @@ def train(texts: DataFrame) -> Model:
     held = spark.sparkContext.broadcast((tree.value, states))
     sums = _gathered(texts, _learned(lambda: held.value), GATES * (ORDERS + 2 + 2 * BUCKETS))
     cut = GATES * (ORDERS + 1)
-    events = sums[cut : cut + GATES]
-    weights = np.where(events > 0, sums[:cut].reshape(-1, GATES) / np.maximum(events, 1), start_weights())
+    events = sums[cut : cut + GATES, None]
+    weights = np.where(events > 0, sums[:cut].reshape(GATES, -1) / np.maximum(events, 1), start_weights())
     zeros, ones = sums[cut + GATES :].reshape(2, GATES, BUCKETS)
     centre = np.linspace(-RANGE, RANGE, BUCKETS)
     usual = 1 / (1 + np.exp(-centre))
